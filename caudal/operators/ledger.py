@@ -9,26 +9,31 @@ Three ways to authorise a batch:
   looked at. A debit also sees the credits its account has received from earlier accepted transactions.
 
 ``running`` and ``serial`` are exact. Accounts whose debits all fit the opening balance need no ordering
-and are settled by one sum. The others become *legs*, ordered by account and id and cut into key ranges;
-a leg's decision is taken from bounds on the balance it can meet:
+and are settled by one sum. The others become *legs*, settled in rounds:
 
-* every range is read once per round, in order, with a lower and an upper bound of the running balance;
+* a round passes once over the undecided legs, by account and id, with a lower and an upper bound of the
+  running balance;
 * a debit not above the lower bound is accepted, one above the upper bound refused, and either way it is
   folded into the next undecided leg;
-* accepted and refused transactions are sent to the account they credit, and the next round starts.
+* what was decided is sent to the accounts it credits, and the next round starts.
 
 The first undecided transaction of all always meets equal bounds, so each round decides something and
-the loop ends by itself. An account that fits one range is settled by one pass once its credits are
-known; an account larger than that stays cut in several ranges, which start from bounds summed over the
-earlier ones. No task ever holds an account whole.
+the loop ends by itself. An account is read whole, as a stream, by one task, unless it has more legs than
+an even share of a task: then it is cut by id into several pieces, which start from bounds summed over
+the earlier ones. Fewer accounts than tasks can be that large.
+
+Accounts that keep paying each other with little money leave the bounds apart, and a round then decides
+few. So after a poor round the earliest undecided legs, a fixed number, are taken one by one in a single
+task: everything before them is known. The loop needs at most one such step per ``SERIAL_LEGS`` legs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -43,9 +48,15 @@ INSUFFICIENT = "saldo insuficiente"
 
 DECISION_COLUMNS = ("id_transaccion", "cuenta_origen", "cuenta_destino", "monto", "aceptada", "motivo")
 
-# An account with more legs than this is left cut in several ranges.
+# An account with no more legs than this is never cut.
 WHOLE_ACCOUNT_LEGS = 100_000
 
+# As many legs may be taken one by one in a single task.
+SERIAL_LEGS = 100_000
+
+# Undecided credits kept back, per account, in case no undecided debit follows.
+HELD_LEGS = 10_000
+
 DEBIT, CREDIT, CARRY = 0, 1, 2
 
 LEG_COLUMNS = {
@@ -61,7 +72,6 @@ LEG_COLUMNS = {
     "accepted": "boolean",
 }
 LEG_SCHEMA = ", ".join(f"{name} {dtype}" for name, dtype in LEG_COLUMNS.items())
-LAST_ID = 2**63 - 1
 
 
 def _movements(transactions: DataFrame) -> DataFrame:
@@ -100,9 +110,9 @@ def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial")
     )
     state = cuenta.select("no_cuenta", "saldo").join(debits, "no_cuenta", "left")
     short = F.coalesce(F.col("debits") > F.col("saldo"), F.lit(False))
-    state = materialise(state.select("no_cuenta", cents(F.col("saldo")).alias("opening"), short.alias("short")))
-
-    origin = state.select(F.col("no_cuenta").alias("cuenta_origen"), "opening", "short")
+    origin = state.select(
+        F.col("no_cuenta").alias("cuenta_origen"), cents(F.col("saldo")).alias("opening"), short.alias("short")
+    )
     opened = materialise(tx.join(origin, "cuenta_origen", "left"))
     reason = F.when(_bad_amount(), BAD_AMOUNT).when(F.col("opening").isNull(), UNKNOWN_ORIGIN)
     waits = F.coalesce(F.col("short"), F.lit(False)) & ~_bad_amount()
@@ -117,7 +127,10 @@ def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial")
         F.lit(None).cast("boolean").alias("accepted"),
     )
     if mode == "serial":
-        receivers = state.where("short").select(F.col("no_cuenta").alias("cuenta_destino"), "opening")
+        # Only short accounts need their credits; each has a debit, so it is found among the origins.
+        receivers = (
+            opened.where("short").groupBy(F.col("cuenta_origen").alias("cuenta_destino")).agg(F.max("opening").alias("opening"))
+        )
         paid_in = opened.where(~_bad_amount() & F.col("opening").isNotNull()).drop("opening")
         legs = legs.unionByName(
             paid_in.join(receivers, "cuenta_destino").select(
@@ -167,75 +180,122 @@ def post_balances(cuenta: DataFrame, movements: DataFrame) -> DataFrame:
     return apply_change(cuenta, net_change(movements))
 
 
-def settle(legs: DataFrame, slices: int | None = None, whole_account_legs: int = WHOLE_ACCOUNT_LEGS) -> DataFrame:
+def settle(
+    legs: DataFrame,
+    slices: int | None = None,
+    whole_account_legs: int = WHOLE_ACCOUNT_LEGS,
+    serial_legs: int = SERIAL_LEGS,
+) -> DataFrame:
     """Decide every debit leg. Returns the debit legs with ``accepted`` set."""
-    spark = legs.sparkSession
-    n = slices or slice_count(spark)
-    placed = _place(legs, n, whole_account_legs)
-    open_legs, known, found = placed, None, []
-    while True:
-        if known is not None:
-            # Debits decided in the last round become known credits in this one.
-            news = known.select("id", F.lit(CREDIT).alias("kind"), F.col("accepted").alias("news"))
-            open_legs = (
-                open_legs.join(news, ["id", "kind"], "left")
-                .withColumn("accepted", F.coalesce("accepted", "news"))
-                .select(*LEG_COLUMNS)
-            )
-        bounds = F.broadcast(_slice_bounds(open_legs))
+    n = slices or slice_count(legs.sparkSession)
+    is_debit = F.col("kind") == DEBIT
+    decided = is_debit & F.col("accepted").isNotNull()
+    undecided_id = F.when(is_debit & F.col("accepted").isNull(), F.col("id"))
+    measures = (
+        F.count_if(decided).alias("decided"),
+        F.count_if(~decided).alias("legs"),
+        F.count(undecided_id).alias("undecided"),
+        F.min(undecided_id).alias("first"),
+        F.max(undecided_id).alias("last"),
+    )
+    seen = legs.agg(*measures).first().asDict()
+    if seen["legs"] <= serial_legs:
+        open_legs, cut = _as_legs(legs.withColumn(SLICE, F.lit(0)), False), False
+    else:
+        open_legs, cut = _place(legs, n, whole_account_legs)
+    found = [open_legs.where(decided)]
+    poor = False
+    while seen["undecided"]:
+        until = _serial_reach(open_legs, seen, serial_legs, poor)
+        if until is not None:
+            early = open_legs.where(F.col("id") <= until).repartition(1).sortWithinPartitions("id", "kind")
+            taken = materialise(early.mapInPandas(_one_by_one(until), LEG_SCHEMA))
+            found.append(taken.where(decided))
+            open_legs = open_legs.where(F.col("id") > until).unionByName(taken.where(~decided))
+            seen = open_legs.agg(*measures).first().asDict() if until < seen["last"] else {"undecided": 0}
+            poor = False
+            continue
+        watch = Observation()
         scanned = materialise(
-            open_legs.join(bounds, ["cuenta", SLICE], "left")
-            .withColumn("lo", F.coalesce("lo", "opening"))
-            .withColumn("hi", F.coalesce("hi", "opening"))
+            _with_bounds(open_legs, cut)
             .repartitionById(n, F.col(SLICE))
             .sortWithinPartitions(SLICE, "cuenta", "id", "kind")
-            .mapInPandas(_scan, LEG_SCHEMA)
+            .mapInPandas(_scanner(), LEG_SCHEMA)
+            .observe(watch, *measures)
         )
-        known = scanned.where((F.col("kind") == DEBIT) & F.col("accepted").isNotNull())
-        open_legs = scanned.where((F.col("kind") != DEBIT) | F.col("accepted").isNull())
-        found.append(known)
-        if open_legs.where(F.col("kind") == DEBIT).isEmpty():
-            break
-        if known.isEmpty():
+        seen = watch.get
+        if not seen["decided"]:
             raise RuntimeError("no transaction could be decided: is id_transaccion unique?")
-    decided = found[0]
-    for more in found[1:]:
-        decided = decided.unionByName(more)
-    return decided
+        poor = seen["decided"] < serial_legs
+        known = scanned.where(decided)
+        found.append(known)
+        # Debits decided now are known credits from here on.
+        news = known.select("id", F.lit(CREDIT).alias("kind"), F.col("accepted").alias("news"))
+        open_legs = (
+            scanned.where(~decided)
+            .join(news, ["id", "kind"], "left")
+            .withColumn("accepted", F.coalesce("accepted", "news"))
+            .select(*LEG_COLUMNS)
+        )
+    return reduce(DataFrame.unionByName, found)
 
 
-def _place(legs: DataFrame, slices: int, whole_account_legs: int) -> DataFrame:
-    """Cut the legs into key ranges; bring an account that straddles ranges back into one unless it is large.
+def _serial_reach(legs: DataFrame, seen: dict, serial_legs: int, poor: bool) -> int | None:
+    """Up to which id the legs may be taken in one task; None when the next round should be a parallel one."""
+    if seen["legs"] <= serial_legs:
+        return seen["last"]
+    if not poor:
+        return None
+    first, reach = seen["first"], seen["last"]
+    reach = first + (reach - first) * serial_legs // seen["legs"]
+    while legs.where(F.col("id") <= reach).count() > 2 * serial_legs:
+        if reach == first:
+            return None
+        reach = (first + reach) // 2
+    return reach
 
-    Only the first and the last account of a range can straddle, so fewer accounts than ranges do.
-    """
-    cut = range_slices(legs, ["cuenta", "id", "kind"], slices)
-    edges = cut.groupBy(SLICE).agg(F.array(F.min("cuenta"), F.max("cuenta")).alias("edge"))
-    straddlers = (
-        edges.select(SLICE, F.explode(F.array_distinct("edge")).alias("cuenta"))
-        .groupBy("cuenta")
-        .agg(F.count(F.lit(1)).alias("ranges"))
-        .where("ranges > 1")
-        .select("cuenta")
-    )
-    homes = (
-        cut.join(F.broadcast(straddlers), "cuenta", "left_semi")
-        .groupBy("cuenta")
-        .agg(F.min(SLICE).alias("home"), (F.count(F.lit(1)) > whole_account_legs).alias("large"))
+
+def _as_legs(df: DataFrame, split: bool) -> DataFrame:
+    return (
+        df.withColumn("split", F.lit(split)).withColumn("pre", F.lit(0).cast("long")).select(*LEG_COLUMNS)
     )
-    large = F.coalesce(F.col("large"), F.lit(False))
-    placed = cut.join(F.broadcast(homes), "cuenta", "left")
+
+
+def _place(legs: DataFrame, slices: int, whole_account_legs: int) -> tuple[DataFrame, bool]:
+    """Give each leg its piece, and tell whether any account is cut.
+
+    Whole accounts are spread by hash. An account is cut when it has more legs than ``whole_account_legs``
+    and than the even share of a piece; fewer than ``slices`` accounts can be that large.
+    """
+    sizes = legs.groupBy("cuenta").agg(F.count(F.lit(1)).alias("legs"))
+    everything = sizes.agg(F.sum("legs").alias("legs")).scalar()
+    large = sizes.where((F.col("legs") > whole_account_legs) & (F.col("legs") * slices > everything)).select("cuenta")
+    large = materialise(large)
+    cut = not large.isEmpty()
+    if cut:
+        whole = legs.join(F.broadcast(large), "cuenta", "left_anti")
+        pieces = range_slices(legs.join(F.broadcast(large), "cuenta", "left_semi"), ["cuenta", "id", "kind"], slices)
+    else:
+        whole, pieces = legs, None
+    placed = _as_legs(whole.withColumn(SLICE, F.pmod(F.hash("cuenta"), F.lit(slices))), False)
+    return (placed.unionByName(_as_legs(pieces, True)) if cut else placed), cut
+
+
+def _with_bounds(legs: DataFrame, cut: bool) -> DataFrame:
+    """Add ``lo`` and ``hi``, the balance bounds at the start of the leg's piece: the opening balance, but
+    for pieces of an account that is cut."""
+    if not cut:
+        return legs.withColumn("lo", F.col("opening")).withColumn("hi", F.col("opening"))
     return (
-        placed.withColumn(SLICE, F.when(large, F.col(SLICE)).otherwise(F.coalesce("home", SLICE)))
-        .withColumn("split", large)
-        .withColumn("pre", F.lit(0).cast("long"))
-        .select(*LEG_COLUMNS)
+        legs.join(F.broadcast(_slice_bounds(legs)), ["cuenta", SLICE], "left")
+        .withColumn("lo", F.when(F.col("split"), F.col("lo")).otherwise(F.col("opening")))
+        .withColumn("hi", F.when(F.col("split"), F.col("hi")).otherwise(F.col("opening")))
     )
 
 
 def _slice_bounds(legs: DataFrame) -> DataFrame:
-    """Balance bounds at the start of each range of an account that is cut: one row per range and account,
-    at most two such accounts to a range.
+    """Balance bounds at the start of each piece of an account that is cut. Accounts and pieces are both
+    fewer than the tasks, and a piece holds a run of accounts: at most twice that many rows.
 
     Whatever happens, a balance never falls below its opening or zero, whichever is lower.
     """
@@ -261,63 +321,103 @@ def _slice_bounds(legs: DataFrame) -> DataFrame:
     )
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One ordered pass over whole ranges: decide debits from the bounds, fold in what is decided.
+def _scanner() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """One ordered pass over pieces: decide debits from the bounds, fold in what is decided.
 
-    Emits decided debits, undecided legs, and for a cut account what is left over at the range's end.
+    Emits decided debits, undecided legs, and for a cut account what is left over at the piece's end.
     Credits after an account's last undecided debit cannot matter, and are held back until one follows.
+    The pass is a local function so that it travels to the executors by value: they need no package.
     """
-    columns = list(LEG_COLUMNS)
-    group = None
-    low = high = pending = 0
-    held: list[tuple] = []
-    last_debit = last_verdict = None
-
-    def close() -> list[tuple]:
-        if group is None or not group[2] or not pending:
-            return []
-        return [(group[1], group[0], LAST_ID, CARRY, 0, None, pending, group[3], True, None)]
-
-    for batch in batches:
-        out: list[tuple] = []
-        fields = (batch[c].tolist() for c in (*columns, "lo", "hi"))
-        for cuenta, piece, key, kind, amount, other, pre, opening, split, known, lo, hi in zip(*fields):
-            if group is None or group[0] != piece or group[1] != cuenta:
-                out += close()
-                group = (piece, cuenta, split, opening)
-                low, high, pending, held = lo, hi, 0, []
-                last_debit = last_verdict = None
-            low += pre
-            high += pre
-            pending += pre
-            if kind == DEBIT:
-                if low >= amount:
-                    verdict = True
-                    low, high, pending = low - amount, high - amount, pending - amount
-                elif high < amount:
-                    verdict = False
-                else:
-                    verdict = None
-                    out += held
-                    held = []
-                    low, high = min(low, 0), max(high - amount, amount - 1)
-                last_debit, last_verdict = key, verdict
-                carried = pending if verdict is None else 0
-                out.append((cuenta, piece, key, kind, amount, other, carried, opening, split, verdict))
-                if verdict is None:
-                    pending = 0
-            elif kind == CREDIT:
-                if known is None and key == last_debit:
-                    known = last_verdict
-                if known is None:
-                    high += amount
-                    leg = (cuenta, piece, key, kind, amount, other, pending, opening, split, None)
-                    pending = 0
-                    if split:
-                        out.append(leg)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = list(LEG_COLUMNS)
+        group = None
+        low = high = pending = last_id = 0
+        held: list[tuple] = []
+        last_debit = last_verdict = None
+
+        def close() -> list[tuple]:
+            if group is None or not group[2] or not pending:
+                return []
+            return [(group[1], group[0], last_id, CARRY, 0, None, pending, group[3], True, None)]
+
+        for batch in batches:
+            out: list[tuple] = []
+            fields = (batch[c].tolist() for c in (*columns, "lo", "hi"))
+            for cuenta, piece, key, kind, amount, other, pre, opening, split, known, lo, hi in zip(*fields):
+                if group is None or group[0] != piece or group[1] != cuenta:
+                    out += close()
+                    group = (piece, cuenta, split, opening)
+                    low, high, pending, held = lo, hi, 0, []
+                    last_debit = last_verdict = None
+                last_id = key
+                low += pre
+                high += pre
+                pending += pre
+                if kind == DEBIT:
+                    if low >= amount:
+                        verdict = True
+                        low, high, pending = low - amount, high - amount, pending - amount
+                    elif high < amount:
+                        verdict = False
                     else:
+                        verdict = None
+                        out += held
+                        held = []
+                        low, high = min(low, 0), max(high - amount, amount - 1)
+                    last_debit, last_verdict = key, verdict
+                    carried = pending if verdict is None else 0
+                    out.append((cuenta, piece, key, kind, amount, other, carried, opening, split, verdict))
+                    if verdict is None:
+                        pending = 0
+                elif kind == CREDIT:
+                    if known is None and key == last_debit:
+                        known = last_verdict
+                    if known is None:
+                        high += amount
+                        leg = (cuenta, piece, key, kind, amount, other, pending, opening, split, None)
+                        pending = 0
                         held.append(leg)
-                elif known:
-                    low, high, pending = low + amount, high + amount, pending + amount
-        yield pd.DataFrame(out, columns=columns)
-    yield pd.DataFrame(close(), columns=columns)
+                        if split or len(held) >= HELD_LEGS:
+                            out += held
+                            held = []
+                    elif known:
+                        low, high, pending = low + amount, high + amount, pending + amount
+            yield pd.DataFrame(out, columns=columns)
+        yield pd.DataFrame(close(), columns=columns)
+
+    return scan
+
+
+def _one_by_one(until: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The earliest legs in id order, each decided from the exact balance. Emits decided debits, and per
+    account what its later legs start from."""
+
+    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = list(LEG_COLUMNS)
+        balance: dict[str, int] = {}
+        last_leg: dict[str, tuple] = {}
+        verdicts: dict[int, bool] = {}
+        for batch in batches:
+            out = []
+            for cuenta, piece, key, kind, amount, other, pre, opening, split, known in zip(
+                *(batch[c].tolist() for c in columns)
+            ):
+                money = balance.get(cuenta, opening) + pre
+                if kind == DEBIT:
+                    verdict = verdicts[key] = money >= amount
+                    if verdict:
+                        money -= amount
+                    out.append((cuenta, piece, key, kind, amount, other, 0, opening, split, verdict))
+                elif kind == CREDIT and (verdicts[key] if known is None else known):
+                    money += amount
+                balance[cuenta] = money
+                last_leg[cuenta] = (piece, opening, split)
+            yield pd.DataFrame(out, columns=columns)
+        rest = [
+            (cuenta, piece, until, CARRY, 0, None, balance[cuenta] - opening, opening, split, None)
+            for cuenta, (piece, opening, split) in last_leg.items()
+        ]
+        yield pd.DataFrame(rest, columns=columns)
+
+    return take
