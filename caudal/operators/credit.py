@@ -159,7 +159,8 @@ def train(
     training, measured = labelled, labelled
     if holdout > 0:
         training, measured = labelled.randomSplit([1 - holdout, holdout], seed=seed)
-    model = Pipeline(stages=steps).fit(training)
+    # The copy leaves the training summary behind: it holds the session, and would travel with every task.
+    model = Pipeline(stages=steps).fit(training).copy()
     scored = model.transform(labelled)
     judged = scored if holdout <= 0 else model.transform(measured)
     auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(judged)
