@@ -46,9 +46,9 @@ TILE_ORDER = ("id_cliente", "id_transaccion", "estado_tarjeta", "emisor", "estad
 def _attach(transacciones: DataFrame, accounts: DataFrame, tarjetas: DataFrame, card_key: str) -> DataFrame:
     """Transactions ⟕ card ⟕ account.
 
-    By ``no_cuenta`` a transaction meets every card of its origin account. Cards and accounts are then
-    joined first, both being small next to the transactions, which are shuffled once. The full join keeps
-    cards whose account row is missing. By ``no_tarjeta`` it meets the one card it was made with.
+    By ``no_cuenta`` a transaction meets every card of its origin account. Cards and accounts are put
+    together first, both being small next to the transactions, which are shuffled at most once. Cards
+    whose account row is missing are kept. By ``no_tarjeta`` it meets the one card it was made with.
     """
     tx = transacciones.select(
         "id_transaccion", "tipo_movimiento", "monto", "fecha_transaccion", "cuenta_origen", "no_tarjeta"
@@ -56,7 +56,9 @@ def _attach(transacciones: DataFrame, accounts: DataFrame, tarjetas: DataFrame,
     accounts = accounts.withColumnRenamed("no_cuenta", "cuenta_origen")
     if card_key == "no_cuenta":
         cards = tarjetas.select(F.col("no_cuenta").alias("cuenta_origen"), "estado", "emisor")
-        return tx.join(accounts.join(cards, "cuenta_origen", "full"), "cuenta_origen", "left")
+        stray = cards.join(accounts.select("cuenta_origen"), "cuenta_origen", "left_anti")
+        held = accounts.join(cards, "cuenta_origen", "left").unionByName(stray, allowMissingColumns=True)
+        return tx.join(held, "cuenta_origen", "left")
     if card_key == "no_tarjeta":
         cards = tarjetas.select("no_tarjeta", "estado", "emisor")
         return tx.join(cards, "no_tarjeta", "left").join(accounts, "cuenta_origen", "left")

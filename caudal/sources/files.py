@@ -36,7 +36,7 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """CSV with a header. Quotes are escaped by doubling, so that any text reads back as written."""
+    """CSV with a header. Quotes are escaped by doubling, so that quoted text reads back as written."""
     writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -44,7 +44,7 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", False)
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
     return reader.csv(path)
 
 
