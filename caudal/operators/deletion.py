@@ -74,7 +74,9 @@ def delete_rows(tables: Mapping[str, DataFrame], table: str, keys: DataFrame) ->
 
     def drop(name: str, ids: DataFrame) -> None:
         key = TABLES[name].key
-        changed[name] = changed[name].join(ids.select(F.col("id").alias(key)).distinct(), key, "left_anti")
+        table_now = changed[name]
+        gone = ids.select(F.col("id").alias(key)).distinct()
+        changed[name] = table_now.join(gone, key, "left_anti").select(*table_now.columns)
 
     def set_null(ref: Reference, ids: DataFrame) -> None:
         child = changed[ref.child]

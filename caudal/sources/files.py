@@ -35,17 +35,25 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+# Quotes are doubled, and spaces around a value are kept.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """CSV with a header. Quotes are escaped by doubling, so that quoted text reads back as written."""
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = df.write.mode("overwrite").options(**CSV_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    return reader.csv(path)
+    """What ``write_csv`` wrote. NULL is written as nothing, so an empty text reads back as NULL."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def read_bundle(spark: SparkSession, root: str, names: Mapping[str, str] | Iterable[str]) -> dict[str, DataFrame]:

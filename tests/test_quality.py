@@ -1,0 +1,90 @@
+from caudal.operators import quality
+from caudal.plans.audit import audit, run_sql
+from caudal.schemas import TABLES
+
+
+def failures(df):
+    return {r["regla"]: r["fallas"] for r in df.collect()}
+
+
+def broken(sample, frame):
+    """The sample with one fault of each kind."""
+    t = {name: sample[name] for name in TABLES}
+    t["cuenta"] = t["cuenta"].unionByName(
+        frame(
+            [("dup", "Otro", "-1", 1), ("dup", None, "1", 999999)],
+            "no_cuenta string; tipo_cuenta string; saldo decimal(12,2); id_cliente long",
+        )
+    )
+    t["beneficiario_tel"] = t["beneficiario_tel"].unionByName(
+        frame([("1" * 16, 1)], "tel string; id_beneficiario long")
+    )
+    tx = t["transaccion"]
+    zero = tx.limit(1).selectExpr(*(f"CAST(0 AS decimal(16,2)) AS {c}" if c == "monto" else c for c in tx.columns))
+    t["transaccion"] = tx.unionByName(zero)
+    t["beneficiario"] = t["beneficiario"].unionByName(
+        frame(
+            [(10**9, "p", "n", "a", "0", "dup"), (10**9 + 1, "p", "n", "a", "100", "dup")],
+            "id_beneficiario long; parentesco string; nombre string; apellido string; porcentaje_saldo decimal(5,2); no_cuenta string",
+        )
+    )
+    return t
+
+
+def test_each_fault_is_counted_once(sample, frame):
+    before = failures(quality.quality_report(sample))
+    after = failures(quality.quality_report(broken(sample, frame)))
+    gained = {rule: after[rule] - before[rule] for rule in after if after[rule] != before[rule]}
+    assert gained == {
+        "cuenta.saldo negativo": 1,
+        "cuenta.tipo_cuenta fuera de dominio": 1,
+        "cuenta.tipo_cuenta nulo": 1,
+        "cuenta.no_cuenta repetido": 1,
+        "cuenta.id_cliente sin cliente": 1,
+        "transaccion.monto no positivo": 1,
+        "transaccion.id_transaccion repetido": 1,
+        "beneficiario.porcentaje_saldo fuera de rango": 1,
+        "beneficiario_tel.tel largo": 1,
+        "beneficiario_tel.id_beneficiario sin beneficiario": 1,
+    }
+
+
+def test_offending_rows_and_values(sample, frame):
+    t = broken(sample, frame)
+    assert quality.offending_rows(t, quality.NONPOSITIVE_AMOUNT).count() == 1
+    assert quality.duplicate_values(t["cuenta"], "no_cuenta").first()["filas"] == 2
+
+
+def test_percentages(frame):
+    accounts = frame([("a",), ("b",), ("c",), ("d",)], "no_cuenta string")
+    shares = frame(
+        [("a", "100"), ("b", "33.33"), ("b", "33.33"), ("b", "33.33"), ("d", "50"), ("d", "50")],
+        "no_cuenta string; porcentaje_saldo decimal(5,2)",
+    )
+    off = quality.accounts_off_total(accounts, shares)
+    assert {r["no_cuenta"]: str(r["total"]) for r in off.collect()} == {"b": "99.99", "c": "0.00"}
+
+
+def test_report_covers_every_rule_and_summary(sample):
+    report = quality.quality_report(sample)
+    names = [r["regla"] for r in report.collect()]
+    assert len(names) == len(set(names))
+    s = quality.summary(report).first()
+    assert s["reglas"] == len(names) and s["reglas_fallidas"] == report.where("NOT aprobada").count()
+
+
+def test_domains_are_parameters(sample):
+    types = ("Debito", "Ahorro", "Nomina", "Chequera", "Corriente", "O'Higgins")
+    rules = quality.domain_rules(account_types=types, biometric_types=("Huella", "Iris", "Facial"))
+    assert set(failures(quality.row_rule_failures(sample, rules)).values()) == {0}
+
+
+def test_audit_warns_but_does_not_stop(sample, caplog):
+    report = audit(sample)
+    assert report.count() == 4
+    assert sum(r.levelname == "WARNING" for r in caplog.records) == report.where("NOT aprobada").count()
+
+
+def test_sql_text(spark, sample):
+    got = run_sql(spark, "SELECT count(*) AS n FROM cuenta WHERE saldo < 0", {"cuenta": sample["cuenta"]})
+    assert got.first()["n"] == failures(quality.negative_balance(sample))["cuenta.saldo negativo"]
