@@ -103,7 +103,9 @@ def account_number(curp: Column, attempt: int = 0) -> Column:
 def _repeated(batch: DataFrame, existing: DataFrame, column: str, flag: str) -> DataFrame:
     """Flag rows whose value exists already, or came earlier in the batch."""
     first = batch.groupBy(column).agg(F.min("orden").alias("_first"))
-    taken = existing.select(column).distinct().withColumn("_taken", F.lit(True))
+    # Only the batch's own values are looked up: the existing table is filtered, not shuffled whole.
+    taken = existing.select(column).join(first.select(column), column, "left_semi").distinct()
+    taken = taken.withColumn("_taken", F.lit(True))
     seen = first.join(taken, column, "left")
     late = F.col("_taken").isNotNull() | (F.col("orden") > F.col("_first"))
     return batch.join(seen, column, "left").withColumn(flag, F.coalesce(late, F.lit(False))).drop("_first", "_taken")

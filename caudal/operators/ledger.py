@@ -30,7 +30,6 @@ task: everything before them is known. The loop needs at most one such step per
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from caudal.functions.money import cents, from_cents
 from caudal.operators.ranking import SLICE, range_slices
 from caudal.schemas import MONEY
-from caudal.session import materialise, slice_count
+from caudal.session import materialise, slice_count, store
 
 UNKNOWN_ORIGIN = "cuenta de origen desconocida"
 BAD_AMOUNT = "monto no positivo"
@@ -187,7 +186,8 @@ def settle(
     serial_legs: int = SERIAL_LEGS,
 ) -> DataFrame:
     """Decide every debit leg. Returns the debit legs with ``accepted`` set."""
-    n = slices or slice_count(legs.sparkSession)
+    spark = legs.sparkSession
+    n = slices or slice_count(spark)
     is_debit = F.col("kind") == DEBIT
     decided = is_debit & F.col("accepted").isNotNull()
     undecided_id = F.when(is_debit & F.col("accepted").isNull(), F.col("id"))
@@ -202,21 +202,26 @@ def settle(
     if seen["legs"] <= serial_legs:
         open_legs, cut = _as_legs(legs.withColumn(SLICE, F.lit(0)), False), False
     else:
-        open_legs, cut = _place(legs, n, whole_account_legs)
-    found = [open_legs.where(decided)]
+        open_legs, cut = _place(materialise(legs), seen["legs"], n, whole_account_legs)
+    nothing = open_legs.where(decided)
+    rounds: list[str] = []
     poor = False
+
+    def stored(legs_now: DataFrame) -> DataFrame:
+        rounds.append(store(legs_now))
+        return spark.read.schema(LEG_SCHEMA).parquet(rounds[-1])
+
     while seen["undecided"]:
         until = _serial_reach(open_legs, seen, serial_legs, poor)
         if until is not None:
             early = open_legs.where(F.col("id") <= until).repartition(1).sortWithinPartitions("id", "kind")
-            taken = materialise(early.mapInPandas(_one_by_one(until), LEG_SCHEMA))
-            found.append(taken.where(decided))
+            taken = stored(early.mapInPandas(_one_by_one(until), LEG_SCHEMA))
             open_legs = open_legs.where(F.col("id") > until).unionByName(taken.where(~decided))
             seen = open_legs.agg(*measures).first().asDict() if until < seen["last"] else {"undecided": 0}
             poor = False
             continue
         watch = Observation()
-        scanned = materialise(
+        scanned = stored(
             _with_bounds(open_legs, cut)
             .repartitionById(n, F.col(SLICE))
             .sortWithinPartitions(SLICE, "cuenta", "id", "kind")
@@ -227,17 +232,15 @@ def settle(
         if not seen["decided"]:
             raise RuntimeError("no transaction could be decided: is id_transaccion unique?")
         poor = seen["decided"] < serial_legs
-        known = scanned.where(decided)
-        found.append(known)
         # Debits decided now are known credits from here on.
-        news = known.select("id", F.lit(CREDIT).alias("kind"), F.col("accepted").alias("news"))
+        news = scanned.where(decided).select("id", F.lit(CREDIT).alias("kind"), F.col("accepted").alias("news"))
         open_legs = (
             scanned.where(~decided)
             .join(news, ["id", "kind"], "left")
             .withColumn("accepted", F.coalesce("accepted", "news"))
             .select(*LEG_COLUMNS)
         )
-    return reduce(DataFrame.unionByName, found)
+    return spark.read.schema(LEG_SCHEMA).parquet(*rounds).where(decided) if rounds else nothing
 
 
 def _serial_reach(legs: DataFrame, seen: dict, serial_legs: int, poor: bool) -> int | None:
@@ -261,15 +264,14 @@ def _as_legs(df: DataFrame, split: bool) -> DataFrame:
     )
 
 
-def _place(legs: DataFrame, slices: int, whole_account_legs: int) -> tuple[DataFrame, bool]:
+def _place(legs: DataFrame, total: int, slices: int, whole_account_legs: int) -> tuple[DataFrame, bool]:
     """Give each leg its piece, and tell whether any account is cut.
 
     Whole accounts are spread by hash. An account is cut when it has more legs than ``whole_account_legs``
     and than the even share of a piece; fewer than ``slices`` accounts can be that large.
     """
     sizes = legs.groupBy("cuenta").agg(F.count(F.lit(1)).alias("legs"))
-    everything = sizes.agg(F.sum("legs").alias("legs")).scalar()
-    large = sizes.where((F.col("legs") > whole_account_legs) & (F.col("legs") * slices > everything)).select("cuenta")
+    large = sizes.where((F.col("legs") > whole_account_legs) & (F.col("legs") * slices > total)).select("cuenta")
     large = materialise(large)
     cut = not large.isEmpty()
     if cut:

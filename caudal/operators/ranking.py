@@ -16,13 +16,23 @@ from pyspark.sql import functions as F
 from caudal.session import materialise, slice_count
 
 SLICE = "_slice"
+PLACE = "_place"
 TIE = "_tie"
 
+# The low bits of a monotonically increasing id count the rows of its task.
+ROW_BITS = 33
+
 
 def range_slices(df: DataFrame, order_by: Sequence[str], slices: int | None = None) -> DataFrame:
-    """``df`` written out in ``slices`` key ranges, with the range number in ``_slice``."""
+    """``df`` written out in ``slices`` sorted key ranges, with the range number in ``_slice`` and the
+    1-based place within the range in ``_place``. One shuffle: a sorted task numbers its own rows."""
     n = slices or slice_count(df.sparkSession)
-    return materialise(df.repartitionByRange(n, *order_by).withColumn(SLICE, F.spark_partition_id()))
+    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return materialise(
+        df.repartitionByRange(n, *order_by)
+        .sortWithinPartitions(*order_by)
+        .withColumns({SLICE: F.spark_partition_id(), PLACE: row_of_task + 1})
+    )
 
 
 def slice_offsets(sliced: DataFrame) -> DataFrame:
@@ -36,13 +46,7 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], name: str, slices: i
     """Add the 1-based global rank under ``order_by`` (NULLs first), which should be a unique key."""
     sliced = range_slices(df, order_by, slices)
     offsets = F.broadcast(slice_offsets(sliced).select(SLICE, "before"))
-    inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order_by))
-    return (
-        sliced.withColumn(name, inside)
-        .join(offsets, SLICE)
-        .withColumn(name, F.col("before") + F.col(name))
-        .drop(SLICE, "before")
-    )
+    return sliced.join(offsets, SLICE).withColumn(name, F.col("before") + F.col(PLACE)).select(*df.columns, name)
 
 
 def _last_ranks(rows: Column, tiles: int) -> Column:
@@ -53,29 +57,17 @@ def _last_ranks(rows: Column, tiles: int) -> Column:
 
 
 def tile_bounds(keys: DataFrame, order_by: Sequence[str], tiles: int, slices: int | None = None) -> DataFrame:
-    """``tiles - 1`` rows ``(tile, bound)``: the exact key that closes each tile but the last.
-
-    Only the ranges that hold such a key are sorted.
-    """
+    """``tiles - 1`` rows ``(tile, bound)``: the exact key that closes each tile but the last."""
     sliced = range_slices(keys.select(*order_by), order_by, slices)
-    offsets = slice_offsets(sliced)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wanted = (
-        offsets.withColumn("total", F.sum("rows").over(everything))
+        slice_offsets(sliced)
+        .withColumn("total", F.sum("rows").over(everything))
         .select(SLICE, "before", "rows", F.posexplode(_last_ranks(F.col("total"), tiles)).alias("tile", "rank"))
         .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("rows")))
-        .groupBy(SLICE, "before")
-        .agg(F.collect_list(F.struct("tile", "rank")).alias("wanted"))
-    )
-    inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order_by))
-    return (
-        sliced.join(F.broadcast(wanted), SLICE)
-        .withColumn("rank", inside + F.col("before"))
-        .where(F.exists("wanted", lambda w: w["rank"] == F.col("rank")))
-        .select("rank", F.struct(*order_by).alias("bound"), F.explode("wanted").alias("goal"))
-        .where("rank = goal.rank")
-        .select((F.col("goal.tile") + 1).alias("tile"), "bound")
+        .select((F.col("tile") + 1).alias("tile"), SLICE, (F.col("rank") - F.col("before")).alias(PLACE))
     )
+    return sliced.join(F.broadcast(wanted), [SLICE, PLACE]).select("tile", F.struct(*order_by).alias("bound"))
 
 
 def with_ntile(

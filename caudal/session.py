@@ -40,12 +40,16 @@ def work_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame) -> str:
+    """Write ``df`` to a new folder in the shared one and return its path."""
+    path = work_dir(df.sparkSession)
+    df.write.parquet(path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives executor loss."""
-    spark = df.sparkSession
-    path = work_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(store(df))
 
 
 def slice_count(spark: SparkSession) -> int:

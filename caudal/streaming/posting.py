@@ -6,8 +6,8 @@ Folders under the state root, each overwritten whole when a batch is retried:
 * ``changes/batch=<b>``: what batch ``b`` changed, by account;
 * ``decisions/batch=<b>``: the batch's transactions, accepted or refused with the reason.
 
-A batch reads the latest full version and the changes since, so it costs what it touches; a full version
-is written every ``compact_every`` batches. Versions follow from the batch number alone: a retry reads
+A batch reads the latest full version and the changes since, keeps the accounts it names, and writes only
+what it changes; a full version is written every ``compact_every`` batches. Versions follow from the batch number alone: a retry reads
 exactly what the first try read.
 """
 
