@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.operators.ranking import with_ntile
@@ -43,26 +43,59 @@ TILED_COLUMNS = (*FULL_COLUMNS, TILE)
 TILE_ORDER = ("id_cliente", "id_transaccion", "estado_tarjeta", "emisor", "estado_prestamo")
 
 
-def _attach(transacciones: DataFrame, accounts: DataFrame, tarjetas: DataFrame, card_key: str) -> DataFrame:
-    """Transactions ⟕ card ⟕ account.
+TIMES = "_times"
+REPEATS = 10_000
+
+
+def _counted(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """Distinct rows of the columns with how often each occurs, added up on the map side."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _times(*counts: str) -> Column:
+    """How many rows joins with these counts would give; a missing match still gives one."""
+    product = F.lit(1).cast("long")
+    for name in counts:
+        product = product * F.coalesce(F.col(name), F.lit(1).cast("long"))
+    return product
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Each row as often as its count says, in blocks so that no row needs a long array."""
+    last_block = F.floor((F.col(TIMES) - 1) / REPEATS)
+    in_block = F.least(F.col(TIMES) - F.col("_block") * REPEATS, F.lit(REPEATS).cast("long"))
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    return blocks.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), in_block))).drop("_block", "_row", TIMES)
+
+
+def _attach(silver: Mapping[str, DataFrame], accounts: DataFrame, card_key: str) -> DataFrame:
+    """Transactions ⟕ card ⟕ account, where ``accounts`` carries in ``_times`` how often each row counts.
 
     By ``no_cuenta`` a transaction meets every card of its origin account. Cards and accounts are put
     together first, both being small next to the transactions, which are shuffled at most once. Cards
     whose account row is missing are kept. By ``no_tarjeta`` it meets the one card it was made with.
+
+    Equal matches travel as one row and a count, and are repeated after the last join: an account or a
+    client with any number of cards, beneficiaries or loans is a handful of rows in every shuffle.
     """
-    tx = transacciones.select(
+    tx = silver["transacciones"].select(
         "id_transaccion", "tipo_movimiento", "monto", "fecha_transaccion", "cuenta_origen", "no_tarjeta"
     )
+    tarjetas = silver["tarjetas"]
     accounts = accounts.withColumnRenamed("no_cuenta", "cuenta_origen")
     if card_key == "no_cuenta":
-        cards = tarjetas.select(F.col("no_cuenta").alias("cuenta_origen"), "estado", "emisor")
-        stray = cards.join(accounts.select("cuenta_origen"), "cuenta_origen", "left_anti")
+        cards = _counted(tarjetas, F.col("no_cuenta").alias("cuenta_origen"), "estado", "emisor")
+        numbers = silver["cuentas"].select(F.col("no_cuenta").alias("cuenta_origen"))
+        stray = cards.join(numbers, "cuenta_origen", "left_anti")
         held = accounts.join(cards, "cuenta_origen", "left").unionByName(stray, allowMissingColumns=True)
-        return tx.join(held, "cuenta_origen", "left")
-    if card_key == "no_tarjeta":
+        held = held.withColumn(TIMES, _times(TIMES, "n")).drop("n")
+        wide = tx.join(held, "cuenta_origen", "left")
+    elif card_key == "no_tarjeta":
         cards = tarjetas.select("no_tarjeta", "estado", "emisor")
-        return tx.join(cards, "no_tarjeta", "left").join(accounts, "cuenta_origen", "left")
-    raise ValueError(f"unknown card key {card_key!r}")
+        wide = tx.join(cards, "no_tarjeta", "left").join(accounts, "cuenta_origen", "left")
+    else:
+        raise ValueError(f"unknown card key {card_key!r}")
+    return _repeated(wide.withColumn(TIMES, _times(TIMES)))
 
 
 def wide_transactions(
@@ -72,8 +105,10 @@ def wide_transactions(
 
     The client table would add no column and, its key being unique, no row: it is not joined.
     """
-    accounts = silver["cuentas"].select("no_cuenta", "tipo_cuenta", "saldo", "id_cliente")
-    wide = _attach(silver["transacciones"], accounts, silver["tarjetas"], card_key).select(*WIDE_COLUMNS)
+    accounts = silver["cuentas"].select(
+        "no_cuenta", "tipo_cuenta", "saldo", "id_cliente", F.lit(1).cast("long").alias(TIMES)
+    )
+    wide = _attach(silver, accounts, card_key).select(*WIDE_COLUMNS)
     return wide.repartition(files) if files else wide
 
 
@@ -81,21 +116,21 @@ def full_transactions(silver: Mapping[str, DataFrame], card_key: str = "no_cuent
     """The eleven-column extract: one row per transaction × card × beneficiary × loan.
 
     Beneficiaries add no column but do multiply rows. A loan attaches only when its client row exists.
-    Everything known of an account is put together first, so transactions are shuffled once.
     """
-    loans = (
-        silver["prestamos"]
-        .select("id_cliente", F.col("estado").alias("estado_prestamo"))
-        .join(silver["clientes"].select("id_cliente"), "id_cliente", "left_semi")
+    loans = _counted(silver["prestamos"], "id_cliente", F.col("estado").alias("estado_prestamo")).join(
+        silver["clientes"].select("id_cliente"), "id_cliente", "left_semi"
     )
+    beneficiaries = _counted(silver["beneficiarios"], "no_cuenta")
     accounts = (
         silver["cuentas"]
         .select("no_cuenta", "tipo_cuenta", "saldo", "id_cliente")
-        .join(loans, "id_cliente", "left")
-        .join(silver["beneficiarios"].select("no_cuenta"), "no_cuenta", "left")
+        .join(loans.withColumnRenamed("n", "loans"), "id_cliente", "left")
+        .join(beneficiaries, "no_cuenta", "left")
+        .withColumn(TIMES, _times("loans", "n"))
+        .drop("loans", "n")
     )
     return (
-        _attach(silver["transacciones"], accounts, silver["tarjetas"], card_key)
+        _attach(silver, accounts, card_key)
         .withColumnsRenamed({"monto": "monto_transaccion", "estado": "estado_tarjeta"})
         .select(*FULL_COLUMNS)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-_fallback: dict[str, str] = {}
+_fallback: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def build_session(app_name: str = "caudal", **conf: object) -> SparkSession:
@@ -25,19 +25,31 @@ def build_session(app_name: str = "caudal", **conf: object) -> SparkSession:
     return builder.getOrCreate()
 
 
+def _work_root(spark: SparkSession) -> str:
+    app = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or app.getCheckpointDir()
+    if not root:
+        if not app.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder shared by all executors")
+        if app.applicationId not in _fallback:
+            _fallback[app.applicationId] = tempfile.TemporaryDirectory(prefix="caudal-", ignore_cleanup_errors=True)
+        root = _fallback[app.applicationId].name
+    return f"{root.rstrip('/')}/caudal-{app.applicationId}"
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder name under the cluster's checkpoint folder.
 
     A temporary folder is used only in local mode with the setting absent; on a cluster every executor
     must see the folder, so a missing setting is an error there.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
-    if not root:
-        app = spark.sparkContext
-        if not app.master.startswith("local"):
-            raise ValueError(f"{CHECKPOINT_KEY} must name a folder shared by all executors")
-        root = _fallback.setdefault(app.applicationId, tempfile.mkdtemp(prefix="caudal-"))
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{_work_root(spark)}/{uuid.uuid4().hex}"
+
+
+def clean_work(spark: SparkSession) -> bool:
+    """Delete what this application has written under the checkpoint folder, once its results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def store(df: DataFrame) -> str:

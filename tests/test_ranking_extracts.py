@@ -97,6 +97,13 @@ def test_full_rows_multiply_by_card_beneficiary_and_loan(frame):
     assert full.where("id_transaccion = 2").first()["estado_prestamo"] is None
 
 
+def test_many_equal_matches_are_all_kept(frame):
+    t = build(frame)
+    t["beneficiarios"] = frame([("a1",)] * 25_001, "no_cuenta string")
+    counts = {r["id_transaccion"]: r["count"] for r in extracts.full_transactions(t).groupBy("id_transaccion").count().collect()}
+    assert counts == {1: 2 * 25_001 * 2, 2: 1, 3: 1, 4: 1}
+
+
 def test_files_fixes_the_number_of_partitions(silver):
     assert extracts.wide_transactions(silver, files=4).rdd.getNumPartitions() == 4
 

@@ -124,6 +124,9 @@ def test_work_dir_needs_a_shared_folder_on_a_cluster(monkeypatch):
     class Context:
         master, applicationId = "yarn", "x"
 
+        def getCheckpointDir(self):
+            return None
+
     class Session:
         conf, sparkContext = Conf(), Context()
 
