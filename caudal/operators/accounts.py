@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.operators.ranking import with_row_number
+from caudal.operators.skew import lookup_side
 from caudal.schemas import FEE_ACCOUNT_TYPE, LOAN_APPROVED, LOAN_PENDING, MONEY
 from caudal.sources.files import with_defaults
 
@@ -63,7 +64,7 @@ def authorize_loans(
     asked = requested.select("id_prestamo").distinct()
     decided = (
         asked.join(prestamo, "id_prestamo", "left")
-        .join(first_account, "id_cliente", "left")
+        .join(lookup_side(first_account), "id_cliente", "left")
         .withColumn(
             "motivo",
             F.when(F.coalesce(F.col("estado") != pending, F.lit(True)), LOAN_NOT_PENDING).when(
@@ -108,7 +109,7 @@ def _repeated(batch: DataFrame, existing: DataFrame, column: str, flag: str) ->
     taken = taken.withColumn("_taken", F.lit(True))
     seen = first.join(taken, column, "left")
     late = F.col("_taken").isNotNull() | (F.col("orden") > F.col("_first"))
-    return batch.join(seen, column, "left").withColumn(flag, F.coalesce(late, F.lit(False))).drop("_first", "_taken")
+    return batch.join(lookup_side(seen), column, "left").withColumn(flag, F.coalesce(late, F.lit(False))).drop("_first", "_taken")
 
 
 def register_clients(batch: DataFrame, cliente: DataFrame, cuenta: DataFrame, attempt: int = 0) -> Registration:

@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caudal.operators.skew import lookup_side
 from caudal.schemas import REFERENCES, TABLES, Reference
 
 BLOCKER_COLUMNS = ("clave", "tabla", "columna", "filas")
@@ -37,7 +38,7 @@ def _reached(tables: Mapping[str, DataFrame], table: str, doomed: DataFrame) ->
             continue
         child_key = TABLES[ref.child].key
         children = tables[ref.child].select(F.col(child_key).alias("child"), F.col(ref.column).alias("id"))
-        hit = children.join(doomed, "id").select("clave", F.col("child").alias("id"))
+        hit = children.join(lookup_side(doomed), "id").select("clave", F.col("child").alias("id"))
         yield Step(ref, doomed, hit)
         if ref.on_delete == "CASCADE":
             yield from _reached(tables, ref.child, hit)
@@ -82,7 +83,7 @@ def delete_rows(tables: Mapping[str, DataFrame], table: str, keys: DataFrame) ->
         child = changed[ref.child]
         gone = ids.select(F.col("id").alias(ref.column)).distinct().withColumn("_gone", F.lit(True))
         kept = F.when(F.col("_gone").isNull(), F.col(ref.column)).alias(ref.column)
-        changed[ref.child] = child.join(gone, ref.column, "left").select(
+        changed[ref.child] = child.join(lookup_side(gone), ref.column, "left").select(
             *(kept if c == ref.column else c for c in child.columns)
         )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.operators.ranking import with_ntile
+from caudal.operators.skew import lookup_side
 
 WIDE_COLUMNS = (
     "id_cliente",
@@ -89,10 +90,10 @@ def _attach(silver: Mapping[str, DataFrame], accounts: DataFrame, card_key: str)
         stray = cards.join(numbers, "cuenta_origen", "left_anti")
         held = accounts.join(cards, "cuenta_origen", "left").unionByName(stray, allowMissingColumns=True)
         held = held.withColumn(TIMES, _times(TIMES, "n")).drop("n")
-        wide = tx.join(held, "cuenta_origen", "left")
+        wide = tx.join(lookup_side(held), "cuenta_origen", "left")
     elif card_key == "no_tarjeta":
         cards = tarjetas.select("no_tarjeta", "estado", "emisor")
-        wide = tx.join(cards, "no_tarjeta", "left").join(accounts, "cuenta_origen", "left")
+        wide = tx.join(cards, "no_tarjeta", "left").join(lookup_side(accounts), "cuenta_origen", "left")
     else:
         raise ValueError(f"unknown card key {card_key!r}")
     return _repeated(wide.withColumn(TIMES, _times(TIMES)))

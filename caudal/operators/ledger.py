@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from caudal.functions.money import cents, from_cents
 from caudal.operators.ranking import SLICE, range_slices
+from caudal.operators.skew import lookup_side
 from caudal.schemas import MONEY
 from caudal.session import materialise, slice_count, store
 
@@ -112,7 +113,7 @@ def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial")
     origin = state.select(
         F.col("no_cuenta").alias("cuenta_origen"), cents(F.col("saldo")).alias("opening"), short.alias("short")
     )
-    opened = materialise(tx.join(origin, "cuenta_origen", "left"))
+    opened = materialise(tx.join(lookup_side(origin), "cuenta_origen", "left"))
     reason = F.when(_bad_amount(), BAD_AMOUNT).when(F.col("opening").isNull(), UNKNOWN_ORIGIN)
     waits = F.coalesce(F.col("short"), F.lit(False)) & ~_bad_amount()
 
@@ -132,7 +133,7 @@ def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial")
         )
         paid_in = opened.where(~_bad_amount() & F.col("opening").isNotNull()).drop("opening")
         legs = legs.unionByName(
-            paid_in.join(receivers, "cuenta_destino").select(
+            paid_in.join(lookup_side(receivers), "cuenta_destino").select(
                 F.col("cuenta_destino").alias("cuenta"),
                 F.col("id_transaccion").alias("id"),
                 F.lit(CREDIT).alias("kind"),

@@ -1,9 +1,10 @@
 """The plans are the ones we want: pruned scans, one shuffle of the fact, no one-task stage, no Python."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as e
-from caudal.operators import credit, extracts, ledger, silver
+from caudal.operators import credit, deletion, extracts, ledger, silver
 from caudal.operators.gold import kpi_movimientos
 from conftest import SMALL
 
@@ -89,3 +90,54 @@ def test_features_meet_accounts_after_adding_up(stored, no_broadcast):
 
 def test_client_join_is_not_there(stored):
     assert plan(silver.pivot_model_credit(stored["transaccion"], stored["cuenta"])).count("FileScan") == 2
+
+
+@pytest.fixture
+def small_skew(spark, no_broadcast):
+    """Thresholds at which the sample's hot account counts as skewed."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot_tables(stored):
+    """A third of the transactions and of the beneficiaries hang on one account."""
+    hot = F.lit("000000000001")
+    tx = stored["transaccion"].repartition(8)
+    third = F.pmod(F.xxhash64("id_transaccion"), F.lit(3)) == 0
+    shares = stored["beneficiario"]
+    return {
+        "transacciones": tx.withColumn("cuenta_origen", F.when(third, hot).otherwise(F.col("cuenta_origen"))),
+        "cuentas": stored["cuenta"],
+        "tarjetas": stored["tarjeta"],
+        "clientes": stored["cliente"],
+        "prestamos": stored["prestamo"],
+        "beneficiarios": shares.withColumn("no_cuenta", F.when(F.col("id_beneficiario") % 3 == 0, hot).otherwise(F.col("no_cuenta"))),
+    }
+
+
+def test_a_hot_account_is_split(stored, small_skew):
+    tables = hot_tables(stored)
+    third = F.pmod(F.xxhash64("id_transaccion"), F.lit(3)) == 0
+    card = F.when(third, F.lit("4152000000000001")).otherwise(F.col("no_tarjeta"))
+    one_card = {**stored, "transaccion": stored["transaccion"].repartition(8).withColumn("no_tarjeta", card)}
+    for df in (
+        silver.fact_transacciones(tables["transacciones"], tables["cuentas"]),
+        ledger.authorize_opening(tables["transacciones"], tables["cuentas"]),
+        extracts.wide_transactions(tables),
+        extracts.full_transactions(tables),
+        extracts.full_transactions(tables, card_key="no_tarjeta"),
+        deletion.delete_rows(one_card, "tarjeta", stored["tarjeta"].where("no_tarjeta = '4152000000000001'")).tables["transaccion"],
+    ):
+        df.collect()
+        assert "skew=true" in plan(df)
