@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from caudal.operators import accounts, credit, deletion, extracts, gold, ledger,
 from caudal.plans.extracts import bundle  # noqa: E402
 from caudal.plans.lakehouse import Lake  # noqa: E402
 from caudal.schemas import TABLES  # noqa: E402
-from caudal.session import work_dir  # noqa: E402
+from caudal.session import CHECKPOINT_KEY, work_dir  # noqa: E402
 from caudal.sources.files import join_path, preview, read_csv, write_csv, write_parquet  # noqa: E402
 from caudal.sources.sample import SampleTables  # noqa: E402
 from caudal.streaming.posting import LedgerState, stream_postings  # noqa: E402
@@ -197,9 +198,31 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
 }
 
 
+def _with_work_folder(query: Query) -> Query:
+    """Intermediate tables go to the folder the cluster names; where it names none, to one of our own."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if not spark.conf.get(CHECKPOINT_KEY, None) and not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="caudal-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
+try:  # the training-data operators can be left out
+    import corpus_pipeline
+    from caudal.llm.queries import ORACLES as LLM_ORACLES, QUERIES as LLM_QUERIES
+
+    EXTRA_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    EXTRA_ORACLES = {**LLM_ORACLES, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+except ImportError:
+    EXTRA_QUERIES, EXTRA_ORACLES = {}, {}
+
+
 def queries() -> dict[str, Query]:
-    return {name: _on_tables(build) for name, build in QUERIES.items()}
+    own = {name: _on_tables(build) for name, build in QUERIES.items()}
+    return {name: _with_work_folder(query) for name, query in {**own, **EXTRA_QUERIES}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return {**oracles.oracle_sql(), **EXTRA_ORACLES}
