@@ -101,8 +101,8 @@ def _rows_of(bitmap: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[:n])
 
 
-def _matrix(blob: bytes, dims: int) -> np.ndarray:
-    return np.frombuffer(blob, np.int64).reshape(-1, dims) if dims else np.zeros((0, 0), np.int64)
+def _matrix(blob: bytes, rows: int, dims: int) -> np.ndarray:
+    return np.frombuffer(blob, np.int64).reshape(rows, dims)
 
 
 def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,7 +140,7 @@ def _answer(k: int):
         for batch in batches:
             for row in batch.itertuples(index=False):
                 ids = np.frombuffer(row.ids, np.int64)
-                values = _matrix(row.values_, row.dims)
+                values = _matrix(row.values_, len(ids), row.dims)
                 if row.segment != last:
                     last, index = row.segment, [slices_of(values[:, d]) for d in range(row.dims)]
                 words = -(-len(ids) // 64)
@@ -148,7 +148,8 @@ def _answer(k: int):
                 rows[: len(ids)] = 1
                 everyone = np.packbits(rows, bitorder="little").view(np.uint64)
                 out = []
-                for query_id, query in zip(np.frombuffer(row.query_ids, np.int64), _matrix(row.query, row.dims)):
+                asked = np.frombuffer(row.query_ids, np.int64)
+                for query_id, query in zip(asked, _matrix(row.query, len(asked), row.dims)):
                     alive = everyone.copy()
                     for own in np.flatnonzero(ids == query_id):
                         alive[own // 64] &= ~np.uint64(1 << (own % 64))

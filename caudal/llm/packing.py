@@ -108,7 +108,8 @@ class Packer:
     def pack(self) -> None:
         for k in range(len(TIERS) - 1, -1, -1):
             tier, floor = TIERS[k], TIERS[k - 1] if k else 0
-            while self.mask >> (floor + 1) and self.tokens >= tier:
+            own = (1 << (tier + 1)) - (1 << (floor + 1))
+            while self.mask & own and self.tokens >= tier:
                 first = self._take(tier)
                 self.emit(tier, [first, *self._fill(tier - first[2])])
 

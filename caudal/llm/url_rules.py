@@ -75,9 +75,9 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     n = rows.count()
     spark = rows.sparkSession
     nothing = spark.createDataFrame([], "tokens array<string>, confidence double, lift double, support double")
-    if not n:
-        return nothing
     least = max(2.0, support * n)
+    if least > n:
+        return nothing
     each = rows.select("row", F.explode("tokens").alias("token"))
     common = each.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     rare = F.slice(F.array_sort(F.collect_list(F.struct("n", "token"))), 1, most)

@@ -70,7 +70,12 @@ def test_steps_are_balanced_and_ids_come_along(middle_documents):
     full = [s for s, n in steps.items() if n == pk.STEP]
     assert max(steps.values()) == pk.STEP and len(full) >= len(steps) - 2 * (len(pk.TIERS) + 1)
     assert all(len(tiers[s]) == 1 for s in full)
-    assert {t for s in full for t in tiers[s]} >= {256, 512, 1024}
+    assert {t for s in full for t in tiers[s]} >= {512, 1024}
+
+
+def test_short_documents_fill_short_windows(documents):
+    pieces = pk.pack(documents([(i, f"short text {i} " * (1 + i % 9)) for i in range(2000)]).coalesce(1)).collect()
+    assert {p.tier for p in pieces} >= {128} and max(p.tier for p in pieces) == 128
 
 
 def test_packer_fills_windows_from_shorter_tiers():
