@@ -18,7 +18,8 @@ and no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,7 @@ from caudal.session import materialise
 REGISTERS, BAND, MANTISSA = 252, 6, 10
 BANDS = REGISTERS // BAND
 SMALL = 12
+SIGNS = 2048
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -128,13 +130,21 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The lowest bit of every filled register, in four longs."""
+    """One bit of each of ``SIGNS`` minima of differently mixed shingle hashes, in longs."""
+    salts = mix(np.arange(1, SIGNS + 1, dtype=np.uint64))
     for batch in batches:
-        if len(batch):
-            bits = np.zeros((len(batch), 256), np.uint8)
-            bits[:, :REGISTERS] = densify(_registers(batch["sketch"])) & 1
-            longs = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
-            yield pd.DataFrame({"id": batch["id"], **{f"s{i}": longs[:, i] for i in range(4)}})
+        rows = []
+        for shingles in batch["shingles"]:
+            least = np.full(SIGNS, np.uint64(0xFFFFFFFFFFFFFFFF))
+            own = np.asarray(shingles, np.int64).view(np.uint64)
+            for low in range(0, len(own), 256):
+                part = (own[low : low + 256, None] ^ salts) * np.uint64(0x9E3779B97F4A7C15)
+                part ^= part >> np.uint64(32)
+                least = np.minimum(least, (part * np.uint64(0xD6E8FEB86659FD93)).min(axis=0))
+            rows.append(np.packbits((mix(least) & np.uint64(1)).astype(np.uint8), bitorder="little").view(np.int64))
+        if rows:
+            longs = np.stack(rows)
+            yield pd.DataFrame({"id": batch["id"], **{f"s{i}": longs[:, i] for i in range(SIGNS // 64)}})
 
 
 def _likely(percent: int):
@@ -159,16 +169,19 @@ class _Confirm:
     def __init__(self, documents: DataFrame, reps: DataFrame, percent: int):
         self.documents, self.reps, self.percent = documents, reps, percent
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``(id, shingles)`` of the documents named."""
+        texts = self.documents.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        return materialise(texts.mapInPandas(_shingle_sets, "id long, shingles array<long>"))
+
+    def __call__(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         side = lambda x: self.reps.select(
             F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")
         )
         likely = pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_likely(self.percent), "a long, b long")
         likely = materialise(likely)
-        named = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id")))
-        wanted = self.reps.select(F.col("id").alias("doc_id"), "digest").join(named.distinct(), "doc_id")
-        texts = self.documents.join(wanted.select("doc_id"), "doc_id", "left_semi")
-        sets = materialise(texts.mapInPandas(_shingle_sets, "id long, shingles array<long>"))
+        if sets is None:
+            sets = self.sets(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct())
         one = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
         met = likely.join(one("a"), "a").join(one("b"), "b")
         both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
@@ -176,32 +189,31 @@ class _Confirm:
         return materialise(met.where(100 * both >= self.percent * union).select("a", "b").distinct())
 
 
-def _left_over(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of large-bucket members that lie in different components so far.
+def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> DataFrame:
+    """Links between large-bucket members that lie in different components so far.
 
-    Members outside the main component of their bucket are compared with the rest of the bucket.
-    One bit of every register, compared in the join, leaves pairs that can reach the threshold:
-    at the threshold ``(1 - t) / 2`` of 252 bits differ, and seven deviations are to spare.
+    Members outside the main component of their bucket are compared with the rest of the bucket, a pair
+    in the first bucket it shares. What is compared in the join are ``SIGNS`` one-bit minima: at the
+    threshold ``(1 - t) / 2`` of them differ, and a pair goes on with up to 4.5 deviations more.
     """
-    low = percent / 100
-    differ = REGISTERS * (1 - low) / 2
-    limit = int(differ + 7 * np.sqrt(differ)) + 1
-    placed = members.join(labels.withColumnRenamed("component", "c"), "id", "left").withColumn(
-        "c", F.coalesce("c", "id")
-    )
+    expected = SIGNS * (1 - confirm.percent / 100) / 2
+    limit = int(expected + 4.5 * np.sqrt(expected * (1 - expected / SIGNS))) + 1
+    placed = members.join(labels.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
     held = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     main = held.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count(F.lit(1)).alias("kinds"))
     mixed = materialise(placed.join(lookup_side(main.where("kinds > 1")), "key"))
-    bits = materialise(
-        reps.join(mixed.select("id").distinct(), "id", "left_semi")
-        .select("id", "sketch")
-        .mapInPandas(_signatures, "id long, s0 long, s1 long, s2 long, s3 long")
-    )
-    signed = mixed.join(bits, "id")
-    few = signed.where("c != main").select("key", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", "s0", "s1", "s2", "s3")))
-    apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"o_s{i}"))) for i in range(4)), F.lit(0))
-    met = signed.join(few, "key").where((F.col("c") != F.col("o_c")) & (apart <= limit))
-    return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
+    own = mixed.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    sets = confirm.sets(own)
+    signs = [f"s{i}" for i in range(SIGNS // 64)]
+    signed = sets.mapInPandas(_signatures, "id long, " + ", ".join(f"{s} long" for s in signs)).join(own, "id")
+    signed = mixed.join(materialise(signed), "id")
+    few = signed.where("c != main").select("key", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", "keys", *signs)))
+    apart = reduce(add, (F.bit_count(F.col(s).bitwiseXOR(F.col(f"o_{s}"))) for s in signs))
+    first = F.array_intersect("keys", "o_keys")[0] == F.col("key")
+    once = (F.col("c") == F.col("main")) | (F.col("id") < F.col("o_id"))
+    met = signed.join(few, "key").where((F.col("c") != F.col("o_c")) & once & (apart <= limit) & first)
+    pairs = met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
+    return confirm(pairs, sets)
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -248,7 +260,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     links = confirm(paired.unionByName(star).distinct())
     found = components(links, "a", "b")
     if not large.isEmpty():
-        more = confirm(_left_over(large.select("key", "id"), found, reps, percent))
+        more = _left_over(large.select("key", "id"), found, confirm)
         if not more.isEmpty():
             found = components(links.unionByName(more), "a", "b")
     component = F.coalesce("component", "class_id")
