@@ -36,6 +36,8 @@ REGISTERS, BAND, MANTISSA = 252, 6, 10
 BANDS = REGISTERS // BAND
 SMALL = 12
 SIGNS = 2048
+# Documents whose sets leave a task at a time.
+SETS_BATCH = 500
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -114,8 +116,10 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for batch in batches:
-        sets = [shingle_set(hashes.of(words(t, lower=True))).view(np.int64) for t in batch["text"]]
-        yield pd.DataFrame({"id": batch["doc_id"], "shingles": sets})
+        for low in range(0, len(batch), SETS_BATCH):
+            part = batch.iloc[low : low + SETS_BATCH]
+            sets = [shingle_set(hashes.of(words(t, lower=True))).view(np.int64) for t in part["text"]]
+            yield pd.DataFrame({"id": part["doc_id"], "shingles": sets})
 
 
 def _registers(column: pd.Series) -> np.ndarray:

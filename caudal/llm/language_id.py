@@ -119,19 +119,17 @@ def fit(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS, size: int = PROFI
     return Profiles.of(lists, size)
 
 
-def predict(documents: DataFrame, profiles: Profiles, text: str = "text", named: tuple = ("lang_pred", "score")) -> DataFrame:
-    """``documents`` with language and score, ``named`` so. ``und`` and 0 where the text is null or has no letter."""
-    lang_pred, score = named
+def predicted(profiles: Profiles, text: str = "text") -> Column:
+    """``struct(lang_pred, score)`` of a text; ``und`` and 0 where it is null or has no letter.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            said = [profiles.predict(t) for t in batch[text]]
-            batch[lang_pred] = [x[0] for x in said]
-            batch[score] = [x[1] for x in said]
-            yield batch
+    Only the text goes to Python, and only the answer comes back.
+    """
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.mapInPandas(run, f"{fields}, {lang_pred} string, {score} double")
+    return predict(F.col(text).cast("string"))
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
@@ -146,8 +144,9 @@ def identify(documents: DataFrame) -> DataFrame:
     """
     held = is_held_out()
     profiles = fit(documents.where(~held & F.col("doc_id").isNotNull()).select("lang", "text"))
-    rows = documents.select("doc_id", held.alias("held_out"), F.col("text").cast("string").alias("text"))
-    return predict(rows, profiles).select("doc_id", "held_out", "lang_pred", "score")
+    return documents.select("doc_id", held.alias("held_out"), predicted(profiles).alias("said")).select(
+        "doc_id", "held_out", "said.lang_pred", "said.score"
+    )
 
 
 def keep_known(documents: DataFrame, least: float = 0.05) -> DataFrame:
@@ -156,6 +155,5 @@ def keep_known(documents: DataFrame, least: float = 0.05) -> DataFrame:
     Text without letters goes, and text whose n-grams hardly any profile knows.
     """
     profiles = fit(documents.where(~is_held_out()).select("lang", "text"))
-    rows = documents.withColumn("_text", F.col("text").cast("string"))
-    said = predict(rows, profiles, "_text", ("_lang_pred", "_score"))
-    return said.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= least)).select(*documents.columns)
+    said = documents.withColumn("_said", predicted(profiles))
+    return said.where((F.col("_said.lang_pred") != UNKNOWN) & (F.col("_said.score") >= least)).select(*documents.columns)

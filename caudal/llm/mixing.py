@@ -210,16 +210,18 @@ def mix_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
         F.collect_list(F.struct("low", "high")).alias("_runs")
     )
     named = placed.select("sid", "start", F.col("doc_id").alias("_row"), F.col("size").alias("_size"))
-    taken = named.where("_size > 0").join(runs, ["sid", "start"]).select("_row", "_runs")
-    joined = rows.join(taken, "_row", "left").where("_runs IS NOT NULL OR text IS NULL OR NOT text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["text"] = [t if r is None else _cut(t, r) for t, r in zip(batch["text"], batch["_runs"])]
-            yield batch.drop(columns="_runs")
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    mixed = joined.select(*rows.columns, "_runs").mapInPandas(cut, fields)
+    held = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, r: n + r.high - r.low)
+    taken = named.where("_size > 0").join(runs, ["sid", "start"]).select("_row", "_runs", (held < F.col("_size")).alias("_part"))
+    joined = rows.join(taken, "_row", "left").where("_part IS NOT NULL OR text IS NULL OR NOT text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, parts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else _cut(t, r) for t, r in zip(texts, parts)], dtype=object)
+
+    # Whole passes stay where they are; only texts to be cut go to Python.
+    text = F.col("text").cast("string")
+    short = cut(F.when(F.col("_part"), text), F.when(F.col("_part"), F.col("_runs")))
+    mixed = joined.withColumn("_cut", short).withColumn("text", F.when(F.col("_part"), F.col("_cut")).otherwise(text))
     if "n_chars" in documents.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast("long"))
     return mixed.select(*documents.columns)

@@ -24,7 +24,7 @@ def words(text: str | None, lower: bool = False) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes by word. The table is emptied when full, so its memory stays bounded."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
