@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.components import components
-from caudal.llm.text import WordHashes, mix, shingle_set, words
+from caudal.llm.text import WordHashes, in_small_batches, mix, shingle_set, words
 from caudal.operators.skew import lookup_side
 from caudal.session import materialise
 
@@ -228,7 +228,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     Rows without a doc_id keep a null component, are kept and link nothing. Rows that repeat a doc_id
     each get a row back and share their links. Other columns are left alone.
     """
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    documents = in_small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_shingles long, digest binary, sketch binary"
     sketched = materialise(documents.mapInPandas(_sketches, schema))
     named = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caudal.llm.text import in_small_batches
 from caudal.session import materialise
 
 PROFILE = 300
@@ -104,7 +105,7 @@ def fit(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS, size: int = PROFI
     About ``documents`` rows of each language are read, chosen by a hash of the text, all of a smaller
     one. Counting is a Spark aggregation; what reaches the driver is ``size`` n-grams a language.
     """
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
+    rows = in_small_batches(labelled).where("lang IS NOT NULL AND text IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
     share = rows.groupBy("lang").agg((F.lit(float(documents)) / F.count(F.lit(1))).alias("share"))

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caudal.llm.text import in_small_batches
 from caudal.operators.skew import lookup_side
 from caudal.session import materialise
 
@@ -91,7 +92,7 @@ def repeated_units(documents: DataFrame) -> DataFrame:
 
 
 def _marked(documents: DataFrame) -> DataFrame:
-    return documents.select(
+    return in_small_batches(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("mark"),
         F.col("text").cast("string").alias("text"),

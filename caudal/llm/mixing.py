@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.text import WORD, WORD_SQL, mix
+from caudal.llm.text import WORD, WORD_SQL, in_small_batches, mix
 from caudal.operators.ranking import with_row_number
 from caudal.session import materialise
 
@@ -202,7 +202,7 @@ def mix_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     A row's text is what that pass takes of the document: whole, or its chosen runs of words in order,
     a line each. ``n_chars`` is made to fit if it is there. Documents without words stay as they are, once.
     """
-    rows = materialise(documents.withColumn("_row", F.monotonically_increasing_id()))
+    rows = materialise(in_small_batches(documents).withColumn("_row", F.monotonically_increasing_id()))
     sizes = materialise(rows.select(F.col("_row").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size")))
     sources = source_targets(sizes)
     placed = layout(sizes, sources)

@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caudal.llm.text import in_small_batches
+
 TIERS = (128, 256, 512, 1024)
 LONGEST = TIERS[-1]
 POOL = 2_000_000
@@ -184,6 +186,6 @@ def pack(documents: DataFrame, tokenizer: str = "byte_bpe_50k.json", with_ids: b
     piece. ``tier`` is the length of the sequence and ``step_id`` its step group. ``with_ids`` adds the ids.
     Rows that repeat a doc_id, or lack it, are documents of their own.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     fields = FIELDS + ", ids array<long>" * with_ids
     return rows.mapInPandas(lambda batches: _pack_task(batches, tokenizer, with_ids), fields)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.text import WordHashes, mix, window_hashes
+from caudal.llm.text import WordHashes, in_small_batches, mix, window_hashes
 from caudal.session import materialise
 
 ORDER, BITS = 4, 6
@@ -257,7 +257,7 @@ def judge(documents: DataFrame) -> DataFrame:
     Null and empty texts have no words and fail the base. Bands are quartiles over the documents of a language
     that pass the base; without any, nothing more is rejected. A row without a doc_id is judged like any other.
     """
-    documents = documents.select(
+    documents = in_small_batches(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))

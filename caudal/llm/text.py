@@ -4,15 +4,29 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
+from pyspark.sql import DataFrame
 
 # Words are cut at space, tab and the characters up to carriage return: what ``bytes.split()`` does.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_SQL = r"[^\\x20\\x09-\\x0D]+"
 
+_BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 _SEED = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends rows to Python in batches of 4 MB at most.
+
+    Batches go by row count otherwise, and texts can be long: a worker's memory then grows with them.
+    """
+    now = df.sparkSession.conf.get(_BATCH_KEY, None)
+    if not now or not str(now).isdigit() or int(now) > BATCH_BYTES:
+        df.sparkSession.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    return df
+
+
 def words(text: str | None, lower: bool = False) -> list[bytes]:
     """Words of ``text`` in UTF-8; ``lower`` maps A-Z only. Null has none."""
     if not text:

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caudal.llm.text import in_small_batches
 from caudal.operators.skew import lookup_side
 from caudal.session import materialise, work_dir
 
@@ -218,7 +219,7 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     with equal payloads of ``SMALLEST_SHARED`` bytes or more, those with the smallest id are responses
     and the others revisit it; a page without an id is always a response.
     """
-    rows = pages.select(
+    rows = in_small_batches(pages).select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     )
     files, folder = _filesystem(root)
