@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from caudal.llm.text import in_small_batches
 from caudal.operators.skew import lookup_side
-from caudal.session import materialise
 
 PASSAGE = 25
 _UNIT = re.compile(r"[^\n]*?(?:[.!?](?=[\x20\x09\x0B-\x0D])|(?=\n)|\Z)[\x20\x09\x0B-\x0D]*")
@@ -39,21 +38,20 @@ def normalised(unit: str) -> bytes:
 def _unit_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"]):
+        for rank, mark, text in zip(batch["_rank"], batch["_mark"], batch["text"]):
             for start, end in units(text):
                 norm = normalised(text[start:end])
                 if norm:
                     digest = xxhash.xxh3_128_intdigest(norm)
-                    out.append((digest >> 64, digest & 0xFFFFFFFFFFFFFFFF, doc_id, mark, start))
+                    out.append((digest >> 64, digest & 0xFFFFFFFFFFFFFFFF, rank, (mark << 32) | start))
         if out:
-            high, low, ids, marks, starts = zip(*out)
+            high, low, ranks, places = zip(*out)
             yield pd.DataFrame(
                 {
                     "h1": np.array(high, np.uint64).view(np.int64),
                     "h2": np.array(low, np.uint64).view(np.int64),
-                    "doc_id": pd.array(ids, "Int64"),
-                    "mark": np.array(marks, np.int64),
-                    "start": np.array(starts, np.int32),
+                    "_rank": np.array(ranks, np.int64),
+                    "place": np.array(places, np.int64),
                 }
             )
 
@@ -73,79 +71,67 @@ def _passages(text: str, repeated: set[int], passage: int) -> list[tuple[int, in
     return out
 
 
-def repeated_units(documents: DataFrame) -> DataFrame:
-    """``(doc_id, mark, starts)``: where the units stand that an earlier occurrence repeats.
-
-    ``mark`` tells apart texts that share a doc_id; rows equal in both are one document.
-    """
-    rows = documents.where("text IS NOT NULL AND text != ''").select("doc_id", "mark", "text")
-    found = rows.mapInPandas(_unit_rows, "h1 long, h2 long, doc_id long, mark long, start int")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "start")
-    first = (
-        found.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.max(place).alias("other"))
-        .where("first != other")
-        .select("h1", "h2", "first")
-    )
-    later = found.join(lookup_side(first), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "mark").agg(F.collect_set("start").alias("starts"))
+def _ranked(documents: DataFrame) -> DataFrame:
+    """``documents`` with ``_rank``, the doc_id with null last, and ``_mark``, which tells apart texts that share one."""
+    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    mark = F.xxhash64(F.col("text").cast("string")).bitwiseAND(F.lit((1 << 31) - 1))
+    return in_small_batches(documents).withColumns({"_rank": rank, "_mark": mark})
 
 
-def _marked(documents: DataFrame) -> DataFrame:
-    return in_small_batches(documents).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("mark"),
-        F.col("text").cast("string").alias("text"),
-    )
+def repeated_units(ranked: DataFrame) -> DataFrame:
+    """``(_rank, _mark, _starts)``: where the units stand that an earlier occurrence repeats."""
+    rows = ranked.select("_rank", "_mark", F.col("text").cast("string").alias("text")).where("text != ''")
+    found = rows.mapInPandas(_unit_rows, "h1 long, h2 long, _rank long, place long")
+    at = F.struct("_rank", "place")
+    first = found.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = found.join(lookup_side(first), ["h1", "h2"]).where(at != F.col("first"))
+    start = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    return later.groupBy("_rank", F.shiftright("place", 32).alias("_mark")).agg(F.collect_set(start).alias("_starts"))
 
 
-def removed_passages(documents: DataFrame, passage: int = PASSAGE) -> DataFrame:
-    """``(doc_id, mark, text, kept_text, spans)`` for documents that lose something.
+def without_passages(documents: DataFrame, passage: int = PASSAGE) -> DataFrame:
+    """``documents`` with ``_kept``, the text that stays, and ``_spans``, the removed ``(start, end)`` code points
+    of the original in order; both null where nothing goes.
 
-    ``spans`` are the removed passages as ``(start, end)`` code points of the original text, in order.
+    The earliest occurrence is the one with the smallest doc_id; rows without one rank last. Rows equal in
+    doc_id and text are one document: each keeps what the document keeps. Texts are shuffled once.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, mark, text, starts in zip(batch["doc_id"], batch["mark"], batch["text"], batch["starts"]):
-                spans = _passages(text, set(int(x) for x in starts), passage)
-                if spans:
-                    edges = [0, *(x for s in spans for x in s), len(text)]
-                    kept = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                    out.append((doc_id, mark, kept, [{"start": a, "end": b} for a, b in spans]))
-            if out:
-                frame = pd.DataFrame(out, columns=["doc_id", "mark", "kept_text", "spans"])
-                yield frame.astype({"doc_id": "Int64"})
-
-    rows = _marked(documents)
-    again = repeated_units(rows).select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "starts")
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
-    found = rows.join(again, same).select("doc_id", "mark", "text", "starts")
-    return found.mapInPandas(
-        cut, "doc_id long, mark long, kept_text string, spans array<struct<start: int, end: int>>"
-    )
+    @F.pandas_udf("kept string, spans array<struct<start: int, end: int>>")
+    def cut(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, own in zip(texts, starts):
+            spans = [] if text is None or own is None else _passages(text, {int(x) for x in own}, passage)
+            if not spans:
+                out.append((None, None))
+                continue
+            edges = [0, *(x for s in spans for x in s), len(text)]
+            kept = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+            out.append((kept, [{"start": a, "end": b} for a, b in spans]))
+        return pd.DataFrame(out, columns=["kept", "spans"], dtype=object)
+
+    ranked = _ranked(documents)
+    joined = ranked.join(repeated_units(ranked), ["_rank", "_mark"], "left")
+    lost = cut(F.when(F.col("_starts").isNotNull(), F.col("text").cast("string")), F.col("_starts"))
+    cut_off = joined.withColumn("_lost", lost)
+    return cut_off.withColumns({"_kept": F.col("_lost.kept"), "_spans": F.col("_lost.spans")}).drop("_rank", "_mark", "_starts", "_lost")
 
 
 def deduplicated(documents: DataFrame, passage: int = PASSAGE) -> DataFrame:
     """``(doc_id, n_chars, n_removed, spans, text)``, one row for each row of ``documents``.
 
     ``text`` is what stays, ``spans`` the removed code points of the original, ``n_chars`` the length of
-    what stays. A null text stays null, with no spans. Rows without a doc_id rank last. Rows equal in
-    doc_id and text are one document; each keeps what the document keeps.
+    what stays. A null text stays null, with no spans.
     """
-    lost = materialise(removed_passages(documents, passage).dropDuplicates(["doc_id", "mark"]))
-    rows, lost = _marked(documents), lost.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "kept_text", "spans")
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
-    joined = rows.join(lost, same, "left")
-    text = F.when(F.col("d").isNull() & F.col("m").isNull(), F.col("text")).otherwise(F.col("kept_text"))
-    spans = F.coalesce("spans", F.array().cast("array<struct<start: int, end: int>>"))
-    return joined.select(
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = without_passages(rows, passage)
+    whole, kept = F.coalesce(F.length("text"), F.lit(0)).cast("long"), F.length("_kept").cast("long")
+    return found.select(
         "doc_id",
-        F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"),
-        (F.coalesce(F.length("text"), F.lit(0)) - F.coalesce(F.length(text), F.lit(0))).cast("long").alias("n_removed"),
-        spans.alias("spans"),
-        text.alias("text"),
+        F.coalesce(kept, whole).alias("n_chars"),
+        F.coalesce(whole - kept, F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("_spans", F.array().cast("array<struct<start: int, end: int>>")).alias("spans"),
+        F.coalesce("_kept", "text").alias("text"),
     )
 
 
@@ -154,13 +140,9 @@ def drop_repeats(documents: DataFrame, passage: int = PASSAGE) -> DataFrame:
 
     A document that loses all its words goes; one that had none before stays.
     """
-    rows = documents.withColumns({"_d": F.col("doc_id").cast("long"), "_m": F.xxhash64("text")})
-    lost = materialise(removed_passages(documents, passage).dropDuplicates(["doc_id", "mark"]))
-    lost = lost.select(F.col("doc_id").alias("_ld"), F.col("mark").alias("_lm"), F.col("kept_text").alias("_kept"))
-    same = F.col("_d").eqNullSafe(F.col("_ld")) & (F.col("_m") == F.col("_lm"))
-    joined = rows.join(lost, same, "left").where(F.col("_lm").isNull() | F.col("_kept").rlike(r"[^\x20\x09-\x0D]"))
-    changed = F.col("_lm").isNotNull()
-    new = {"text": F.when(changed, F.col("_kept")).otherwise(F.col("text"))}
+    found = without_passages(documents, passage)
+    found = found.where(F.col("_kept").isNull() | F.col("_kept").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.coalesce("_kept", "text")}
     if "n_chars" in documents.columns:
-        new["n_chars"] = F.when(changed, F.length("_kept").cast("long")).otherwise(F.col("n_chars"))
-    return joined.withColumns(new).select(*documents.columns)
+        new["n_chars"] = F.coalesce(F.length("_kept").cast("long"), "n_chars")
+    return found.withColumns(new).select(*documents.columns)
