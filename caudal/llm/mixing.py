@@ -153,7 +153,8 @@ def slots(sources: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
         deal, "sid long, source_size long, blocks long, full long, rest long, shard long, base long, held long"
     )
     spread = dealt.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sid", "shard")
-    return spread.mapInPandas(fill, "sid long, block long, taken long, pass long, shard long, place long")
+    # Written out, so that joins know its size: a plan would guess it from the few ranges it comes from.
+    return materialise(spread.mapInPandas(fill, "sid long, block long, taken long, pass long, shard long, place long"))
 
 
 def pieces(placed: DataFrame, chosen: DataFrame, block: int = BLOCK) -> DataFrame:
