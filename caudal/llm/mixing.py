@@ -163,7 +163,8 @@ def pieces(placed: DataFrame, chosen: DataFrame, block: int = BLOCK) -> DataFram
     spans = placed.where("size > 0").select("sid", "start", "size").withColumn(
         "block", F.explode(F.sequence(F.expr(f"start DIV {block}"), F.expr(f"(start + size - 1) DIV {block}")))
     )
-    met = chosen.join(spans, ["sid", "block"])
+    # A document explodes into many spans: sizes before that say nothing, so no side is broadcast.
+    met = chosen.join(spans.hint("merge"), ["sid", "block"])
     at = F.col("block") * block
     low = F.greatest(at, F.col("start")) - F.col("start")
     high = F.least(at + F.col("taken"), F.col("start") + F.col("size")) - F.col("start")
