@@ -23,6 +23,8 @@ from caudal.session import materialise
 PROFILE = 300
 # The profiles are fitted on about this many labelled documents of each language, chosen by hash.
 TRAIN_DOCUMENTS = 3000
+# So many languages are learned at most, those with the most documents: it bounds what tasks receive.
+MOST_LANGUAGES = 1000
 UNKNOWN = "und"
 _BITS = 21
 
@@ -108,7 +110,8 @@ def fit(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS, size: int = PROFI
     rows = in_small_batches(labelled).where("lang IS NOT NULL AND text IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
-    share = rows.groupBy("lang").agg((F.lit(float(documents)) / F.count(F.lit(1))).alias("share"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    share = F.broadcast(counts.select("lang", (F.lit(float(documents)) / F.col("n")).alias("share")))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     taken = rows.join(share, "lang").where(draw < F.col("share")).select("lang", "text")
     counted = taken.mapInPandas(_count, "lang string, gram long, n long")

@@ -60,8 +60,8 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f""",
     "op6_bit_sliced": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 e AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM v),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
       FROM e q JOIN e c ON q.i = c.i AND q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, documents, entry, middle_documents  # noqa: F401
 
 from caudal.llm import language_id as li
 

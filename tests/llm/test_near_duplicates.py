@@ -5,7 +5,7 @@ import random
 import numpy as np
 import plain
 import pytest
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, documents, entry, middle_documents  # noqa: F401
 
 from caudal.llm import hyperminhash as hm
 from caudal.llm.components import components

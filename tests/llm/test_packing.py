@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, documents, entry, middle_documents  # noqa: F401
 from tokenizers import Tokenizer
 
 from caudal.llm import packing as pk

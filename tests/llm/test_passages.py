@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, documents, entry, middle_documents  # noqa: F401
 
 from caudal.llm import line_dedup as ld
 

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import plain
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, documents, entry, middle_documents  # noqa: F401
 
 from caudal.llm import perplexity as px
 from caudal.llm.text import WordHashes

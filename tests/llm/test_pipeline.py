@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline as cp
 import plain
-from conftest import SMALL
+from llm_fixtures import SMALL, entry  # noqa: F401
 
 from caudal.session import materialise
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, entry  # noqa: F401
 
 from caudal.llm import bit_sliced as bs
 

@@ -4,7 +4,7 @@ import random
 import re
 from itertools import combinations
 
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, entry  # noqa: F401
 from pyspark.sql import functions as F
 
 from caudal.llm import url_rules as ur

@@ -6,7 +6,7 @@ import struct
 
 import pytest
 import zstandard
-from conftest import MIDDLE
+from llm_fixtures import MIDDLE, entry  # noqa: F401
 
 from caudal.llm import warc
 from caudal.session import work_dir
