@@ -175,7 +175,8 @@ class _Confirm:
 
     def sets(self, ids: DataFrame) -> DataFrame:
         """``(id, shingles)`` of the documents named."""
-        texts = self.documents.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        # The ids grow with the corpus, so they are never broadcast: one plan at every size.
+        texts = self.documents.join(ids.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
         return materialise(texts.mapInPandas(_shingle_sets, "id long, shingles array<long>"))
 
     def __call__(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
