@@ -23,8 +23,9 @@ an even share of a task: then it is cut by id into several pieces, which start f
 the earlier ones. Fewer accounts than tasks can be that large.
 
 Accounts that keep paying each other with little money leave the bounds apart, and a round then decides
-few. So after a poor round the earliest undecided legs, a fixed number, are taken one by one in a single
-task: everything before them is known. The loop needs at most one such step per ``SERIAL_LEGS`` legs.
+few. So after a poor round of ``serial`` the earliest undecided legs, a fixed number, are taken one by one
+in a single task: everything before them is known. The loop needs at most one such step per ``SERIAL_LEGS``
+legs. Every batch, small or large, starts with a parallel round; ``running`` has nothing but those.
 """
 
 from __future__ import annotations
@@ -143,7 +144,7 @@ def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial")
                 F.when(~F.col("short"), F.lit(True)).alias("accepted"),
             )
         )
-    settled = settle(legs).select(
+    settled = settle(legs, serial_legs=SERIAL_LEGS if mode == "serial" else 0).select(
         F.col("id").alias("id_transaccion"),
         F.col("cuenta").alias("cuenta_origen"),
         F.col("other").alias("cuenta_destino"),
@@ -200,10 +201,7 @@ def settle(
         F.max(undecided_id).alias("last"),
     )
     seen = legs.agg(*measures).first().asDict()
-    if seen["legs"] <= serial_legs:
-        open_legs, cut = _as_legs(legs.withColumn(SLICE, F.lit(0)), False), False
-    else:
-        open_legs, cut = _place(materialise(legs), seen["legs"], n, whole_account_legs)
+    open_legs, cut = _place(materialise(legs), seen["legs"], n, whole_account_legs)
     nothing = open_legs.where(decided)
     rounds: list[str] = []
     poor = False
@@ -246,10 +244,10 @@ def settle(
 
 def _serial_reach(legs: DataFrame, seen: dict, serial_legs: int, poor: bool) -> int | None:
     """Up to which id the legs may be taken in one task; None when the next round should be a parallel one."""
-    if seen["legs"] <= serial_legs:
-        return seen["last"]
     if not poor:
         return None
+    if seen["legs"] <= serial_legs:
+        return seen["last"]
     first, reach = seen["first"], seen["last"]
     reach = first + (reach - first) * serial_legs // seen["legs"]
     while legs.where(F.col("id") <= reach).count() > 2 * serial_legs:

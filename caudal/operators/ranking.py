@@ -27,7 +27,11 @@ def range_slices(df: DataFrame, order_by: Sequence[str], slices: int | None = No
     """``df`` written out in ``slices`` sorted key ranges, with the range number in ``_slice`` and the
     1-based place within the range in ``_place``. One shuffle: a sorted task numbers its own rows."""
     n = slices or slice_count(df.sparkSession)
-    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    row = F.monotonically_increasing_id()
+    # Past 2^33 rows in a slice the id runs into the next slice's: an error, never a wrong rank.
+    row_of_task = F.when(
+        F.shiftright(row, ROW_BITS) == F.spark_partition_id(), row.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    ).otherwise(F.raise_error(F.lit("a slice has too many rows: raise `slices`")).cast("long"))
     return materialise(
         df.repartitionByRange(n, *order_by)
         .sortWithinPartitions(*order_by)

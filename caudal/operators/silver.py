@@ -34,7 +34,8 @@ def masked_phone_list(phones: DataFrame, key: str, separator: str, name: str) ->
     runs = F.array_sort(F.collect_list(F.struct("mask", "times")))
 
     def spelled(run: Column) -> Column:
-        again = F.repeat(F.concat(F.lit(separator), run["mask"]), (run["times"] - 1).cast("int"))
+        times = F.when(run["times"] <= 2**31 - 1, run["times"]).otherwise(F.raise_error(F.lit("list of phones too long")).cast("long"))
+        again = F.repeat(F.concat(F.lit(separator), run["mask"]), (times - 1).cast("int"))
         return F.concat(run["mask"], again)
 
     return masks.groupBy(key).agg(F.array_join(F.transform(runs, spelled), separator).alias(name))

@@ -105,7 +105,7 @@ TABLES: dict[str, Table] = {
                 no_cuenta=T.StringType(),
             ),
             key="no_tarjeta",
-            max_length={"no_tarjeta": 16, "cvv": 3, "emisor": 20, "estado": 20},
+            max_length={"no_tarjeta": 16, "cvv": 3, "emisor": 20, "estado": 20, "no_cuenta": 20},
         ),
         Table(
             "transaccion",
@@ -119,7 +119,7 @@ TABLES: dict[str, Table] = {
                 fecha_transaccion=T.TimestampNTZType(),
             ),
             key="id_transaccion",
-            max_length={"cuenta_destino": 20, "cuenta_origen": 20, "tipo_movimiento": 30},
+            max_length={"no_tarjeta": 16, "cuenta_destino": 20, "cuenta_origen": 20, "tipo_movimiento": 30},
             defaults={"fecha_transaccion": "now"},
         ),
         Table(
@@ -140,7 +140,7 @@ TABLES: dict[str, Table] = {
                 no_cuenta=T.StringType(),
             ),
             key="id_beneficiario",
-            max_length={"parentesco": 30, "nombre": 50, "apellido": 50},
+            max_length={"parentesco": 30, "nombre": 50, "apellido": 50, "no_cuenta": 20},
         ),
         Table(
             "beneficiario_tel",

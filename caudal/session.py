@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-_fallback: dict[str, tempfile.TemporaryDirectory] = {}
-
 
 def build_session(app_name: str = "caudal", **conf: object) -> SparkSession:
     """Session with adaptive execution on. Partition counts and memory stay the cluster's own."""
@@ -29,19 +26,14 @@ def _work_root(spark: SparkSession) -> str:
     app = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_KEY, None) or app.getCheckpointDir()
     if not root:
-        if not app.master.startswith("local"):
-            raise ValueError(f"{CHECKPOINT_KEY} must name a folder shared by all executors")
-        if app.applicationId not in _fallback:
-            _fallback[app.applicationId] = tempfile.TemporaryDirectory(prefix="caudal-", ignore_cleanup_errors=True)
-        root = _fallback[app.applicationId].name
+        raise ValueError(f"{CHECKPOINT_KEY} must name a folder shared by all executors")
     return f"{root.rstrip('/')}/caudal-{app.applicationId}"
 
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder name under the cluster's checkpoint folder.
 
-    A temporary folder is used only in local mode with the setting absent; on a cluster every executor
-    must see the folder, so a missing setting is an error there.
+    Every executor must see that folder, so a missing setting is an error.
     """
     return f"{_work_root(spark)}/{uuid.uuid4().hex}"
 

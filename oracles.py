@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from caudal.schemas import REFERENCES, TABLES
 from caudal.sources.sample import duckdb_ctes
 
 MASK = "regexp_replace({}, '[0-9]', 'X', 'g')"
@@ -125,8 +124,64 @@ DOMAINS = [
         "porcentaje_saldo <= 0 OR porcentaje_saldo > 100",
     ),
 ]
-NOT_NULL = [(t.name, f"{t.name}.{c} nulo", f"{c} IS NULL") for t in TABLES.values() for c in t.required]
-LENGTHS = [(t.name, f"{t.name}.{c} largo", f"length({c}) > {n}") for t in TABLES.values() for c, n in t.max_length.items()]
+# Fixed values of the nine tables: columns that may not be null, longest texts, unique columns, references.
+BRONZE = "cliente cliente_tel cliente_biometria cuenta tarjeta transaccion prestamo beneficiario beneficiario_tel"
+REQUIRED = """
+    cliente id_cliente nombre apellido curp correo ciudad delegacion estado_civil
+    cliente_tel tel id_cliente
+    cliente_biometria id_biometria id_cliente tipo_biometria hash_referencia
+    cuenta no_cuenta tipo_cuenta saldo id_cliente
+    tarjeta no_tarjeta cvv emisor estado no_cuenta
+    transaccion id_transaccion no_tarjeta cuenta_destino cuenta_origen monto tipo_movimiento fecha_transaccion
+    prestamo id_prestamo estado monto id_cliente
+    beneficiario id_beneficiario parentesco nombre apellido porcentaje_saldo no_cuenta
+    beneficiario_tel tel id_beneficiario
+"""
+LONGEST = """
+    cliente nombre:50 apellido:50 curp:18 correo:100 ciudad:30 delegacion:50 estado_civil:20
+    cliente_tel tel:15
+    cliente_biometria tipo_biometria:20 hash_referencia:64
+    cuenta no_cuenta:20 tipo_cuenta:20
+    tarjeta no_tarjeta:16 cvv:3 emisor:20 estado:20 no_cuenta:20
+    transaccion no_tarjeta:16 cuenta_destino:20 cuenta_origen:20 tipo_movimiento:30
+    prestamo estado:20
+    beneficiario parentesco:30 nombre:50 apellido:50 no_cuenta:20
+    beneficiario_tel tel:15
+"""
+ONCE = """
+    cliente id_cliente curp correo
+    cliente_tel tel
+    cliente_biometria id_biometria
+    cuenta no_cuenta
+    tarjeta no_tarjeta
+    transaccion id_transaccion
+    prestamo id_prestamo
+    beneficiario id_beneficiario
+    beneficiario_tel tel
+"""
+REFERRED = """
+    cliente_tel id_cliente cliente id_cliente
+    cliente_biometria id_cliente cliente id_cliente
+    cuenta id_cliente cliente id_cliente
+    prestamo id_cliente cliente id_cliente
+    beneficiario no_cuenta cuenta no_cuenta
+    beneficiario_tel id_beneficiario beneficiario id_beneficiario
+    tarjeta no_cuenta cuenta no_cuenta
+    transaccion no_tarjeta tarjeta no_tarjeta
+    transaccion cuenta_origen cuenta no_cuenta
+    transaccion cuenta_destino cuenta no_cuenta
+"""
+
+
+def _listed(text: str) -> list[tuple[str, str]]:
+    """``(table, column)`` of a list with a line for each table."""
+    return [(name, c) for name, *columns in map(str.split, text.strip().splitlines()) for c in columns]
+
+
+NOT_NULL = [(t, f"{t}.{c} nulo", f"{c} IS NULL") for t, c in _listed(REQUIRED)]
+LENGTHS = [
+    (t, f"{t}.{c} largo", f"length({c}) > {n}") for t, c, n in ((t, *x.split(":")) for t, x in _listed(LONGEST))
+]
 ORPHANS = """SELECT 'cliente sin cuenta' AS regla, count(*) AS fallas
   FROM cliente c LEFT JOIN cuenta q ON c.id_cliente = q.id_cliente WHERE q.no_cuenta IS NULL"""
 PERCENT = """SELECT 'cuenta con porcentajes distintos de 100' AS regla, count(*) AS fallas
@@ -134,16 +189,15 @@ PERCENT = """SELECT 'cuenta con porcentajes distintos de 100' AS regla, count(*)
     ON c.no_cuenta = b.no_cuenta
   WHERE coalesce(b.total, 0) <> 100.00"""
 UNIQUE = "\nUNION ALL ".join(
-    f"""SELECT '{t.name}.{c} repetido' AS regla, count(*) AS fallas
-  FROM (SELECT {c} FROM {t.name} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) d"""
-    for t in TABLES.values()
-    for c in t.unique_columns
+    f"""SELECT '{t}.{c} repetido' AS regla, count(*) AS fallas
+  FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) d"""
+    for t, c in _listed(ONCE)
 )
 FOREIGN = "\nUNION ALL ".join(
-    f"""SELECT '{r.child}.{r.column} sin {r.parent}' AS regla, count(*) AS fallas
-  FROM {r.child} h WHERE h.{r.column} IS NOT NULL
-    AND NOT EXISTS (SELECT 1 FROM {r.parent} p WHERE p.{TABLES[r.parent].key} = h.{r.column})"""
-    for r in REFERENCES
+    f"""SELECT '{child}.{column} sin {parent}' AS regla, count(*) AS fallas
+  FROM {child} h WHERE h.{column} IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = h.{column})"""
+    for child, column, parent, key in map(str.split, REFERRED.strip().splitlines())
 )
 EVERY_RULE = "\nUNION ALL ".join(
     [_counts(NEGATIVE + NONPOSITIVE + DOMAINS + NOT_NULL + LENGTHS), ORPHANS, PERCENT, UNIQUE, FOREIGN]
@@ -164,16 +218,21 @@ ENROLMENTS = """altas AS (SELECT c_custkey * 2 AS orden, 'Nombre' || c_custkey A
   FROM customer)"""
 ENROLLED = (
     ENROLMENTS,
-    """numeradas AS (SELECT *, substr(curp, 1, 4)
-      || CAST(CAST('0x' || substr(md5(curp), 1, 8) AS BIGINT) % 900000 + 100000 AS VARCHAR) AS no_cuenta FROM altas)""",
-    """revisadas AS (SELECT n.*,
-      CASE WHEN n.curp IN (SELECT curp FROM cliente)
-             OR n.orden > min(n.orden) OVER (PARTITION BY n.curp) THEN 'CURP repetida'
-           WHEN n.correo IN (SELECT correo FROM cliente)
-             OR n.orden > min(n.orden) OVER (PARTITION BY n.correo) THEN 'correo repetido'
-           WHEN n.no_cuenta IN (SELECT no_cuenta FROM cuenta)
-             OR n.orden > min(n.orden) OVER (PARTITION BY n.no_cuenta) THEN 'número de cuenta repetido' END AS motivo
-    FROM numeradas n)""",
+    # Row by row in order of arrival: what is taken so far is in the lists.
+    """filas AS (SELECT *, row_number() OVER (ORDER BY orden) AS n, curp IN (SELECT curp FROM cliente) AS curp_hay,
+      correo IN (SELECT correo FROM cliente) AS correo_hay,
+      substr(curp, 1, 4) || CAST(CAST('0x' || substr(md5(curp), 1, 8) AS BIGINT) % 900000 + 100000 AS VARCHAR) AS no_cuenta FROM altas)""",
+    """paso AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS curps, CAST([] AS VARCHAR[]) AS correos
+    UNION ALL SELECT f.n,
+      CASE WHEN f.curp_hay OR list_contains(p.curps, f.curp) OR f.correo_hay OR list_contains(p.correos, f.correo) THEN p.curps
+           ELSE list_append(p.curps, f.curp) END,
+      CASE WHEN f.curp_hay OR list_contains(p.curps, f.curp) OR f.correo_hay OR list_contains(p.correos, f.correo) THEN p.correos
+           ELSE list_append(p.correos, f.correo) END
+    FROM paso p JOIN filas f ON f.n = p.n + 1)""",
+    """revisadas AS (SELECT f.*,
+      CASE WHEN f.curp_hay OR list_contains(p.curps, f.curp) THEN 'CURP repetida'
+           WHEN f.correo_hay OR list_contains(p.correos, f.correo) THEN 'correo repetido' END AS motivo
+    FROM filas f JOIN paso p ON p.n = f.n - 1)""",
     """aceptadas AS (SELECT *, (SELECT max(id_cliente) FROM cliente) + row_number() OVER (ORDER BY orden) AS id_cliente
     FROM revisadas WHERE motivo IS NULL)""",
 )
@@ -193,7 +252,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "bronze_roundtrip": head() + "SELECT * FROM transaccion",
         "bronze_counts": head()
-        + "\nUNION ALL ".join(f"SELECT '{t}' AS tabla, count(*) AS filas FROM {t}" for t in TABLES),
+        + "\nUNION ALL ".join(f"SELECT '{t}' AS tabla, count(*) AS filas FROM {t}" for t in BRONZE.split()),
         "csv_roundtrip": head(FACT) + _wide(BY_ACCOUNT),
         "dim_clientes": head()
         + f"""SELECT c.id_cliente, upper(nombre) AS nombre, upper(apellido) AS apellido, {MAIL} AS correo, delegacion,
@@ -296,8 +355,8 @@ def oracle_sql() -> dict[str, str]:
             FROM prestamo JOIN cliente USING (id_cliente) GROUP BY id_cliente""",
         "delete_cascade": head(GONE)
         + "\nUNION ALL ".join(
-            f"SELECT '{t}' AS tabla, {TABLES[t].key}::VARCHAR AS clave FROM {t} WHERE id_cliente NOT IN (SELECT id_cliente FROM bajas)"
-            for t in ("cliente", "cliente_tel", "cliente_biometria")
+            f"SELECT '{t}' AS tabla, {key}::VARCHAR AS clave FROM {t} WHERE id_cliente NOT IN (SELECT id_cliente FROM bajas)"
+            for t, key in (("cliente", "id_cliente"), ("cliente_tel", "tel"), ("cliente_biometria", "id_biometria"))
         ),
         "delete_set_null": head()
         + """SELECT t.id_transaccion, CASE WHEN k.estado = 'Vencida' THEN NULL ELSE t.no_tarjeta END AS no_tarjeta

@@ -48,6 +48,35 @@ def test_loans(frame):
     )
 
 
+def test_a_refused_row_leaves_nothing_behind(frame, sample):
+    """Chains: a row is refused, so the next holder of its value is taken, and so on."""
+    taken = sample["cliente"].first()
+    batch = frame(
+        [
+            (1, "n", "p", "m", "NEWC1", taken["correo"], "Ahorro", "1"),
+            (2, "n", "p", "m", "NEWC1", "fresh@x", "Ahorro", "1"),
+            (3, "n", "p", "m", "OTHR2", "fresh@x", "Ahorro", "1"),
+            (4, "n", "p", "m", "OTHR2", "more@x", "Ahorro", "1"),
+            (5, "n", "p", "m", "LAST3", "more@x", "Ahorro", "1"),
+            (6, "n", "p", "m", "LAST3", "end@x", "Ahorro", "1"),
+        ],
+        BATCH,
+    )
+    out = accounts.register_clients(batch, sample["cliente"], sample["cuenta"])
+    assert {r["orden"]: r["motivo"] for r in out.rejected.collect()} == {
+        1: accounts.MAIL_TAKEN, 3: accounts.MAIL_TAKEN, 5: accounts.MAIL_TAKEN,
+    }
+
+
+def test_a_taken_number_is_drawn_again(frame, sample, spark):
+    batch = frame([(1, "n", "p", "m", "AAAA1", "uno@x", "Ahorro", "1"), (2, "n", "p", "m", "BBBB2", "dos@x", "Ahorro", "1")], BATCH)
+    first = accounts.register_clients(batch, sample["cliente"], sample["cuenta"]).cuenta
+    used = sample["cuenta"].unionByName(first.where("no_cuenta LIKE 'AAAA%'").select(*sample["cuenta"].columns))
+    again = {r["no_cuenta"][:4]: r["no_cuenta"] for r in accounts.register_clients(batch, sample["cliente"], used).cuenta.collect()}
+    before = {r["no_cuenta"][:4]: r["no_cuenta"] for r in first.collect()}
+    assert again["BBBB"] == before["BBBB"] and again["AAAA"] != before["AAAA"]
+
+
 def test_registration(frame, sample):
     taken = sample["cliente"].first()
     batch = frame(

@@ -65,7 +65,7 @@ def test_exact_against_a_loop(frame, monkeypatch, mode, settings):
     count, hot = (250, 0.4) if settings.get("serial_legs") != 1 else (60, 0.3)
     tx, accounts = random_case(7, count, 12, hot)
     settle = ledger.settle
-    monkeypatch.setattr(ledger, "settle", lambda legs: settle(legs, **settings))
+    monkeypatch.setattr(ledger, "settle", lambda legs, **own: settle(legs, **{**own, **settings}))
     txs, cuenta = frames(frame, tx, accounts)
     decisions = authorize(txs, cuenta, mode)
     taken, balance = one_by_one(tx, accounts, mode)
