@@ -31,7 +31,7 @@ def stored(spark, sample):
 IN_PYTHON = {"tx_authorize_running", "tx_authorize_serial", "tx_post_stream", "ml_metrics"}
 
 
-@pytest.mark.parametrize("key", sorted(set(e.queries()) - IN_PYTHON))
+@pytest.mark.parametrize("key", sorted(set(e.QUERIES) - IN_PYTHON))
 def test_no_python_in_the_plan(spark, key):
     text = plan(e.queries()[key](spark, SMALL))
     assert "Python" not in text and "InPandas" not in text and "CartesianProduct" not in text
