@@ -6,6 +6,7 @@ import os
 import sys
 import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,15 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from caudal.operators import accounts, credit, deletion, extracts, gold, ledger, quality, silver  # noqa: E402
-from caudal.plans.extracts import bundle  # noqa: E402
+from caudal.plans.audit import run_sql  # noqa: E402
+from caudal.plans.extracts import bundle, extract_tiles, extract_wide  # noqa: E402
 from caudal.plans.lakehouse import Lake  # noqa: E402
+from caudal.plans.scoring import score  # noqa: E402
 from caudal.schemas import TABLES  # noqa: E402
 from caudal.session import CHECKPOINT_KEY, work_dir  # noqa: E402
-from caudal.sources.files import join_path, preview, read_csv, write_csv, write_parquet  # noqa: E402
+from caudal.sources.files import (  # noqa: E402
+    join_path, preview, read_csv, read_parquet, snapshot, write_bundle, write_csv, write_facts, write_parquet,
+)
 from caudal.sources.sample import SampleTables  # noqa: E402
 from caudal.streaming.posting import LedgerState, stream_postings  # noqa: E402
 import oracles  # noqa: E402
@@ -66,6 +71,74 @@ def _tiles_by(card_key: str) -> Callable[[SampleTables], DataFrame]:
     return lambda t: extracts.tiled_transactions(_silver(t), card_key=card_key)
 
 
+def _refined(t: SampleTables) -> Lake:
+    """Bronze, Silver with the fact laid out by month, and Gold, all written."""
+    lake = _bronze(t)
+    lake.refine(partition_fact=True)
+    lake.publish()
+    return lake
+
+
+def _silver_lake(t: SampleTables) -> Lake:
+    lake = Lake(t.spark, work_dir(t.spark))
+    write_bundle(silver.silver_tables(t), lake.silver_root)
+    return lake
+
+
+def _facts_roundtrip(t: SampleTables) -> DataFrame:
+    root = work_dir(t.spark)
+    write_facts({"transacciones": _silver(t)["transacciones"]}, root)
+    return read_parquet(t.spark, join_path(root, "fact_transacciones"))
+
+
+def _etl_wide_files(t: SampleTables) -> DataFrame:
+    """The extract as four CSV files, read back with their number."""
+    wide = read_csv(t.spark, extract_wide(_silver_lake(t), files=4), extracts.wide_transactions(_silver(t)).schema)
+    files = wide.select(F.input_file_name().alias("f")).agg(F.countDistinct("f").alias("n")).scalar()
+    return wide.withColumn("archivos", files)
+
+
+def _tiles_csv_roundtrip(t: SampleTables) -> DataFrame:
+    schema = extracts.full_transactions(_silver(t)).schema.add(extracts.TILE, "integer")
+    return read_csv(t.spark, extract_tiles(_silver_lake(t)), schema)
+
+
+def _snapshot_roundtrip(t: SampleTables) -> DataFrame:
+    """Every table exported; what the export holds, by table, with the sum of its balances or amounts."""
+    folder = snapshot({name: t[name] for name in TABLES}, work_dir(t.spark))
+    money = {"cuenta": "saldo", "transaccion": "monto", "prestamo": "monto"}
+    counts = [
+        read_parquet(t.spark, join_path(folder, name)).agg(
+            F.lit(name).alias("tabla"),
+            F.count(F.lit(1)).alias("filas"),
+            F.sum(F.col(money[name]).cast("decimal(18,2)") if name in money else F.lit(0).cast("decimal(18,2)")).alias("importe"),
+        )
+        for name in TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _kpi_sql(t: SampleTables) -> DataFrame:
+    text = """SELECT 'delegacion' AS reporte, delegacion AS grupo, count(*) AS total FROM cliente GROUP BY delegacion
+      UNION ALL SELECT 'movimiento', tipo_movimiento, count(*) FROM transaccion GROUP BY tipo_movimiento"""
+    return run_sql(t.spark, text, {"cliente": t["cliente"], "transaccion": t["transaccion"]})
+
+
+def _score_check(t: SampleTables) -> DataFrame:
+    """The stored scores: every client once, and the line that follows from its own prediction."""
+    lake = _silver_lake(t)
+    model = score(lake)
+    own = _features(t).select(F.col("id_cliente").alias("cliente_id"), F.col(credit.MEAN_BALANCE).alias("m"))
+    both = lake.gold("ml_credit_score").join(own, "cliente_id", "full")
+    line = F.col("m") * F.when(F.col("credit_aprobado") == 1, F.lit(1.2)).otherwise(F.lit(1.01))
+    return both.agg(
+        F.count("credit_aprobado").alias("clientes"),
+        F.countDistinct("cliente_id").alias("distintos"),
+        F.count_if(F.col(credit.CREDIT_LINE) == line).alias("lineas_correctas"),
+        F.count_if(~F.col("credit_aprobado").isin(0, 1)).alias("fuera_de_rango"),
+    ).withColumn("auc_alta", F.lit(model.auc >= 0.95))
+
+
 def _my_accounts(t: SampleTables) -> DataFrame:
     # The principal is the last client with an account.
     principal = t["cliente"].join(t["cuenta"], "id_cliente", "left_semi").agg(F.max("curp").alias("p")).scalar()
@@ -142,10 +215,18 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "bronze_roundtrip": _bronze_roundtrip,
     "bronze_counts": lambda t: _bronze(t).bronze_counts(),
     "csv_roundtrip": _csv_roundtrip,
+    "silver_layer": lambda t: _refined(t).silver()["dim_fact_transacciones"],
+    "gold_layer": lambda t: _refined(t).gold("kpi_movimientos"),
+    "facts_roundtrip": _facts_roundtrip,
+    "snapshot_roundtrip": _snapshot_roundtrip,
+    "etl_wide_files": _etl_wide_files,
+    "tiles_csv_roundtrip": _tiles_csv_roundtrip,
+    "kpi_sql": _kpi_sql,
     "dim_clientes": lambda t: silver.dim_clientes(t["cliente"], t["cliente_tel"]),
     "dim_beneficiarios": lambda t: silver.dim_beneficiarios(t["beneficiario"], t["beneficiario_tel"]),
     "dim_cuentas": lambda t: silver.dim_cuentas(t["cuenta"]),
     "dim_tarjetas": lambda t: silver.dim_tarjetas(t["tarjeta"]),
+    "dim_tarjetas_masked": lambda t: silver.dim_tarjetas(t["tarjeta"], mask_cards=True),
     "fact_transacciones": lambda t: silver.fact_transacciones(t["transaccion"], t["cuenta"]),
     "fact_prestamos": lambda t: silver.fact_prestamos(t["prestamo"]),
     "pivot_model_credit": lambda t: silver.pivot_model_credit(t["transaccion"], t["cuenta"]),
@@ -172,6 +253,9 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "dq_unique": quality.unique_failures,
     "dq_foreign_keys": quality.reference_failures,
     "dq_report": quality.quality_report,
+    "dq_core": quality.core_report,
+    "dq_summary": lambda t: quality.summary(quality.quality_report(t)),
+    "dq_offending": lambda t: quality.offending_rows(t, quality.NEGATIVE_BALANCE),
     "my_accounts": _my_accounts,
     "tx_authorize_opening": _authorize("opening"),
     "tx_authorize_running": _authorize("running"),
@@ -193,6 +277,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "ml_label": lambda t: credit.with_label(_features(t)).select("id_cliente", "label"),
     "credit_line_rule": _lines,
     "score_preview": _score_preview,
+    "credit_score_check": _score_check,
     "ml_metrics": lambda t: credit.train(_features(t)).metrics(),
     "credit_score": lambda t: credit.train(_features(t)).credit_lines(),
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from caudal.operators.skew import lookup_side
 from caudal.schemas import REFERENCES, TABLES, Reference
+from caudal.session import materialise
 
 BLOCKER_COLUMNS = ("clave", "tabla", "columna", "filas")
 
@@ -69,8 +70,9 @@ def delete_blockers(tables: Mapping[str, DataFrame], table: str, keys: DataFrame
 
 def delete_rows(tables: Mapping[str, DataFrame], table: str, keys: DataFrame) -> Deletion:
     """Delete the keys nothing restricts, with what follows from it. Blocked keys stay, and are listed."""
-    blockers = delete_blockers(tables, table, keys)
-    doomed = _named(table, keys).join(blockers.select("clave").distinct(), "clave", "left_anti")
+    # Both are read again for every table that follows: stored once.
+    blockers = materialise(delete_blockers(tables, table, keys))
+    doomed = materialise(_named(table, keys).join(blockers.select("clave").distinct(), "clave", "left_anti"))
     changed = dict(tables)
 
     def drop(name: str, ids: DataFrame) -> None:

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caudal.operators.ranking import with_ntile
+from caudal.operators.ranking import with_counted_ntile, with_ntile
 from caudal.operators.skew import lookup_side
+from caudal.session import slice_count
 
 WIDE_COLUMNS = (
     "id_cliente",
@@ -62,10 +63,16 @@ def _times(*counts: str) -> Column:
 
 
 def _repeated(df: DataFrame) -> DataFrame:
-    """Each row as often as its count says, in blocks so that no row needs a long array."""
+    """Each row as often as its count says, in blocks so that no row needs a long array.
+
+    Blocks are spread by transaction and block number before they unfold: adaptive execution sees the
+    bytes a task reads, not the rows it makes, and a hot account would otherwise unfold in one task.
+    What is shuffled is the counted rows.
+    """
     last_block = F.floor((F.col(TIMES) - 1) / REPEATS)
     in_block = F.least(F.col(TIMES) - F.col("_block") * REPEATS, F.lit(REPEATS).cast("long"))
     blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    blocks = blocks.repartition(slice_count(df.sparkSession), "id_transaccion", "_block")
     return blocks.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), in_block))).drop("_block", "_row", TIMES)
 
 
@@ -76,8 +83,8 @@ def _attach(silver: Mapping[str, DataFrame], accounts: DataFrame, card_key: str)
     together first, both being small next to the transactions, which are shuffled at most once. Cards
     whose account row is missing are kept. By ``no_tarjeta`` it meets the one card it was made with.
 
-    Equal matches travel as one row and a count, and are repeated after the last join: an account or a
-    client with any number of cards, beneficiaries or loans is a handful of rows in every shuffle.
+    Equal matches travel as one row and a count, ``_times`` of the result: an account or a client with
+    any number of cards, beneficiaries or loans is a handful of rows in every shuffle.
     """
     tx = silver["transacciones"].select(
         "id_transaccion", "tipo_movimiento", "monto", "fecha_transaccion", "cuenta_origen", "no_tarjeta"
@@ -96,7 +103,7 @@ def _attach(silver: Mapping[str, DataFrame], accounts: DataFrame, card_key: str)
         wide = tx.join(cards, "no_tarjeta", "left").join(lookup_side(accounts), "cuenta_origen", "left")
     else:
         raise ValueError(f"unknown card key {card_key!r}")
-    return _repeated(wide.withColumn(TIMES, _times(TIMES)))
+    return wide.withColumn(TIMES, _times(TIMES))
 
 
 def wide_transactions(
@@ -109,12 +116,14 @@ def wide_transactions(
     accounts = silver["cuentas"].select(
         "no_cuenta", "tipo_cuenta", "saldo", "id_cliente", F.lit(1).cast("long").alias(TIMES)
     )
-    wide = _attach(silver, accounts, card_key).select(*WIDE_COLUMNS)
+    wide = _attach(silver, accounts, card_key).select(*WIDE_COLUMNS, TIMES)
+    # Card numbers are unique: by card nothing repeats.
+    wide = wide.drop(TIMES) if card_key == "no_tarjeta" else _repeated(wide)
     return wide.repartition(files) if files else wide
 
 
-def full_transactions(silver: Mapping[str, DataFrame], card_key: str = "no_cuenta") -> DataFrame:
-    """The eleven-column extract: one row per transaction × card × beneficiary × loan.
+def _full_counted(silver: Mapping[str, DataFrame], card_key: str) -> DataFrame:
+    """The eleven columns, equal rows as one with their number in ``_times``.
 
     Beneficiaries add no column but do multiply rows. A loan attaches only when its client row exists.
     """
@@ -133,18 +142,29 @@ def full_transactions(silver: Mapping[str, DataFrame], card_key: str = "no_cuent
     return (
         _attach(silver, accounts, card_key)
         .withColumnsRenamed({"monto": "monto_transaccion", "estado": "estado_tarjeta"})
-        .select(*FULL_COLUMNS)
+        .select(*FULL_COLUMNS, TIMES)
     )
 
 
+def full_transactions(silver: Mapping[str, DataFrame], card_key: str = "no_cuenta") -> DataFrame:
+    """The eleven-column extract: one row per transaction × card × beneficiary × loan."""
+    return _repeated(_full_counted(silver, card_key))
+
+
 def tiled_transactions(
     silver: Mapping[str, DataFrame],
     tiles: int = 4,
     card_key: str = "no_cuenta",
     method: str = "distributed",
 ) -> DataFrame:
-    """The full extract with its tile number in ``bloque``, ordered by client."""
-    return with_ntile(full_transactions(silver, card_key), tiles, TILE_ORDER, TILE, method)
+    """The full extract with its tile number in ``bloque``, ordered by client.
+
+    ``distributed`` tiles the counted rows and unfolds them last; ``window`` is the one-task window.
+    """
+    if method != "distributed":
+        return with_ntile(full_transactions(silver, card_key), tiles, TILE_ORDER, TILE, method)
+    tiled = with_counted_ntile(_full_counted(silver, card_key), tiles, TILE_ORDER, TILE, TIMES)
+    return _repeated(tiled).select(*TILED_COLUMNS)
 
 
 def tile_frames(tiled: DataFrame, tiles: int = 4) -> dict[str, DataFrame]:

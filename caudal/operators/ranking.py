@@ -18,6 +18,7 @@ from caudal.session import materialise, slice_count
 SLICE = "_slice"
 PLACE = "_place"
 TIE = "_tie"
+ENDS = "_ends"
 
 # The low bits of a monotonically increasing id count the rows of its task.
 ROW_BITS = 33
@@ -74,6 +75,62 @@ def tile_bounds(keys: DataFrame, order_by: Sequence[str], tiles: int, slices: in
     return sliced.join(F.broadcast(wanted), [SLICE, PLACE]).select("tile", F.struct(*order_by).alias("bound"))
 
 
+def with_counted_ntile(
+    df: DataFrame, tiles: int, order_by: Sequence[str], name: str, times: str, slices: int | None = None
+) -> DataFrame:
+    """``ntile(tiles)`` where a row stands for ``times`` equal rows, which are never unfolded here.
+
+    Each row comes back once for every tile it reaches, with the tile in ``name`` and its share in
+    ``times``. The counted rows are written once; their keys are cut into ranges, a sum per range tells
+    which ranges hold a tile's last row, and only those are sorted.
+    """
+    if tiles < 1:
+        raise ValueError("tiles must be positive")
+    if tiles == 1:
+        return df.withColumn(name, F.lit(1))
+    keys = [*order_by, TIE]
+    stored = materialise(df.withColumn(TIE, F.monotonically_increasing_id()))
+    n = slices or slice_count(df.sparkSession)
+    sliced = materialise(
+        stored.select(*keys, times).repartitionByRange(n, *keys).withColumn(SLICE, F.spark_partition_id())
+    )
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wanted = (
+        sliced.groupBy(SLICE)
+        .agg(F.sum(times).alias("rows"))
+        .withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0).cast("long")))
+        .withColumn("total", F.sum("rows").over(everything))
+        .select(SLICE, "before", "rows", F.posexplode(_last_ranks(F.col("total"), tiles)).alias("tile", "rank"))
+        .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("rows")))
+        .groupBy(SLICE)
+        .agg(F.collect_list(F.struct((F.col("tile") + 1).alias("tile"), (F.col("rank") - F.col("before")).alias("rank"))).alias("ends"))
+    )
+    so_far = F.sum(times).over(Window.partitionBy(SLICE).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
+    bounds = (
+        sliced.join(F.broadcast(wanted), SLICE)
+        .withColumn("so_far", so_far)
+        .select(*keys, times, "so_far", F.inline("ends"))
+        .where((F.col("rank") > F.col("so_far") - F.col(times)) & (F.col("rank") <= F.col("so_far")))
+        .select("tile", F.struct(*keys).alias("bound"), (F.col("rank") - F.col("so_far") + F.col(times)).alias("cut"))
+    )
+    closing = bounds.agg(F.map_from_entries(F.collect_list(F.struct("tile", F.struct("bound", "cut")))).alias("closing")).scalar()
+    own = F.struct(*keys)
+    none = F.lit(0).cast("long")
+
+    def up_to(t: int) -> Column:
+        """How many of the row's copies lie in the first ``t`` tiles."""
+        end = F.element_at(ENDS, F.lit(t))
+        return F.when(own < end["bound"], F.col(times)).when(own == end["bound"], end["cut"]).otherwise(none)
+
+    upper = [none, *(up_to(t) for t in range(1, tiles)), F.col(times)]
+    shares = F.array(
+        *(F.struct(F.lit(t).alias(name), (upper[t] - upper[t - 1]).alias(times)) for t in range(1, tiles + 1))
+    )
+    kept = [c for c in df.columns if c != times]
+    return stored.withColumn(ENDS, closing).select(*kept, F.inline(shares)).where(F.col(times) > 0)
+
+
 def with_ntile(
     df: DataFrame,
     tiles: int,

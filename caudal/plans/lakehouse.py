@@ -59,7 +59,8 @@ class Lake:
         frames = silver_tables(self.bronze(), mask_cards)
         if partition_fact:
             fact = frames.pop("dim_fact_transacciones")
-            by_month = fact.withColumn(PERIOD, F.date_format("fecha_transaccion", "yyyy-MM"))
+            # Rows of a month meet in few tasks, so few files; a large month is split.
+            by_month = fact.withColumn(PERIOD, F.date_format("fecha_transaccion", "yyyy-MM")).hint("rebalance", PERIOD)
             write_parquet(by_month, join_path(self.silver_root, "dim_fact_transacciones"), [PERIOD])
         write_bundle(frames, self.silver_root)
 

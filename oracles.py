@@ -254,6 +254,30 @@ def oracle_sql() -> dict[str, str]:
         "bronze_counts": head()
         + "\nUNION ALL ".join(f"SELECT '{t}' AS tabla, count(*) AS filas FROM {t}" for t in BRONZE.split()),
         "csv_roundtrip": head(FACT) + _wide(BY_ACCOUNT),
+        "silver_layer": head(FACT)
+        + """SELECT id_transaccion, no_tarjeta, cuenta_origen, cuenta_destino, monto, tipo_movimiento, fecha_transaccion,
+            id_cliente, strftime(fecha_transaccion, '%Y-%m') AS periodo FROM hecho""",
+        "gold_layer": head()
+        + """SELECT strftime(fecha_transaccion, '%Y-%m') AS periodo, tipo_movimiento,
+            count(id_transaccion) AS movimientos, sum(monto) AS monto_total FROM transaccion GROUP BY 1, 2""",
+        "facts_roundtrip": head(FACT)
+        + """SELECT id_transaccion, no_tarjeta, cuenta_origen, cuenta_destino, monto, tipo_movimiento,
+            fecha_transaccion, id_cliente FROM hecho""",
+        "snapshot_roundtrip": head()
+        + "\nUNION ALL ".join(
+            f"""SELECT '{t}' AS tabla, count(*) AS filas,
+              CAST(sum({dict(cuenta='saldo', transaccion='monto', prestamo='monto').get(t, '0')}) AS DECIMAL(28,2)) AS importe
+            FROM {t}"""
+            for t in BRONZE.split()
+        ),
+        "etl_wide_files": head(FACT) + f"SELECT *, CAST(4 AS BIGINT) AS archivos FROM ({_wide(BY_ACCOUNT)}) w",
+        "tiles_csv_roundtrip": head(FACT) + TILES + _full(BY_ACCOUNT) + ") w",
+        "kpi_sql": head()
+        + """SELECT 'delegacion' AS reporte, delegacion AS grupo, count(*) AS total FROM cliente GROUP BY 2
+          UNION ALL SELECT 'movimiento', tipo_movimiento, count(*) FROM transaccion GROUP BY 2""",
+        "dim_tarjetas_masked": head()
+        + f"""SELECT repeat('X', greatest(length(no_tarjeta) - 4, 0)) || right(no_tarjeta, 4) AS no_tarjeta,
+            {MASK.format('cvv')} AS cvv, emisor, estado, no_cuenta FROM tarjeta""",
         "dim_clientes": head()
         + f"""SELECT c.id_cliente, upper(nombre) AS nombre, upper(apellido) AS apellido, {MAIL} AS correo, delegacion,
             estado_civil, coalesce(t.lista, '') AS telefonos
@@ -311,6 +335,14 @@ def oracle_sql() -> dict[str, str]:
         "dq_unique": head() + UNIQUE,
         "dq_foreign_keys": head() + FOREIGN,
         "dq_report": head() + f"SELECT regla, fallas, fallas = 0 AS aprobada FROM ({EVERY_RULE}) r",
+        "dq_core": head()
+        + "SELECT regla, fallas, fallas = 0 AS aprobada FROM ("
+        + "\nUNION ALL ".join([_counts(NEGATIVE + NONPOSITIVE), ORPHANS, PERCENT])
+        + ") r",
+        "dq_summary": head()
+        + f"""SELECT count(*) AS reglas, count(CASE WHEN fallas > 0 THEN 1 END) AS reglas_fallidas,
+            CAST(sum(fallas) AS BIGINT) AS fallas FROM ({EVERY_RULE}) r""",
+        "dq_offending": head() + "SELECT * FROM cuenta WHERE saldo < 0",
         "my_accounts": head()
         + """SELECT q.no_cuenta, q.tipo_cuenta, q.saldo, c.curp FROM cuenta q JOIN cliente c USING (id_cliente)
           WHERE c.curp = (SELECT max(curp) FROM cliente JOIN cuenta USING (id_cliente))""",
@@ -365,6 +397,9 @@ def oracle_sql() -> dict[str, str]:
         "ml_features": head(FACT, FEATURES) + "SELECT * FROM rasgos",
         "ml_label": head(FACT, FEATURES, LABELS) + "SELECT id_cliente, label FROM etiquetas",
         "credit_line_rule": head(FACT, FEATURES, LABELS, LINES) + "SELECT * FROM lineas",
+        "credit_score_check": head(FACT, FEATURES)
+        + """SELECT count(*) AS clientes, count(DISTINCT id_cliente) AS distintos, count(*) AS lineas_correctas,
+            CAST(0 AS BIGINT) AS fuera_de_rango, true AS auc_alta FROM rasgos""",
         "score_preview": head(FACT, FEATURES, LABELS, LINES)
         + "SELECT *, (SELECT count(*) FROM lineas) AS total FROM lineas ORDER BY cliente_id LIMIT 20",
     }

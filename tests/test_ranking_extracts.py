@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caudal.operators import extracts
-from caudal.operators.ranking import with_ntile, with_row_number
+from caudal.operators.ranking import with_counted_ntile, with_ntile, with_row_number
 from caudal.sources.files import ContractError, check_contract
 from conftest import rows
 
@@ -104,6 +104,37 @@ def test_many_equal_matches_are_all_kept(frame):
     assert counts == {1: 2 * 25_001 * 2, 2: 1, 3: 1, 4: 1}
 
 
+def test_a_hot_account_unfolds_in_all_tasks(frame, spark):
+    t = build(frame)
+    t["transacciones"] = spark.range(200).select(
+        F.col("id").alias("id_transaccion"), F.lit("k1").alias("no_tarjeta"), F.lit("x").alias("cuenta_destino"),
+        F.lit("a1").alias("cuenta_origen"), F.lit(1).cast("decimal(16,2)").alias("monto"),
+        F.lit("Retiro").alias("tipo_movimiento"), F.lit("2024-01-01").cast("timestamp_ntz").alias("fecha_transaccion"),
+    )
+    t["beneficiarios"] = spark.range(20_000).select(F.lit("a1").alias("no_cuenta"))
+    full = extracts.full_transactions(t).groupBy(F.spark_partition_id().alias("task")).count()
+    sizes = [r["count"] for r in full.collect()]
+    assert sum(sizes) == 200 * 20_000 * 2 * 2
+    assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
+
+
+@pytest.mark.parametrize("tiles", [1, 3, 4, 7])
+def test_counted_tiles_equal_the_unfolded_ones(spark, tiles):
+    rng = random.Random(tiles)
+    counts = [(rng.choice([None, *range(12)]), rng.choice([1, 2, 40])) for _ in range(60)] + [(5, 900)]
+    df = spark.createDataFrame(counts, "v long, n long").repartition(5)
+    tiled = with_counted_ntile(df, tiles, ["v"], "t", "n").collect()
+    unfolded = sorted(((r["v"], r["t"]) for r in tiled for _ in range(r["n"])), key=repr)
+    assert unfolded == ntile([v for v, n in counts for _ in range(n)], tiles)
+
+
+def test_counted_tiles_of_few_or_no_rows(spark):
+    empty = spark.createDataFrame([], "v long, n long")
+    assert with_counted_ntile(empty, 4, ["v"], "t", "n").count() == 0
+    one = with_counted_ntile(spark.createDataFrame([(1, 3)], "v long, n long"), 4, ["v"], "t", "n")
+    assert sorted((r["t"], r["n"]) for r in one.collect()) == [(1, 1), (2, 1), (3, 1)]
+
+
 def test_files_fixes_the_number_of_partitions(silver):
     assert extracts.wide_transactions(silver, files=4).rdd.getNumPartitions() == 4
 
