@@ -47,6 +47,7 @@ TILE_ORDER = ("id_cliente", "id_transaccion", "estado_tarjeta", "emisor", "estad
 
 TIMES = "_times"
 REPEATS = 10_000
+IN_PLACE = 100
 
 
 def _counted(df: DataFrame, *columns: str | Column) -> DataFrame:
@@ -62,12 +63,11 @@ def _times(*counts: str) -> Column:
     return product
 
 
-def _repeated(df: DataFrame) -> DataFrame:
+def _spread(df: DataFrame) -> DataFrame:
     """Each row as often as its count says, in blocks so that no row needs a long array.
 
     Blocks are spread by transaction and block number before they unfold: adaptive execution sees the
     bytes a task reads, not the rows it makes, and a hot account would otherwise unfold in one task.
-    What is shuffled is the counted rows.
     """
     last_block = F.floor((F.col(TIMES) - 1) / REPEATS)
     in_block = F.least(F.col(TIMES) - F.col("_block") * REPEATS, F.lit(REPEATS).cast("long"))
@@ -76,6 +76,14 @@ def _repeated(df: DataFrame) -> DataFrame:
     return blocks.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), in_block))).drop("_block", "_row", TIMES)
 
 
+def _repeated(df: DataFrame) -> DataFrame:
+    """As ``_spread``, but rows with a count up to ``IN_PLACE`` unfold where they are: only the counted
+    rows of large accounts are shuffled again."""
+    few = df.where(F.col(TIMES) <= IN_PLACE)
+    few = few.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col(TIMES)))).drop("_row", TIMES)
+    return few.unionByName(_spread(df.where(F.col(TIMES) > IN_PLACE)))
+
+
 def _attach(silver: Mapping[str, DataFrame], accounts: DataFrame, card_key: str) -> DataFrame:
     """Transactions ⟕ card ⟕ account, where ``accounts`` carries in ``_times`` how often each row counts.
 
@@ -164,7 +172,7 @@ def tiled_transactions(
     if method != "distributed":
         return with_ntile(full_transactions(silver, card_key), tiles, TILE_ORDER, TILE, method)
     tiled = with_counted_ntile(_full_counted(silver, card_key), tiles, TILE_ORDER, TILE, TIMES)
-    return _repeated(tiled).select(*TILED_COLUMNS)
+    return _spread(tiled).select(*TILED_COLUMNS)
 
 
 def tile_frames(tiled: DataFrame, tiles: int = 4) -> dict[str, DataFrame]:
