@@ -249,12 +249,13 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
         .agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     )
     banded = reps.select("id", "sketch").mapInPandas(_bands, "key long, id long")
-    order = F.xxhash64("id", F.pmod("key", F.lit(4)))
+    # Leaders are least after flipping bits, so that counting buckets needs fixed-width buffers and no sort.
+    flip = F.xxhash64(F.pmod("key", F.lit(4)))
     buckets = (
         banded.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("o"), "id")).alias("lead"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.col("id").bitwiseXOR(flip)).alias("lead"))
         .where("n > 1")
-        .select("key", "n", F.col("lead.id").alias("leader"))
+        .select("key", "n", F.col("lead").bitwiseXOR(flip).alias("leader"))
     )
     members = materialise(banded.join(lookup_side(buckets), "key"))
     small = members.where(F.col("n") <= SMALL).select("key", "id")
