@@ -27,6 +27,8 @@ TRAIN_DOCUMENTS = 3000
 MOST_LANGUAGES = 1000
 UNKNOWN = "und"
 _BITS = 21
+# Characters of a text whose n-grams are counted at a time: bounds memory, not the text.
+PIECE = 1 << 18
 
 
 @lru_cache(maxsize=1)
@@ -40,15 +42,28 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not text:
         return empty
     code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[code]
-    if not letter.any():
-        return empty
-    code = np.where(letter, code + 2, 1).astype(np.int64)  # 1 stands for what is between words
-    code = np.r_[1, code, 1]
-    code = code[(code != 1) | np.r_[True, code[:-1] != 1]]
-    two = code[:-1] | (code[1:] << _BITS)
-    three = two[:-1] | (code[2:] << (2 * _BITS))
-    return np.unique(np.concatenate([code[code != 1], two, three]), return_counts=True)
+    gram, n = empty
+    last = np.ones(1, np.int64)  # what stands before the piece; 1 stands for what is between words
+    for low in range(0, len(code), PIECE):
+        part = code[low : low + PIECE]
+        part = np.where(_letters()[part], part + 2, 1).astype(np.int64)
+        if low + PIECE >= len(code):
+            part = np.r_[part, 1]
+        old = len(last)
+        part = np.r_[last, part]
+        fresh = (part != 1) | np.r_[True, part[:-1] != 1]
+        part, old = part[fresh], int(fresh[:old].sum())
+        two = part[:-1] | (part[1:] << _BITS)
+        three = two[:-1] | (part[2:] << (2 * _BITS))
+        # Only n-grams that end in this piece; earlier ones have been counted.
+        one = part[old:]
+        found = np.concatenate([one[one != 1], two[max(old - 1, 0) :], three[max(old - 2, 0) :]])
+        own, times = np.unique(found, return_counts=True)
+        known, at = np.unique(np.concatenate([gram, own]), return_inverse=True)
+        gram, n = known, np.bincount(at, np.concatenate([n, times]), len(known)).astype(np.int64)
+        last = part[-2:]
+    letters = (gram != 1) & (gram < 1 << _BITS)
+    return (gram, n) if letters.any() else empty
 
 
 def ranked(gram: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:

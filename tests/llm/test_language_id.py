@@ -52,3 +52,13 @@ def test_stage_keeps_columns_and_text(documents):
     kept = li.keep_known(documents(rows, extra=True))
     assert sorted(r.doc_id for r in kept.collect()) == list(range(30))
     assert kept.columns == documents(rows, extra=True).columns
+
+
+def test_ngrams_do_not_depend_on_the_piece(monkeypatch):
+    texts = ["", " . ", "a", "Ab  c.d é", "日本 x" * 3, " lead and trail ", "ab" * 9]
+    whole = [li.ngrams(t) for t in texts]
+    for piece in (1, 2, 3, 5):
+        monkeypatch.setattr(li, "PIECE", piece)
+        for text, (gram, n) in zip(texts, whole):
+            got = li.ngrams(text)
+            assert got[0].tolist() == gram.tolist() and got[1].tolist() == n.tolist()
