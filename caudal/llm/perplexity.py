@@ -1,14 +1,15 @@
 """Text quality by counts and by the perplexity of an n-gram model.
 
-The model is a modified Kneser-Ney 4-gram model over characters, one for each language. Characters
-are folded to 64 symbols (white space, 26 letters, digits, marks, and hashed places for all others),
-so a language has at most 2^24 n-grams whatever the corpus: the tables that tasks receive are bounded
-by that and by ``LANGUAGES``, while every text of the corpus is counted. Counting is one Spark
-aggregation over counts that each task has added up. The model is kept as sorted arrays of packed
-n-grams (a hash without collisions) next to float32 log probabilities.
+The model counts words: trigrams, bigrams and single words of every text, as 64-bit hashes, one model for each
+language. It grows with the corpus, so no task and not the driver holds it. Texts are cut into blocks; a
+block sends its distinct n-grams with their counts, as sorted arrays, to the part of the hash range that they
+fall in, and gets back how often the whole corpus has each. A letter of a script without blanks is a word.
 
-A text is scored as if the model had not seen it: an n-gram or context that no other text of its
-language has counts as unseen there.
+The probability of a word is smoothed by a Dirichlet prior (MacKay and Peto) of one order less, down to how the
+word is spelled: a modified Kneser-Ney 4-gram model over characters folded to 64 symbols (white space, 26
+letters, digits, marks, and hashed places for all others). That one has at most 2^24 n-grams a language.
+
+A text is scored as if the model had not seen it: its own counts are taken off.
 
 A document is rejected when its log perplexity lies outside the band of its language,
 ``BAND_WIDTH`` interquartile ranges below the first and above the third quartile.
@@ -17,12 +18,14 @@ A document is rejected when its log perplexity lies outside the band of its lang
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,12 @@ BAND_WIDTH = 4.0
 # Bands are never narrower than this to either side of the quartiles.
 BAND_LEAST = 0.35
 FLUSH = 8_000_000
+# Code points of a block of texts, and those whose n-grams a part of the hash range holds on average.
+BLOCK, PART = 4_000_000, 4_000_000
+# Strength of the prior of longer n-grams, and the share of single words that is left to spelling.
+PRIOR, NOVEL = 2.0, 0.05
+# Scripts that set no blanks between words: every letter and mark is a word.
+_UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3000, 0x3100), (0x3400, 0xA000), (0xF900, 0xFB00), (0xFF00, 0xFFF0), (0x20000, 0x40000))
 
 
 @lru_cache(maxsize=1)
@@ -126,9 +135,11 @@ class Model:
     def log_perplexity(self, text: str | None) -> float | None:
         """Mean negative log probability of a character; None for a text without any."""
         g = grams(text)
-        if not len(g):
-            return None
-        own, n = np.unique(g, return_counts=True)
+        return float(-self.logs(g).mean()) if len(g) else None
+
+    def logs(self, g: np.ndarray) -> np.ndarray:
+        """Log probability of each character of a text with the n-grams ``g``."""
+        own, where, n = np.unique(g, return_inverse=True, return_counts=True)
         log, top = self._log(own, ORDER), self.levels[-1]
         context = own >> np.uint32(BITS)
         first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
@@ -140,7 +151,7 @@ class Model:
             others = known & (self.totals[here] > held[alone])
             lower = self._log(own[alone] & np.uint32((1 << (BITS * (ORDER - 1))) - 1), ORDER - 1)
             log[alone] = np.where(others, top.backoff[here], 0.0) + lower
-        return float(-(log @ n) / n.sum())
+        return log[where]
 
 
 def _model_of(lang, known: frozenset) -> str:
@@ -225,30 +236,163 @@ def base_figures(text: str | None, hashes: WordHashes) -> tuple[int, int, int, i
     return len(parts), chars, symbols, len(lines) - len(set(lines)), repeated
 
 
-_COLUMNS = ["doc_id", "model", "log_ppl", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Of every code point: 1 white space, 2 a word by itself, else 0."""
+    out = np.zeros(sys.maxunicode + 1, np.uint8)
+    for low, high in _UNSPACED:
+        out[low:high] = 2
+    out[[9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x2028, 0x2029, 0x3000]] = 1
+    return out
 
 
-def score(documents: DataFrame, models: dict[str, Model]) -> DataFrame:
-    """Base figures and ``log_ppl`` under the model of the row's language, a row for each document."""
-    shared = documents.sparkSession.sparkContext.broadcast(models)
+def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of the lower-cased ``text`` start, and their 64-bit hashes."""
+    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _kinds()[code]
+    white = kind == 1
+    start = ~white
+    start[1:] &= white[:-1] | (kind[1:] == 2) | (kind[:-1] == 2)
+    at = np.flatnonzero(start)
+    if not len(at):
+        return at, np.empty(0, np.uint64)
+    place = np.arange(len(code)) - at[np.maximum(np.cumsum(start) - 1, 0)]
+    term = mix((code.astype(np.uint64) + np.uint64(1)) | (place.astype(np.uint64) << np.uint64(32)))
+    term[white] = 0
+    return at, mix(np.add.reduceat(term, at) + np.uint64(len("words")))
+
+
+@dataclass
+class WordGrams:
+    """Keys of the n-grams of a text: sorted, with counts, and by position."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+    single: np.ndarray
+    double: np.ndarray
+    triple: np.ndarray
+    total: int
+    starts: np.ndarray
+
+
+def word_grams(text: str, model: str) -> WordGrams:
+    """N-grams of the words of ``text`` after two marks of its beginning and up to one of its end.
+
+    Each but the end is followed by a word as often as it is counted. One more key counts all words.
+    """
+    seed = np.uint64(xxhash.xxh3_64_intdigest(model.encode("utf-8", "replace")))
+    starts, h = word_hashes(text)
+    s = np.concatenate([np.array([1, 2], np.uint64), h, np.array([3], np.uint64)]) ^ seed
+    runs = [window_hashes(s[1:], 1), window_hashes(s, 2), window_hashes(s, 3), mix(seed[None])]
+    keys, at, counts = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
+    single, double, triple, total = np.split(at, np.cumsum([len(r) for r in runs])[:-1])
+    counts[total[0]] = len(h) + 1
+    return WordGrams(keys, counts, single, double, triple, int(total[0]), starts)
+
+
+def log_word_perplexity(text: str, g: WordGrams, others: np.ndarray, spelling: Model | None) -> float:
+    """Mean negative log probability of a word or the end; ``others`` counts ``g.keys`` in all other texts."""
+    char = spelling.logs(grams(text)) if spelling else np.full(len(text.lower()), -np.log(SYMBOLS))
+    base = np.exp(np.append(np.add.reduceat(char, g.starts), 0.0)) if len(g.starts) else np.ones(1)
+    c1, c2, c3 = (others[x] for x in (g.single, g.double, g.triple))
+    n = others[g.total]
+    p = (c1[1:] + NOVEL * n * base) / (n * (1 + NOVEL)) if n else base
+    p = (c2[1:] + PRIOR * p) / (c1[:-1] + PRIOR)
+    p = (c3 + PRIOR * p) / (c2[:-1] + PRIOR)
+    return float(-np.log(np.maximum(p, 1e-300)).mean())
+
+
+_SENT = "block long, part int, keys binary, counts binary, doc_id long, model string, text string"
+
+
+def _summed(grams_of: list[WordGrams]) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(np.concatenate([g.keys for g in grams_of]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([g.counts for g in grams_of]), len(keys)).astype(np.int64)
+
+
+def _sender(known: frozenset, parts: int):
+    edges = np.array([((i << 64) + parts - 1) // parts for i in range(1, parts)], np.uint64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        by_name = shared.value
-        known = frozenset(by_name)
+        names = [x.split()[0] for x in _SENT.split(", ")]
+        held: list[WordGrams] = []
+        block, size = uuid.uuid4().int >> 65, 0
+
+        def flush() -> Iterator[pd.DataFrame]:
+            keys, counts = _summed(held)
+            at = [0, *np.searchsorted(keys, edges), len(keys)]
+            rows = [(block, i, keys[a:b].tobytes(), counts[a:b].tobytes(), None, None, None) for i, (a, b) in enumerate(zip(at, at[1:])) if a < b]
+            for i in range(0, len(rows), 64):
+                yield pd.DataFrame(rows[i : i + 64], columns=names).astype({"doc_id": "Int64"})
+
         for batch in batches:
             out = []
             for doc_id, lang, text in zip(batch["doc_id"], batch["lang"], batch["text"]):
                 model = _model_of(lang, known)
-                ppl = by_name[model].log_perplexity(text) if model in by_name else None
-                out.append((doc_id, model, ppl, *base_figures(text, hashes)))
-            yield pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": "Int64", "log_ppl": float})
+                out.append((block, -1, None, None, doc_id, model, text))
+                if text:
+                    held.append(word_grams(text, model))
+                    size += len(text)
+                if size >= BLOCK:
+                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                    yield from flush()
+                    out, held[:] = [], []
+                    block, size = uuid.uuid4().int >> 65, 0
+            if out:
+                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+        if held:
+            yield from flush()
+
+    return run
 
-    return documents.select("doc_id", "lang", "text").mapInPandas(
-        run,
-        "doc_id long, model string, log_ppl double, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long",
+
+def _corpus_counts(group: pd.DataFrame) -> pd.DataFrame:
+    """For the n-grams that blocks sent to one part, how often all blocks have them."""
+    keys = [np.frombuffer(x, np.uint64) for x in group["keys"]]
+    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.bincount(at, np.concatenate([np.frombuffer(x, np.int64) for x in group["counts"]])).astype(np.int64)[at]
+    each = np.split(sums, np.cumsum([len(k) for k in keys])[:-1])
+    return pd.DataFrame({"block": group["block"], "part": group["part"], "counts": [x.tobytes() for x in each]})
+
+
+def score_words(documents: DataFrame, models: dict[str, Model]) -> DataFrame:
+    """Base figures and ``log_ppl`` of words under the model of the row's language, a row for each document.
+
+    ``models`` are those of spelling; the counts of words are of ``documents``.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(models)
+    size = documents.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    rows = documents.select("doc_id", "lang", "text")
+    # Blocks have random names: they are written once, and read by both sides.
+    sent = materialise(rows.mapInPandas(_sender(frozenset(models), -(-size // PART) or 1), _SENT))
+    counted = (
+        sent.where("part >= 0").select("block", "part", "keys", "counts")
+        .groupBy("part").applyInPandas(_corpus_counts, "block long, part int, counts binary")
     )
 
+    def judged(group: pd.DataFrame) -> pd.DataFrame:
+        hashes, by_name, out = WordHashes(), shared.value, []
+        back = group[group["part"] >= 0].sort_values("part")
+        own = group[group["part"] < 0]
+        each = [word_grams(t, m) if t else None for t, m in zip(own["text"], own["model"])]
+        if len(back):
+            keys, _ = _summed([g for g in each if g])
+            counts = np.concatenate([np.frombuffer(x, np.int64) for x in back["counts"]])
+            if len(keys) != len(counts):
+                raise ValueError("a block got back other n-grams than it sent")
+        for doc_id, model, text, g in zip(own["doc_id"], own["model"], own["text"], each):
+            ppl = log_word_perplexity(text, g, counts[np.searchsorted(keys, g.keys)] - g.counts, by_name.get(model)) if g else None
+            out.append((doc_id, model, ppl, *base_figures(text, hashes)))
+        return pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": "Int64", "log_ppl": float})
+
+    texts = sent.where("part < 0").select("block", "part", F.lit(None).cast("binary").alias("counts"), "doc_id", "model", "text")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("model", "string"), ("text", "string"))]
+    return texts.union(counted.select("block", "part", "counts", *none)).groupBy("block").applyInPandas(judged, _FIGURES)
+
+
+_FIGURES = "doc_id long, model string, log_ppl double, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+_COLUMNS = ["doc_id", "model", "log_ppl", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
 
 def judge(documents: DataFrame) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_ppl,
@@ -262,7 +406,7 @@ def judge(documents: DataFrame) -> DataFrame:
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     ppl = F.when(F.isnan("log_ppl"), None).otherwise(F.col("log_ppl"))
-    scored = materialise(score(documents, fit(documents)).withColumn("log_ppl", ppl).withColumn("base_failed", failed))
+    scored = materialise(score_words(documents, fit(documents)).withColumn("log_ppl", ppl).withColumn("base_failed", failed))
     q = scored.where("NOT base_failed").groupBy("model").agg(F.percentile_approx("log_ppl", [0.25, 0.75], 10000).alias("q"))
     wide = F.greatest(BAND_WIDTH * (F.col("q")[1] - F.col("q")[0]), F.lit(BAND_LEAST))
     bands = q.select("model", (F.col("q")[0] - wide).alias("band_low"), (F.col("q")[1] + wide).alias("band_high"))

@@ -85,3 +85,47 @@ def test_junk_is_rejected_and_clean_text_kept(documents):
     assert by[None] == [(False, True)] and by[3] == [(False, True)] * 2
     assert all(by[i] == [(False, True)] for i in range(200) if i != 3)
     assert px.judge(documents([])).collect() == []
+
+
+def prose(r, n, words, step):
+    at, out = int(r.integers(len(words))), []
+    for _ in range(n):
+        out.append(words[at])
+        at = (at * step + int(r.integers(4))) % len(words)
+    return " ".join(out)
+
+
+def test_word_salad_is_rejected_and_prose_kept(documents):
+    r = np.random.default_rng(5)
+    # All begin and end alike, so that characters do not tell in what order they stand.
+    words = [f"tut{a}{b}utut" for a in "aeiou" for b in "aeiou"]
+    han = [chr(0x4E00 + 40 * i) for i in range(25)]
+    rows = [(i, prose(r, 80, words, 2), "en") for i in range(300)] + [(1000 + i, " ".join(prose(r, 80, han, 2).split()), "zh") for i in range(300)]
+    salad = [(900 + i, " ".join(r.permutation(prose(r, 80, words, 2).split())), "en") for i in range(3)]
+    salad += [(1900 + i, " ".join(r.permutation(prose(r, 80, han, 2).split())), "zh") for i in range(3)]
+    kept = {x.doc_id: x.kept for x in px.judge(documents(rows + salad)).collect()}
+    assert not any(kept[i] for i, *_ in salad) and all(kept[i] for i, *_ in rows)
+
+
+def test_word_counts_equal_a_loop(documents):
+    texts = {1: ("the cat sat. the cat ran", "en"), 2: ("the dog sat", "en"), 3: ("the cat", "fr"), 4: ("\u6f22\u5b57 \u6f22\u5b57\u3002", "en")}
+    words = {k: t.lower().split() if k != 4 else list("\u6f22\u5b57\u6f22\u5b57\u3002") for k, (t, _) in texts.items()}
+    models = px.fit(documents([(k, *v) for k, v in texts.items()]))
+    found = {x.doc_id: x.log_ppl for x in px.score_words(documents([(k, *v) for k, v in texts.items()]), models).collect()}
+    for k, (t, lang) in texts.items():
+        c, n = Counter(), 0
+        for o, (_, other) in texts.items():
+            if o != k and other == lang:
+                s = ["<1>", "<2>", *words[o], "<e>"]
+                n += len(words[o]) + 1
+                c.update(tuple(s[i : i + m]) for m in (1, 2, 3) for i in range(len(s) - m + 1))
+        char = models[lang].logs(px.grams(t))
+        starts = [*px.word_hashes(t)[0], len(t)]
+        s, logs = ["<1>", "<2>", *words[k], "<e>"], []
+        for i in range(2, len(s)):
+            base = np.exp(char[starts[i - 2] : starts[i - 1]].sum()) if i < len(s) - 1 else 1.0
+            p = (c[(s[i],)] + px.NOVEL * n * base) / (n * (1 + px.NOVEL)) if n else base
+            p = (c[tuple(s[i - 1 : i + 1])] + px.PRIOR * p) / (c[(s[i - 1],)] + px.PRIOR)
+            p = (c[tuple(s[i - 2 : i + 1])] + px.PRIOR * p) / (c[tuple(s[i - 2 : i])] + px.PRIOR)
+            logs.append(np.log(p))
+        assert np.isclose(found[k], -np.mean(logs))
