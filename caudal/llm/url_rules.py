@@ -9,6 +9,7 @@ Everything here is DataFrame expressions and Spark's own FP-growth.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
@@ -26,8 +27,6 @@ RULES = (
     ("org/fr/", "allow"),
 )
 SUPPORT, CONFIDENCE = 0.002, 0.8
-# FP-growth sees so many of a URL's tokens at most, the rarest: its work can't explode on long URLs.
-MINED_TOKENS = 10
 BAD = "\u0001bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,11 +64,12 @@ def rule_for(rules: tuple = RULES, host: str = "host", path: str = "path") -> Co
     return found
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, most: int = MINED_TOKENS) -> DataFrame:
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """``(tokens, confidence, lift, support)``: token combinations that mark bad URLs.
 
     ``labelled`` has ``tokens`` and a boolean ``bad``. A combination is left out when a part of it already makes a
-    rule: it would block nothing more. No bad URL gives no rule.
+    rule: it would block nothing more. No bad URL gives no rule. Every token that can stand in such a combination is
+    mined: FP-growth is spared only tokens too rare among bad URLs for any rule, and tokens that are a rule alone.
     """
     rows = materialise(labelled.where("bad IS NOT NULL").select(F.monotonically_increasing_id().alias("row"), "tokens", "bad"))
     n = rows.count()
@@ -78,20 +78,25 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     least = max(2.0, support * n)
     if least > n:
         return nothing
-    each = rows.select("row", F.explode("tokens").alias("token"))
-    common = each.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    rare = F.slice(F.array_sort(F.collect_list(F.struct("n", "token"))), 1, most)
-    kept = each.join(lookup_side(common), "token").groupBy("row").agg(rare.getField("token").alias("kept"))
+    each = rows.select("row", "bad", F.explode(F.array_distinct("tokens")).alias("token"))
+    counted = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("n_bad"))
+    common = counted.where(F.col("n_bad") >= math.ceil(least / n * n)).withColumn("confidence", F.col("n_bad") / F.col("n"))
+    alone = F.col("confidence") >= confidence
+    mined = common.where(~alone).select("token")
+    kept = each.join(lookup_side(mined), "token").groupBy("row").agg(F.collect_list("token").alias("kept"))
     mark = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
     items = rows.join(kept, "row", "left").select(
         F.concat(F.coalesce("kept", F.array().cast("array<string>")), mark).alias("items")
     )
     model = FPGrowth(itemsCol="items", minSupport=least / n, minConfidence=confidence).fit(materialise(items))
-    rules = materialise(
-        model.associationRules.where(F.col("consequent")[0] == BAD).select(
-            F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support"
-        )
+    longer = model.associationRules.where(F.col("consequent")[0] == BAD).select(
+        F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support"
     )
+    n_bad = max(rows.where("bad").count(), 1)
+    single = common.where(alone).select(
+        F.array("token").alias("tokens"), "confidence", (F.col("confidence") * n / n_bad).alias("lift"), (F.col("n_bad") / n).alias("support")
+    )
+    rules = materialise(longer.union(single))
     by_token = rules.select(F.col("tokens").alias("own"), F.col("tokens")[0].alias("head"))
     part = rules.select("tokens", F.explode("tokens").alias("head")).join(by_token, "head")
     wider = part.where((F.size("own") < F.size("tokens")) & (F.size(F.array_except("own", "tokens")) == 0))

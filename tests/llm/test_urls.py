@@ -91,3 +91,18 @@ def test_a_label_reaches_unlabelled_pages(spark):
     got = {r.page_id: r.verdict for r in ur.judge_urls(pages, labels).collect()}
     assert got[9999] == "block"
     assert all(got[i] == "block" for i, u, bad in rows if bad)
+
+
+def test_long_urls_are_mined_whole(spark):
+    r = random.Random(4)
+    rows = []
+    for _ in range(600):
+        bad = r.random() < 0.3
+        own = ["h:casino", "h:win"] if bad else [r.choice(["h:casino", "h:win"])]
+        rows.append((own + [f"p:f{i}" for i in range(18) if r.random() < 0.6], bad))
+    mined = ur.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), support=0.05, confidence=0.9).collect()
+    by = {tuple(x.tokens): x for x in mined}
+    assert ("h:casino", "h:win") in by
+    for c, x in by.items():
+        held = [b for t, b in rows if set(c) <= set(t)]
+        assert abs(x.confidence - sum(held) / len(held)) < 1e-9 and abs(x.support - sum(held) / len(rows)) < 1e-9
