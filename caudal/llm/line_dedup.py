@@ -1,10 +1,11 @@
 """Repeated passages by hashing the sentences of lines.
 
 A unit is a sentence of a line: text up to a full stop, question or exclamation mark with white space
-after it, or the end of the line. Units are normalised (A-Z lower-cased, white space to one space) and
+after it, up to a full-width mark, or the end of the line. Units are normalised (A-Z lower-cased, white space to one space) and
 digested to 128 bits. Digests are grouped over all documents; the occurrence with the smallest
 ``(doc_id, start)`` ranks first and stays. Every other one goes if it stands in a passage: a run of
-neighbouring repeated units of ``PASSAGE`` words or more. A short sentence that comes up in two
+neighbouring repeated units of ``PASSAGE`` words or more, where ``LETTERS`` letters of a script that sets no
+blanks between words count as one word. A short sentence that comes up in two
 documents by chance is no passage and stays where it is.
 """
 
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from caudal.llm.text import in_small_batches
 from caudal.operators.skew import lookup_side
 
-PASSAGE = 25
-_UNIT = re.compile(r"[^\n]*?(?:[.!?](?=[\x20\x09\x0B-\x0D])|(?=\n)|\Z)[\x20\x09\x0B-\x0D]*")
+PASSAGE, LETTERS = 25, 2
+_UNIT = re.compile(r"[^\n]*?(?:[.!?](?=[\x20\x09\x0B-\x0D])|[。！？．｡]+[」』”’）]*|(?=\n)|\Z)[\x20\x09\x0B-\x0D]*")
+# Thai, Lao, Burmese, Khmer, Chinese, Japanese and full-width marks.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
 
 
 def units(text: str) -> list[tuple[int, int]]:
@@ -35,6 +38,14 @@ def normalised(unit: str) -> bytes:
     return b" ".join(unit.encode("utf-8", "replace").lower().split())
 
 
+def size_of(unit: str) -> float:
+    """Words of a unit; ``LETTERS`` letters that stand without blanks are one."""
+    if unit.isascii():
+        return len(normalised(unit).split())
+    rest, letters = _UNSPACED.subn(" ", unit)
+    return len(normalised(rest).split()) + letters / LETTERS
+
+
 def _unit_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
@@ -60,7 +71,7 @@ def _passages(text: str, repeated: set[int], passage: int) -> list[tuple[int, in
     """Spans of runs of repeated units with ``passage`` words or more. Units without a word join runs."""
     out, open_at, end_at, n = [], None, 0, 0
     for start, end in [*units(text), (len(text), len(text))]:
-        size = len(normalised(text[start:end]).split())
+        size = size_of(text[start:end])
         if start in repeated and size:
             open_at = start if open_at is None else open_at
             end_at, n = end, n + size

@@ -71,3 +71,14 @@ def test_query_equals_a_loop(entry, spark, middle_documents):
     found = entry["op2_line_dedup"](spark, MIDDLE).collect()
     assert {r.doc_id: [(s.start, s.end) for s in r.spans] for r in found} == want
     assert any(want.values())
+
+
+def test_texts_without_blanks(documents):
+    han = "".join(chr(0x4E00 + 37 * i) for i in range(60))
+    thai = "".join(chr(0x0E01 + i % 40) for i in range(70))
+    inside = f"{han[:30]}。{han[30:]}！"
+    rows = [(1, f"{han}\nOne."), (2, f"Two.\n{han}\nEnd."), (3, f"Three {thai}"), (4, f"Three {thai}"), (5, f"甲乙。{inside}丙"), (6, f"丁戊己？{inside}庚辛"), (7, "短い行。"), (8, "短い行。")]
+    found = out(ld.deduplicated(documents(rows)))
+    assert found[2].text == "Two.\n\nEnd." and found[4].text == "" and found[6].text == "丁戊己？庚辛"
+    assert all(found[i].text == dict(rows)[i] for i in (1, 3, 5, 7, 8))
+    assert {r.doc_id for r in ld.drop_repeats(documents(rows)).collect()} == {1, 2, 3, 5, 6, 7, 8}
