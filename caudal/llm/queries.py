@@ -17,6 +17,7 @@ from caudal.llm import (
     perplexity,
     url_rules,
     warc,
+    whitening,
 )
 from caudal.sources.files import join_path
 
@@ -46,6 +47,7 @@ QUERIES: dict[str, Query] = {
     "op8_rank_profiles": _table("documents", language_id.identify),
     "op9_ngram_perplexity": _table("documents", perplexity.judge),
     "op10_block_mixing": _table("documents", mixing.mixed_counts),
+    "op11_cholesky_whitening": _table("embeddings", whitening.whiten),
 }
 
 # What SQL can say in full: records and their payloads, and exact inner products.
