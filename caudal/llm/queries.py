@@ -12,6 +12,7 @@ from caudal.llm import (
     hyperminhash,
     language_id,
     line_dedup,
+    mask_search,
     mixing,
     packing,
     perplexity,
@@ -32,6 +33,10 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(_read(spark, sf_dir, name))
 
 
+def _mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def _url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
 
@@ -48,9 +53,10 @@ QUERIES: dict[str, Query] = {
     "op9_ngram_perplexity": _table("documents", perplexity.judge),
     "op10_block_mixing": _table("documents", mixing.mixed_counts),
     "op11_cholesky_whitening": _table("embeddings", whitening.whiten),
+    "op13_mask_search": _mask_search,
 }
 
-# What SQL can say in full: records and their payloads, and exact inner products.
+# What SQL can say in full: records and their payloads, exact inner products and whole-number scores.
 ORACLES: dict[str, str] = {
     "op7_warc_zstd": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
@@ -69,4 +75,17 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS s
       FROM e q JOIN e c ON q.i = c.i AND q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
+    "op13_mask_search": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+g AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM w SEMI JOIN q USING (term) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * (SELECT n FROM g) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p GROUP BY term),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * p.n * g.n) // g.l))))::BIGINT AS score
+      FROM p JOIN f USING (term) JOIN q USING (term), g GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10""",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -77,3 +79,13 @@ def shingle_set(h: np.ndarray, size: int = 5) -> np.ndarray:
     if not len(h):
         return np.empty(0, np.uint64)
     return np.unique(window_hashes(h, min(size, len(h))))
+
+
+def blank_pieces(raw: bytes, size: int = 1 << 22) -> Iterator[bytes]:
+    """``raw`` in pieces of about ``size`` bytes, cut at spaces; a longer run without one stays whole."""
+    at = 0
+    while at < len(raw):
+        end = raw.find(b" ", at + size) if at + size < len(raw) else -1
+        end = len(raw) if end < 0 else end
+        yield raw[at:end]
+        at = end
