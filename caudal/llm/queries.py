@@ -14,6 +14,7 @@ from caudal.llm import (
     line_dedup,
     mask_search,
     mixing,
+    nb_svm,
     packing,
     perplexity,
     url_rules,
@@ -37,6 +38,10 @@ def _mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def _nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nb_svm.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def _url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op9_ngram_perplexity": _table("documents", perplexity.judge),
     "op10_block_mixing": _table("documents", mixing.mixed_counts),
     "op11_cholesky_whitening": _table("embeddings", whitening.whiten),
+    "op12_nb_svm": _nb_svm,
     "op13_mask_search": _mask_search,
 }
 
