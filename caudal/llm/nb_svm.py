@@ -15,6 +15,7 @@ by the buckets, sets by the sample. Scoring reads every text where it lies.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,55 +46,72 @@ PART_COLUMNS = ["fold", "label", "block", "documents", "body"]
 SET, NUMBER = -1, -2
 
 
-class _Words(dict):
-    """Word to ``(hash, hash of its shape)``. Emptied when full, so its memory stays bounded."""
+def _shape(word: bytes) -> bytes:
+    """A word's marks at either end, up to four, around its case: upper, capital, lower, digits, other or no core."""
+    left = word.lstrip(_MARKS)
+    core = left.rstrip(_MARKS)
+    front, back = word[: len(word) - len(left)], left[len(core) :]
+    if core.islower():
+        kind = b"a"
+    elif core[:1].isupper():
+        kind = b"A" if len(core) > 1 and core.isupper() else b"Aa"
+    else:
+        kind = b"0" if core.isdigit() else b"x" if core else b""
+    return b"%s\0%s\0%s" % (front[:4], kind, back[:4])
+
 
-    def __init__(self, limit: int = 100_000):
-        self.limit = limit
+class _Words(dict):
+    """Word to its row in ``hashes``: the hash of the word in lower case, and that of its shape."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        plain = word.decode("utf-8", "replace")
-        core = plain.strip("".join({c for c in plain[:4] + plain[-4:] if not c.isalnum()}))
-        front = len(plain) - len(plain.lstrip(plain if not core else "".join({c for c in plain if not c.isalnum()})))
-        back = plain[front + len(core) :]
-        kind = "0" if core.isdigit() else "A" if len(core) > 1 and core.isupper() else "Aa" if core[:1].isupper() else "a" if core.isalpha() else "x" if core else ""
-        value = xxhash.xxh3_64_intdigest(word.lower()), xxhash.xxh3_64_intdigest(f"{plain[:front][:4]}\0{kind}\0{back[:4]}")
-        if len(word) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = value
-        return value
+    def __init__(self):
+        self.hashes = np.empty((1 << 16, 2), np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self)
+        if at == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
+        lower = word.isalpha() and word.islower()
+        self.hashes[at, 0] = xxhash.xxh3_64_intdigest(word if lower else word.lower())
+        self.hashes[at, 1] = _LOWER if lower else xxhash.xxh3_64_intdigest(_shape(word))
+        return at
+
+    def of(self, parts: list[bytes]) -> np.ndarray:
+        """Hashes of the words in turn. The table is emptied when it is large, so its memory stays bounded."""
+        if len(self) > 100_000:
+            self.clear()
+            self.hashes = self.hashes[: 1 << 16]
+        at = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+        return self.hashes[at]
 
 
 class Grams:
     """N-gram buckets of texts, one text after the other."""
 
     def __init__(self):
-        self.words, self.seen = _Words(), np.zeros(BUCKETS, bool)
+        self.words = _Words()
 
     def of(self, text: str | None) -> np.ndarray:
         """Sorted distinct buckets of a whole text, read a few megabytes at a time."""
-        kept = np.empty((0, 2), np.uint64)
+        kept, found = np.empty((0, 2), np.uint64), np.empty(0, np.int32)
         last, carry = None, max(*WORD_RUNS, *SHAPE_RUNS) - 1
         for piece in blank_pieces((text or "").encode("utf-8", "replace").translate(_BLANKS)):
             parts = piece.split()
             if not parts:
                 continue
-            pair = np.array([self.words[p] for p in parts], np.uint64)
+            pair = self.words.of(parts)
             same = np.r_[pair[0, 0] == last, pair[1:, 0] == pair[:-1, 0]]
             pair[:, 1] ^= same.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             last = pair[-1, 0]
             pair = np.concatenate([kept, pair])
-            for n in WORD_RUNS:
-                self.seen[window_hashes(pair[:, 0], n) >> np.uint64(64 - WORD_BITS)] = True
-            for n in SHAPE_RUNS:
-                self.seen[(window_hashes(pair[:, 1], n) >> np.uint64(64 - SHAPE_BITS)) + np.uint64(1 << WORD_BITS)] = True
+            runs = [window_hashes(pair[:, 0], n) >> np.uint64(64 - WORD_BITS) for n in WORD_RUNS]
+            runs += [(window_hashes(pair[:, 1], n) >> np.uint64(64 - SHAPE_BITS)) + np.uint64(1 << WORD_BITS) for n in SHAPE_RUNS]
+            found = np.unique(np.concatenate([found, *(r.astype(np.int32) for r in runs)]))
             kept = pair[-carry:]
-        found = np.flatnonzero(self.seen).astype(np.int32)
-        self.seen[found] = False
         return found
 
 
+_MARKS = string.punctuation.encode()
+_LOWER = xxhash.xxh3_64_intdigest(_shape(b"a"))
 _BLANKS = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 
 
@@ -185,9 +203,8 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], signs: np.nda
 def _fitted(ratios: np.ndarray):
     """One model: fold -1 learns from the whole sample, another from all but its own, whose margins it returns."""
 
-    def run(sample: pd.DataFrame) -> pd.DataFrame:
+    def one(model: int, sample: pd.DataFrame) -> tuple:
         sample = sample.sort_values(["label", "body"])  # rows come in any order
-        model = int(sample["model"].iloc[0])
         ratio = np.frombuffer(ratios[model + 1], np.float64)
         rows = [np.frombuffer(b, np.int32) for b in sample["body"]]
         values = [unit(own, ratio) for own in rows]
@@ -197,7 +214,12 @@ def _fitted(ratios: np.ndarray):
         asked = np.flatnonzero(sample["fold"].to_numpy() == model)
         margins = np.array([w[rows[i]] @ values[i] + w[-1] for i in asked])
         weights = (w[:-1] * ratio).astype(np.float32).tobytes() if model < 0 else b""
-        return pd.DataFrame([(model, weights, float(w[-1]), margins.tobytes(), signs[asked].astype(np.int64).tobytes())], columns=["model", "weights", "intercept", "margins", "signs"])
+        return model, weights, float(w[-1]), margins.tobytes(), signs[asked].astype(np.int64).tobytes()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [batch for batch in batches if len(batch)]  # the sample, which is bounded, once for each model of the task
+        for model, sample in pd.concat(held).groupby("model") if held else ():
+            yield pd.DataFrame([one(int(model), sample)], columns=["model", "weights", "intercept", "margins", "signs"])
 
     return run
 
@@ -274,8 +296,9 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: in
     ratios = [log_count_ratios(total), *(log_count_ratios(total - counts[f]) for f in range(folds))]
     chosen = parts.where(F.col("block") == SET).select("fold", "label", "body")
     models = chosen.withColumn("model", F.explode(F.array(*(F.lit(f) for f in range(-1, folds)))))
+    dealt = models.repartitionById(folds + 1, F.col("model") + 1)
     schema = "model int, weights binary, intercept double, margins binary, signs binary"
-    fitted = {r.model: r for r in models.groupBy("model").applyInPandas(_fitted([r.tobytes() for r in ratios]), schema).collect()}
+    fitted = {r.model: r for r in dealt.mapInPandas(_fitted([r.tobytes() for r in ratios]), schema).collect()}
     if -1 not in fitted:
         return blank
     asked = [fitted[f] for f in range(folds) if f in fitted]
