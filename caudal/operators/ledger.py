@@ -23,9 +23,11 @@ an even share of a task: then it is cut by id into several pieces, which start f
 the earlier ones. Fewer accounts than tasks can be that large.
 
 Accounts that keep paying each other with little money leave the bounds apart, and a round then decides
-few. So after a poor round of ``serial`` the earliest undecided legs, a fixed number, are taken one by one
-in a single task: everything before them is known. The loop needs at most one such step per ``SERIAL_LEGS``
-legs. Every batch, small or large, starts with a parallel round; ``running`` has nothing but those.
+few. So after its first round ``serial`` looks at what ties the undecided legs together: accounts are linked by the undecided
+transactions between them, and what happens in one connected group does not depend on any other. Groups are dealt to tasks
+and each is taken one by one, exactly. A group larger than a task's even share, of which there are fewer than tasks,
+is not handed over whole: its earliest legs are, as many as a task may have, and the rest gets its bounds and
+its links anew, as it may have fallen apart. ``running`` has no such links, and nothing but rounds of bounds.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caudal.functions.money import cents, from_cents
+from caudal.operators.components import GROUP, MEMBER, linked_groups
 from caudal.operators.ranking import SLICE, range_slices
 from caudal.operators.skew import lookup_side
 from caudal.schemas import MONEY
@@ -52,13 +55,14 @@ DECISION_COLUMNS = ("id_transaccion", "cuenta_origen", "cuenta_destino", "monto"
 # An account with no more legs than this is never cut.
 WHOLE_ACCOUNT_LEGS = 100_000
 
-# As many legs may be taken one by one in a single task.
-SERIAL_LEGS = 100_000
+# A group of accounts with no more legs than this is always taken one by one in a task.
+GROUP_LEGS = 100_000
 
 # Undecided credits kept back, per account, in case no undecided debit follows.
 HELD_LEGS = 10_000
 
 DEBIT, CREDIT, CARRY = 0, 1, 2
+REACH = "hasta"
 
 LEG_COLUMNS = {
     "cuenta": "string",
@@ -144,7 +148,7 @@ def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial")
                 F.when(~F.col("short"), F.lit(True)).alias("accepted"),
             )
         )
-    settled = settle(legs, serial_legs=SERIAL_LEGS if mode == "serial" else 0).select(
+    settled = settle(legs, group_legs=GROUP_LEGS if mode == "serial" else 0).select(
         F.col("id").alias("id_transaccion"),
         F.col("cuenta").alias("cuenta_origen"),
         F.col("other").alias("cuenta_destino"),
@@ -185,40 +189,31 @@ def settle(
     legs: DataFrame,
     slices: int | None = None,
     whole_account_legs: int = WHOLE_ACCOUNT_LEGS,
-    serial_legs: int = SERIAL_LEGS,
+    group_legs: int = GROUP_LEGS,
 ) -> DataFrame:
-    """Decide every debit leg. Returns the debit legs with ``accepted`` set."""
+    """Decide every debit leg. Returns the debit legs with ``accepted`` set.
+
+    With ``group_legs`` 0 nothing is taken one by one.
+    """
     spark = legs.sparkSession
     n = slices or slice_count(spark)
     is_debit = F.col("kind") == DEBIT
     decided = is_debit & F.col("accepted").isNotNull()
-    undecided_id = F.when(is_debit & F.col("accepted").isNull(), F.col("id"))
     measures = (
         F.count_if(decided).alias("decided"),
         F.count_if(~decided).alias("legs"),
-        F.count(undecided_id).alias("undecided"),
-        F.min(undecided_id).alias("first"),
-        F.max(undecided_id).alias("last"),
+        F.count_if(is_debit & F.col("accepted").isNull()).alias("undecided"),
     )
     seen = legs.agg(*measures).first().asDict()
     open_legs, cut = _place(materialise(legs), seen["legs"], n, whole_account_legs)
     nothing = open_legs.where(decided)
     rounds: list[str] = []
-    poor = False
 
     def stored(legs_now: DataFrame) -> DataFrame:
         rounds.append(store(legs_now))
         return spark.read.schema(LEG_SCHEMA).parquet(rounds[-1])
 
     while seen["undecided"]:
-        until = _serial_reach(open_legs, seen, serial_legs, poor)
-        if until is not None:
-            early = open_legs.where(F.col("id") <= until).repartition(1).sortWithinPartitions("id", "kind")
-            taken = stored(early.mapInPandas(_one_by_one(until), LEG_SCHEMA))
-            open_legs = open_legs.where(F.col("id") > until).unionByName(taken.where(~decided))
-            seen = open_legs.agg(*measures).first().asDict() if until < seen["last"] else {"undecided": 0}
-            poor = False
-            continue
         watch = Observation()
         scanned = stored(
             _with_bounds(open_legs, cut)
@@ -230,7 +225,6 @@ def settle(
         seen = watch.get
         if not seen["decided"]:
             raise RuntimeError("no transaction could be decided: is id_transaccion unique?")
-        poor = seen["decided"] < serial_legs
         # Debits decided now are known credits from here on.
         news = scanned.where(decided).select("id", F.lit(CREDIT).alias("kind"), F.col("accepted").alias("news"))
         open_legs = (
@@ -239,24 +233,61 @@ def settle(
             .withColumn("accepted", F.coalesce("accepted", "news"))
             .select(*LEG_COLUMNS)
         )
+        if seen["undecided"] and group_legs:
+            grouped, reach = _grouped(open_legs, n, group_legs)
+            taken = stored(_fold(grouped, n))
+            if not reach:
+                break
+            later = F.col("id") > F.col(REACH)
+            open_legs = grouped.where(later).select(*LEG_COLUMNS).unionByName(taken.where(~decided))
+            open_legs = materialise(open_legs)
+            seen = open_legs.agg(*measures).first().asDict()
     return spark.read.schema(LEG_SCHEMA).parquet(*rounds).where(decided) if rounds else nothing
 
 
-def _serial_reach(legs: DataFrame, seen: dict, serial_legs: int, poor: bool) -> int | None:
-    """Up to which id the legs may be taken in one task; None when the next round should be a parallel one."""
-    if not poor:
-        return None
-    if seen["legs"] <= serial_legs:
-        return seen["last"]
-    first, reach = seen["first"], seen["last"]
-    reach = first + (reach - first) * serial_legs // seen["legs"]
-    while legs.where(F.col("id") <= reach).count() > 2 * serial_legs:
-        if reach == first:
-            return None
-        reach = (first + reach) // 2
+def _grouped(legs: DataFrame, slices: int, group_legs: int) -> tuple[DataFrame, bool]:
+    """The legs with their group of linked accounts and how far, by id, the group is taken now: null for the whole of
+    it. Also tells whether any group is too large to be.
+
+    A group is when it has more legs than ``group_legs`` and than the even share of a task: fewer than ``slices`` are.
+    """
+    open_ids = legs.where(F.col("accepted").isNull() & F.col("kind").isin(DEBIT, CREDIT))
+    links = open_ids.groupBy("id").agg(F.min("cuenta").alias("a"), F.max("cuenta").alias("b")).where("a < b")
+    groups = linked_groups(links, "a", "b").withColumnRenamed(MEMBER, "cuenta")
+    grouped = legs.join(lookup_side(groups), "cuenta", "left").withColumn(GROUP, F.coalesce(GROUP, "cuenta"))
+    grouped = materialise(grouped)
+    sizes = grouped.groupBy(GROUP).agg(F.count(F.lit(1)).alias("legs"), F.min("id").alias("first"), F.max("id").alias("last"))
+    total = grouped.count()
+    most = max(group_legs, total // slices)
+    large = {r[GROUP]: [r.first, r.last, r.legs] for r in sizes.where(F.col("legs") > most).collect()}
+    reach = _reaches(grouped, large, most)
+    if not reach:
+        return grouped.withColumn(REACH, F.lit(None).cast("long")), False
+    table = legs.sparkSession.createDataFrame(list(reach.items()), f"{GROUP} string, {REACH} long")
+    return grouped.join(F.broadcast(table), GROUP, "left"), True  # fewer rows than tasks
+
+
+def _reaches(grouped: DataFrame, large: dict[str, list[int]], most: int) -> dict[str, int]:
+    """For each large group an id up to which it has at most twice ``most`` legs: guessed from an even spread, and halved until true."""
+    reach = {g: first + (last - first) * most // legs for g, (first, last, legs) in large.items()}
+    unsure = set(reach)
+    while unsure:
+        table = grouped.sparkSession.createDataFrame([(g, reach[g]) for g in unsure], f"{GROUP} string, {REACH} long")
+        early = grouped.join(F.broadcast(table), GROUP).where(F.col("id") <= F.col(REACH))
+        counts = {r[GROUP]: r[1] for r in early.groupBy(GROUP).agg(F.count(F.lit(1))).collect()}
+        unsure = {g for g in unsure if counts.get(g, 0) > 2 * most and reach[g] > large[g][0]}
+        for g in unsure:
+            reach[g] = (large[g][0] + reach[g]) // 2
     return reach
 
 
+def _fold(grouped: DataFrame, slices: int) -> DataFrame:
+    """Every group's legs up to its reach one by one, groups side by side."""
+    now = grouped.where(F.col(REACH).isNull() | (F.col("id") <= F.col(REACH)))
+    dealt = now.repartition(slices, GROUP).sortWithinPartitions(GROUP, "id", "kind")
+    return dealt.mapInPandas(_one_by_one(), LEG_SCHEMA)
+
+
 def _as_legs(df: DataFrame, split: bool) -> DataFrame:
     return (
         df.withColumn("split", F.lit(split)).withColumn("pre", F.lit(0).cast("long")).select(*LEG_COLUMNS)
@@ -390,20 +421,35 @@ def _scanner() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     return scan
 
 
-def _one_by_one(until: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The earliest legs in id order, each decided from the exact balance. Emits decided debits, and per
-    account what its later legs start from."""
+def _one_by_one() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Groups in turn, each one's legs in id order and decided from the exact balance. Emits decided debits and, of a
+    group that is not taken whole, what its accounts' later legs start from. A local function for the same reason as above."""
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = list(LEG_COLUMNS)
+        group = reach = None
         balance: dict[str, int] = {}
         last_leg: dict[str, tuple] = {}
         verdicts: dict[int, bool] = {}
+
+        def rest() -> list[tuple]:
+            if reach is None:
+                return []
+            return [
+                (cuenta, piece, reach, CARRY, 0, None, balance[cuenta] - opening, opening, split, None)
+                for cuenta, (piece, opening, split) in last_leg.items()
+            ]
+
         for batch in batches:
             out = []
-            for cuenta, piece, key, kind, amount, other, pre, opening, split, known in zip(
-                *(batch[c].tolist() for c in columns)
+            until = batch[REACH].astype(object).where(batch[REACH].notna(), None).tolist()
+            for cuenta, piece, key, kind, amount, other, pre, opening, split, known, own, limit in zip(
+                *(batch[c].tolist() for c in columns), batch[GROUP].tolist(), until
             ):
+                if own != group:
+                    out += rest()
+                    group, reach = own, None if limit is None else int(limit)
+                    balance, last_leg, verdicts = {}, {}, {}
                 money = balance.get(cuenta, opening) + pre
                 if kind == DEBIT:
                     verdict = verdicts[key] = money >= amount
@@ -413,12 +459,9 @@ def _one_by_one(until: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
                 elif kind == CREDIT and (verdicts[key] if known is None else known):
                     money += amount
                 balance[cuenta] = money
-                last_leg[cuenta] = (piece, opening, split)
+                if reach is not None:
+                    last_leg[cuenta] = (piece, opening, split)
             yield pd.DataFrame(out, columns=columns)
-        rest = [
-            (cuenta, piece, until, CARRY, 0, None, balance[cuenta] - opening, opening, split, None)
-            for cuenta, (piece, opening, split) in last_leg.items()
-        ]
-        yield pd.DataFrame(rest, columns=columns)
+        yield pd.DataFrame(rest(), columns=columns)
 
     return take

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caudal.operators import ledger
+from caudal.operators.components import linked_groups
 from caudal.operators.ledger import BAD_AMOUNT, INSUFFICIENT, UNKNOWN_ORIGIN, accepted, authorize, post_balances, rejected
 from conftest import rows
 
@@ -53,19 +54,19 @@ def frames(frame, tx, accounts):
 @pytest.mark.parametrize(
     "settings",
     [
-        {},  # all in one step
-        {"serial_legs": 40},  # parallel rounds, whole accounts
-        {"serial_legs": 40, "whole_account_legs": 5},  # parallel rounds, large accounts cut
-        {"serial_legs": 1, "whole_account_legs": 5},  # hardly any serial help
+        {},  # groups whole
+        {"group_legs": 40},  # a large group in stretches
+        {"group_legs": 40, "whole_account_legs": 5},  # and large accounts cut
+        {"group_legs": 0, "whole_account_legs": 5},  # bounds alone
     ],
-    ids=["serial", "rounds", "cut", "bounds"],
+    ids=["groups", "stretches", "cut", "bounds"],
 )
 def test_exact_against_a_loop(frame, monkeypatch, mode, settings):
     # Hot accounts make rounds depend on each other; the last setting gets a case with few such rounds.
-    count, hot = (250, 0.4) if settings.get("serial_legs") != 1 else (60, 0.3)
+    count, hot = (60, 0.3) if settings.get("group_legs") == 0 else (250, 0.4)
     tx, accounts = random_case(7, count, 12, hot)
     settle = ledger.settle
-    monkeypatch.setattr(ledger, "settle", lambda legs, **own: settle(legs, **{**own, **settings}))
+    monkeypatch.setattr(ledger, "settle", lambda legs, **own: settle(legs, **{**own, **settings, "slices": 16}))
     txs, cuenta = frames(frame, tx, accounts)
     decisions = authorize(txs, cuenta, mode)
     taken, balance = one_by_one(tx, accounts, mode)
@@ -78,6 +79,58 @@ def test_exact_against_a_loop(frame, monkeypatch, mode, settings):
         assert all(after[n] >= min(start[n], 0) for n in after)
 
 
+def test_many_rings_are_settled_side_by_side(spark, frame, monkeypatch):
+    """Rings of four accounts that pass little money on: over 100,000 legs that bounds leave undecided, in groups for all tasks."""
+    rings, size, laps = 1500, 4, 11
+    rng = random.Random(3)
+    accounts = {f"r{r}a{i}": 100 if i == 0 else 0 for r in range(rings) for i in range(size)}
+    tx = []
+    for lap in range(laps):
+        for r in range(rings):
+            for i in range(size):
+                tx.append((len(tx), f"r{r}a{i}", f"r{r}a{(i + 1) % size}", rng.randint(1, 120)))
+    spread = {}
+    fold = ledger._fold
+
+    def watched(grouped, slices):
+        out = fold(grouped, slices)
+        spread["legs"] = grouped.count()
+        spread["tasks"] = {r[0]: r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()}
+        return out
+
+    monkeypatch.setattr(ledger, "_fold", watched)
+    monkeypatch.setattr(ledger, "slice_count", lambda _: 16)
+    txs = spark.createDataFrame(tx, "id_transaccion long, cuenta_origen string, cuenta_destino string, m long").selectExpr("*", "CAST(m AS decimal(16,2)) AS monto")
+    cuenta = spark.createDataFrame(list(accounts.items()), "no_cuenta string, s long").selectExpr("no_cuenta", "CAST(s AS decimal(12,2)) AS saldo")
+    decisions = accepted(authorize(txs, cuenta, "serial"))
+    taken, _ = one_by_one([(k, o, d, Decimal(m)) for k, o, d, m in tx], {n: Decimal(s) for n, s in accounts.items()}.items(), "serial")
+    assert {r[0] for r in decisions.select("id_transaccion").collect()} == taken
+    assert spread["legs"] > 100_000 and len(spread["tasks"]) == 16
+    assert max(spread["tasks"].values()) < 2 * sum(spread["tasks"].values()) / 16
+
+
+def test_groups_are_connected_components(spark):
+    rng = random.Random(9)
+    links = [(f"n{rng.randrange(400)}", f"n{rng.randrange(400)}") for _ in range(260)]
+    links += [(f"chain{i:03d}", f"chain{i + 1:03d}") for i in range(150)] + [("hub", f"spoke{i}") for i in range(200)]
+    links += [("alone", "alone"), (None, "alone"), ("n0", None)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            parent[root(a)] = root(b)
+    got = {r.miembro: r.grupo for r in linked_groups(spark.createDataFrame(links, "a string, b string"), "a", "b").collect()}
+    assert set(got) == set(parent)
+    assert len({(root(x), got[x]) for x in got}) == len({root(x) for x in got}) == len(set(got.values()))
+    assert all(root(g) == root(x) for x, g in got.items())
+    assert linked_groups(spark.createDataFrame([], "a string, b string"), "a", "b").collect() == []
+
+
 def test_serial_sees_credits_and_running_does_not(frame):
     tx = [(1, "a", "b", Decimal(10)), (2, "b", "c", Decimal(10)), (3, "c", "a", Decimal(10))]
     txs, cuenta = frames(frame, tx, [("a", 10), ("b", 0), ("c", 0)])
