@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caudal.operators.skew import lookup_side
@@ -11,6 +11,12 @@ from caudal.session import materialise
 MEMBER, GROUP = "miembro", "grupo"
 
 
+def _stored(edges: DataFrame) -> tuple[DataFrame, int]:
+    """The links, written, and how many there are."""
+    watch = Observation()
+    return materialise(edges.observe(watch, F.count(F.lit(1)).alias("n"))), watch.get["n"]
+
+
 def linked_groups(links: DataFrame, a: str, b: str) -> DataFrame:
     """``(miembro, grupo)`` for every name with a link to another: names have the same group exactly when a path of links
     joins them. A group bears the name of one of its members.
@@ -22,9 +28,9 @@ def linked_groups(links: DataFrame, a: str, b: str) -> DataFrame:
     minima are taken before the shuffle. Rounds are written to the shared folder.
     """
     pair = links.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-    edges = materialise(pair.where(F.col(a) != F.col(b)).distinct())
+    edges, left = _stored(pair.where(F.col(a) != F.col(b)).distinct())
     steps: list[DataFrame] = []
-    while not edges.isEmpty():
+    while left:
         turn = F.lit(len(steps))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         first = both.groupBy("u").agg(F.min(F.struct(F.xxhash64("v", turn).alias("h"), F.col("v"))).alias("m"))
@@ -32,7 +38,7 @@ def linked_groups(links: DataFrame, a: str, b: str) -> DataFrame:
         steps.append(materialise(first.select("u", F.least("m", own)["v"].alias("to"))))
         name = lookup_side(steps[-1])
         moved = edges.join(name, "u").select(F.col("to").alias("a"), F.col("v").alias("u")).join(name, "u").select("a", F.col("to").alias("b"))
-        edges = materialise(moved.where("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+        edges, left = _stored(moved.where("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
     if not steps:
         return edges.select(F.col("u").alias(MEMBER), F.col("v").alias(GROUP))
     # The last round first: a name's group is that of the name it was given.

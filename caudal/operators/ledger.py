@@ -58,6 +58,9 @@ WHOLE_ACCOUNT_LEGS = 100_000
 # A group of accounts with no more legs than this is always taken one by one in a task.
 GROUP_LEGS = 100_000
 
+# So few undecided legs are one group, linked or not: finding groups would take longer than the legs.
+ONE_GROUP_LEGS = 20_000
+
 # Undecided credits kept back, per account, in case no undecided debit follows.
 HELD_LEGS = 10_000
 
@@ -234,7 +237,7 @@ def settle(
             .select(*LEG_COLUMNS)
         )
         if seen["undecided"] and group_legs:
-            grouped, reach = _grouped(open_legs, n, group_legs)
+            grouped, reach = _grouped(open_legs, seen["legs"], n, group_legs)
             taken = stored(_fold(grouped, n))
             if not reach:
                 break
@@ -245,24 +248,26 @@ def settle(
     return spark.read.schema(LEG_SCHEMA).parquet(*rounds).where(decided) if rounds else nothing
 
 
-def _grouped(legs: DataFrame, slices: int, group_legs: int) -> tuple[DataFrame, bool]:
+def _grouped(legs: DataFrame, total: int, slices: int, group_legs: int) -> tuple[DataFrame, bool]:
     """The legs with their group of linked accounts and how far, by id, the group is taken now: null for the whole of
     it. Also tells whether any group is too large to be.
 
     A group is when it has more legs than ``group_legs`` and than the even share of a task: fewer than ``slices`` are.
     """
+    whole = F.lit(None).cast("long").alias(REACH)
+    if total <= min(group_legs, ONE_GROUP_LEGS):
+        return legs.select("*", F.lit("").alias(GROUP), whole), False
     open_ids = legs.where(F.col("accepted").isNull() & F.col("kind").isin(DEBIT, CREDIT))
     links = open_ids.groupBy("id").agg(F.min("cuenta").alias("a"), F.max("cuenta").alias("b")).where("a < b")
     groups = linked_groups(links, "a", "b").withColumnRenamed(MEMBER, "cuenta")
     grouped = legs.join(lookup_side(groups), "cuenta", "left").withColumn(GROUP, F.coalesce(GROUP, "cuenta"))
     grouped = materialise(grouped)
     sizes = grouped.groupBy(GROUP).agg(F.count(F.lit(1)).alias("legs"), F.min("id").alias("first"), F.max("id").alias("last"))
-    total = grouped.count()
     most = max(group_legs, total // slices)
     large = {r[GROUP]: [r.first, r.last, r.legs] for r in sizes.where(F.col("legs") > most).collect()}
+    if not large:
+        return grouped.select("*", whole), False
     reach = _reaches(grouped, large, most)
-    if not reach:
-        return grouped.withColumn(REACH, F.lit(None).cast("long")), False
     table = legs.sparkSession.createDataFrame(list(reach.items()), f"{GROUP} string, {REACH} long")
     return grouped.join(F.broadcast(table), GROUP, "left"), True  # fewer rows than tasks
 

@@ -54,19 +54,20 @@ def frames(frame, tx, accounts):
 @pytest.mark.parametrize(
     "settings",
     [
-        {},  # groups whole
+        {},  # one group
+        {"group_legs": 41},  # groups whole, but for the large one
         {"group_legs": 40},  # a large group in stretches
         {"group_legs": 40, "whole_account_legs": 5},  # and large accounts cut
         {"group_legs": 0, "whole_account_legs": 5},  # bounds alone
     ],
-    ids=["groups", "stretches", "cut", "bounds"],
+    ids=["one", "groups", "stretches", "cut", "bounds"],
 )
 def test_exact_against_a_loop(frame, monkeypatch, mode, settings):
     # Hot accounts make rounds depend on each other; the last setting gets a case with few such rounds.
     count, hot = (60, 0.3) if settings.get("group_legs") == 0 else (250, 0.4)
     tx, accounts = random_case(7, count, 12, hot)
     settle = ledger.settle
-    monkeypatch.setattr(ledger, "settle", lambda legs, **own: settle(legs, **{**own, **settings, "slices": 16}))
+    monkeypatch.setattr(ledger, "settle", lambda legs, **own: settle(legs, **{**own, **settings, "slices": 4 if settings.get("group_legs") == 41 else 16}))
     txs, cuenta = frames(frame, tx, accounts)
     decisions = authorize(txs, cuenta, mode)
     taken, balance = one_by_one(tx, accounts, mode)
