@@ -243,6 +243,8 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "elt_wide_by_card": lambda t: extracts.full_transactions(_silver(t), card_key="no_tarjeta"),
     "elt_tiles": _tiles_by("no_cuenta"),
     "elt_tiles_by_card": _tiles_by("no_tarjeta"),
+    "elt_tiles_select": lambda t: extracts.tiled_transactions(_silver(t), method="select"),
+    "elt_tiles_ranges": lambda t: extracts.tiled_transactions(_silver(t), method="ranges"),
     "dq_negative_balance": quality.negative_balance,
     "dq_nonpositive_amount": quality.nonpositive_amount,
     "dq_orphan_clients": quality.orphan_clients,

@@ -7,9 +7,11 @@ session's shuffle parallelism, whatever the data size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -75,22 +77,11 @@ def tile_bounds(keys: DataFrame, order_by: Sequence[str], tiles: int, slices: in
     return sliced.join(F.broadcast(wanted), [SLICE, PLACE]).select("tile", F.struct(*order_by).alias("bound"))
 
 
-def with_counted_ntile(
-    df: DataFrame, tiles: int, order_by: Sequence[str], name: str, times: str, slices: int | None = None
-) -> DataFrame:
-    """``ntile(tiles)`` where a row stands for ``times`` equal rows, which are never unfolded here.
+def _range_bounds(stored: DataFrame, keys: Sequence[str], tiles: int, times: str, slices: int | None) -> DataFrame:
+    """``(tile, bound, cut)``: the key that closes each tile but the last, and how many of its copies still belong to it.
 
-    Each row comes back once for every tile it reaches, with the tile in ``name`` and its share in
-    ``times``. The counted rows are written once; their keys are cut into ranges, a sum per range tells
-    which ranges hold a tile's last row, and only those are sorted.
-    """
-    if tiles < 1:
-        raise ValueError("tiles must be positive")
-    if tiles == 1:
-        return df.withColumn(name, F.lit(1))
-    keys = [*order_by, TIE]
-    stored = materialise(df.withColumn(TIE, F.monotonically_increasing_id()))
-    n = slices or slice_count(df.sparkSession)
+    Keys are cut into ranges, a sum per range tells which ranges hold a tile's last row, and only those are sorted."""
+    n = slices or slice_count(stored.sparkSession)
     sliced = materialise(
         stored.select(*keys, times).repartitionByRange(n, *keys).withColumn(SLICE, F.spark_partition_id())
     )
@@ -106,14 +97,158 @@ def with_counted_ntile(
         .groupBy(SLICE)
         .agg(F.collect_list(F.struct((F.col("tile") + 1).alias("tile"), (F.col("rank") - F.col("before")).alias("rank"))).alias("ends"))
     )
-    so_far = F.sum(times).over(Window.partitionBy(SLICE).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
-    bounds = (
-        sliced.join(F.broadcast(wanted), SLICE)
-        .withColumn("so_far", so_far)
+    return _closing_rows(sliced.join(F.broadcast(wanted), SLICE), SLICE, keys, times)
+
+
+def _closing_rows(near: DataFrame, part: str, keys: Sequence[str], times: str) -> DataFrame:
+    """``(tile, bound, cut)`` from rows that come with the ``(tile, rank)`` to be found among those of their part, in ``ends``."""
+    so_far = F.sum(times).over(Window.partitionBy(part).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        near.withColumn("so_far", so_far)
         .select(*keys, times, "so_far", F.inline("ends"))
         .where((F.col("rank") > F.col("so_far") - F.col(times)) & (F.col("rank") <= F.col("so_far")))
         .select("tile", F.struct(*keys).alias("bound"), (F.col("rank") - F.col("so_far") + F.col(times)).alias("cut"))
     )
+
+
+@dataclass
+class _Place:
+    """Where a tile's last row has been narrowed down to: equal values of the first columns, and a span of the next."""
+
+    tile: int
+    rank: int  # among the rows of the place
+    rows: int
+    equal: list[int | None] = field(default_factory=list)
+    span: tuple[int, int] | None = None  # None while any value of the next column will do
+    least: int = 0
+    most: int = 0
+
+    def holds(self, columns: Sequence[str]) -> Column:
+        """Which rows are in the place."""
+        here = F.lit(True)
+        for name, value in zip(columns, self.equal):
+            here &= F.col(name).isNull() if value is None else F.col(name) == F.lit(value)
+        if self.span:
+            here &= F.col(columns[len(self.equal)]).between(*self.span)
+        return F.coalesce(here, F.lit(False))
+
+    def spot(self) -> tuple:
+        return tuple(self.equal), self.span, self.least, self.most
+
+    def bucket(self, columns: Sequence[str], buckets: int) -> Column:
+        """The row's bucket by its value of the next column; NULLs first."""
+        value = F.col(columns[len(self.equal)]).cast("long")
+        width = (self.most - self.least) // buckets + 1
+        if self.most - self.least < 1 << 62:
+            number = F.call_function("div", value - F.lit(self.least).cast("long"), F.lit(width).cast("long"))
+        else:  # the difference may not fit a long; rounding keeps the order
+            number = F.floor(value.cast("double") / F.lit(float(width))) + F.lit(2 * buckets)
+        return F.when(value.isNull(), F.lit(-1).cast("long")).otherwise(number.cast("long"))
+
+    def enter(self, seen: Row, columns: Sequence[str], narrowed: bool) -> None:
+        """Go on in the part of the place that ``seen`` describes: past every column of which it has one value only."""
+        start = len(self.equal)
+        self.rows, self.span = seen["rows"], None
+        while len(self.equal) < len(columns):
+            own = seen[f"s{len(self.equal)}"]
+            if own["lo"] is not None and (own["lo"] != own["hi"] or own["none"]):
+                self.least, self.most = own["lo"], own["hi"]
+                if narrowed and len(self.equal) == start:
+                    self.span = (own["lo"], own["hi"])
+                return
+            self.equal.append(own["lo"])
+
+
+def _leading_numbers(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    kinds = dict(df.dtypes)
+    return list(itertools.takewhile(lambda k: kinds[k] in ("tinyint", "smallint", "int", "bigint"), keys))
+
+
+def _measures(columns: Sequence[str], times: str) -> list[Column]:
+    """What a round tells of a place: rows unfolded and not, and least, most and missing values of each column."""
+    spans = [
+        F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count_if(F.col(c).isNull()).alias("none")).alias(f"s{i}")
+        for i, c in enumerate(columns)
+    ]
+    return [F.sum(times).alias("n"), F.count(F.lit(1)).alias("rows"), *spans]
+
+
+def _marked(df: DataFrame, marks: Sequence[tuple[Column, Column]]) -> DataFrame:
+    """A row for each mark ``(condition, struct)`` that it meets, with the struct in ``at``."""
+    if len(marks) == 1:
+        return df.where(marks[0][0]).withColumn("at", marks[0][1])
+    return df.withColumn("at", F.explode(F.array_compact(F.array(*(F.when(here, mark) for here, mark in marks)))))
+
+
+def select_bounds(
+    stored: DataFrame,
+    keys: Sequence[str],
+    tiles: int,
+    times: str,
+    enough: int = 20_000,
+    buckets: int = 1024,
+    seen: Mapping | Row | None = None,
+) -> DataFrame:
+    """As ``_range_bounds``, by selection: no row is shuffled or sorted but the few next to a bound.
+
+    Each round counts, in one pass with map-side sums, the rows of every place still looked at by the value of the next
+    whole-number column, in ``buckets`` spans of equal width, and goes on with the span that holds the rank. A span of one value
+    moves the search to the next column, so a value that holds a third of the rows is no harder. What is left, once it has
+    at most ``enough`` rows or the leading whole-number columns have run out, is sorted by the full key. The driver sees ``buckets``
+    counts a bound and round, whatever the data size. ``seen`` are the measures of the whole, where they are known.
+    """
+    columns = _leading_numbers(stored, keys)
+    measures = _measures(columns, times)
+    seen = seen or stored.agg(*measures).first()
+    small, extra = divmod(seen["n"] or 0, tiles)
+    places = [_Place(t, rank, seen["rows"]) for t in range(1, tiles) if (rank := small * t + min(t, extra))]
+    for place in places:
+        place.enter(seen, columns, False)
+    while asked := [p for p in places if p.rows > enough and len(p.equal) < len(columns)]:
+        spots = list({p.spot(): p for p in asked}.values())  # bounds that are still together are counted once
+        marks = [(p.holds(columns), F.struct(F.lit(i).alias("spot"), p.bucket(columns, buckets).alias("bucket"))) for i, p in enumerate(spots)]
+        counted = _marked(stored.select(*columns, times), marks).groupBy("at.spot", "at.bucket").agg(*measures).collect()
+        by_spot = {p.spot(): sorted((r for r in counted if r["spot"] == i), key=lambda r: r["bucket"]) for i, p in enumerate(spots)}
+        for place in asked:
+            for seen in by_spot[place.spot()]:
+                if place.rank <= seen["n"]:
+                    break
+                place.rank -= seen["n"]
+            place.enter(seen, columns, True)
+    end = lambda p: F.array(F.struct(F.lit(p.tile).alias("tile"), F.lit(p.rank).cast("long").alias("rank")))
+    marks = [(p.holds(columns), F.struct(F.lit(p.tile).alias("part"), end(p).alias("ends"))) for p in places or [_Place(1, 1, 0)]]
+    near = _marked(stored.select(*keys, times), marks).select(*keys, times, "at.part", "at.ends")
+    return _closing_rows(near, "part", keys, times)
+
+
+def with_counted_ntile(
+    df: DataFrame,
+    tiles: int,
+    order_by: Sequence[str],
+    name: str,
+    times: str,
+    slices: int | None = None,
+    method: str = "select",
+) -> DataFrame:
+    """``ntile(tiles)`` where a row stands for ``times`` equal rows, which are never unfolded here.
+
+    Each row comes back once for every tile it reaches, with the tile in ``name`` and its share in
+    ``times``. The counted rows are written once. ``select`` finds the key that closes each tile by rounds of
+    counts, ``ranges`` by cutting all keys into ranges; rows are then compared with those few keys.
+    """
+    if tiles < 1:
+        raise ValueError("tiles must be positive")
+    if method not in ("select", "ranges"):
+        raise ValueError(f"unknown method {method!r}")
+    if tiles == 1:
+        return df.withColumn(name, F.lit(1))
+    keys = [*order_by, TIE]
+    tied, watch = df.withColumn(TIE, F.monotonically_increasing_id()), Observation()
+    stored = materialise(tied.observe(watch, *_measures(_leading_numbers(tied, keys), times)))
+    if method == "select":
+        bounds = select_bounds(stored, keys, tiles, times, seen=watch.get)
+    else:
+        bounds = _range_bounds(stored, keys, tiles, times, slices)
     closing = bounds.agg(F.map_from_entries(F.collect_list(F.struct("tile", F.struct("bound", "cut")))).alias("closing")).scalar()
     own = F.struct(*keys)
     none = F.lit(0).cast("long")

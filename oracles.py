@@ -325,6 +325,8 @@ def oracle_sql() -> dict[str, str]:
         "elt_wide_by_card": head(FACT) + _full(BY_CARD),
         "elt_tiles": head(FACT) + TILES + _full(BY_ACCOUNT) + ") w",
         "elt_tiles_by_card": head(FACT) + TILES + _full(BY_CARD) + ") w",
+        "elt_tiles_select": head(FACT) + TILES + _full(BY_ACCOUNT) + ") w",
+        "elt_tiles_ranges": head(FACT) + TILES + _full(BY_ACCOUNT) + ") w",
         "dq_negative_balance": head() + _counts(NEGATIVE),
         "dq_nonpositive_amount": head() + _counts(NONPOSITIVE),
         "dq_orphan_clients": head() + ORPHANS,

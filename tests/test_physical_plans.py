@@ -81,6 +81,26 @@ def test_tiling_has_no_one_task_sort(stored):
     assert "SinglePartition" in plan(extracts.tiled_transactions(tables, method="window"))
 
 
+def scans(df):
+    """Scans of files in the plan; a scan that a later one reuses counts once."""
+    return plan(df).count("FileScan")
+
+
+def test_wide_extract_reads_every_table_once(spark, no_broadcast):
+    e_tables = {n: silver_tables_small(spark)[n] for n in ("transacciones", "cuentas", "tarjetas", "clientes", "prestamos", "beneficiarios")}
+    assert scans(extracts.full_transactions(e_tables)) <= 17
+    moved = [line for line in plan(extracts.full_transactions(e_tables)).splitlines() if "REPARTITION" in line]
+    assert not moved
+
+
+def silver_tables_small(spark):
+    from caudal.operators.silver import silver_tables
+    from caudal.plans.extracts import bundle
+    from caudal.sources.sample import SampleTables
+
+    return bundle(silver_tables(SampleTables(spark, SMALL)))
+
+
 def test_features_meet_accounts_after_adding_up(stored, no_broadcast):
     text = plan(credit.client_features_from_ledger(stored["transaccion"], stored["cuenta"]))
     join = text.index("Join")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caudal.operators import extracts
-from caudal.operators.ranking import with_counted_ntile, with_ntile, with_row_number
+from caudal.operators.ranking import select_bounds, with_counted_ntile, with_ntile, with_row_number
 from caudal.sources.files import ContractError, check_contract
 from conftest import rows
 
@@ -36,6 +36,8 @@ def test_ntile_when_one_key_holds_most_rows(spark):
 
 def test_ntile_equals_the_window(silver):
     ours = extracts.tiled_transactions(silver)
+    ranges = extracts.tiled_transactions(silver, method="ranges")
+    assert ours.exceptAll(ranges).count() == ranges.exceptAll(ours).count() == 0
     window = extracts.tiled_transactions(silver, method="window")
     assert ours.exceptAll(window).count() == window.exceptAll(ours).count() == 0
     assert ours.columns == list(extracts.TILED_COLUMNS)
@@ -118,16 +120,40 @@ def test_a_hot_account_unfolds_in_all_tasks(frame, spark):
     assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
 
 
+@pytest.mark.parametrize("method", ["select", "ranges"])
 @pytest.mark.parametrize("tiles", [1, 3, 4, 7])
-def test_counted_tiles_equal_the_unfolded_ones(spark, tiles):
+def test_counted_tiles_equal_the_unfolded_ones(spark, tiles, method):
     rng = random.Random(tiles)
     counts = [(rng.choice([None, *range(12)]), rng.choice([1, 2, 40])) for _ in range(60)] + [(5, 900)]
     df = spark.createDataFrame(counts, "v long, n long").repartition(5)
-    tiled = with_counted_ntile(df, tiles, ["v"], "t", "n").collect()
+    tiled = with_counted_ntile(df, tiles, ["v"], "t", "n", method=method).collect()
     unfolded = sorted(((r["v"], r["t"]) for r in tiled for _ in range(r["n"])), key=repr)
     assert unfolded == ntile([v for v, n in counts for _ in range(n)], tiles)
 
 
+@pytest.mark.parametrize("enough, buckets", [(1, 2), (1, 3), (5, 1000), (10_000, 4)])
+@pytest.mark.parametrize("spread", [3, 10**6, 2**63])
+def test_selection_narrows_to_the_exact_row(spark, enough, buckets, spread):
+    """Bounds over a hot value, NULLs, negative and very far keys, and a text as last column, against a full sort."""
+    rng = random.Random(spread % 997 + buckets)
+    far = lambda: rng.choice([None, 7, 7, 7, rng.randrange(-spread, spread), -(2**63), 2**63 - 1])
+    data = [(far(), rng.choice([None, -2, rng.randrange(spread)]), rng.choice([None, "a", "b"]), rng.choice([1, 3, 50]), i) for i in range(300)]
+    df = spark.createDataFrame(data, "a long, b long, c string, n long, tie long").repartition(3)
+    order = sorted(data, key=lambda r: tuple((v is not None, v if v is not None else 0 if i != 2 else "") for i, v in enumerate((r[0], r[1], r[2])))+(r[4],))
+    total, tiles = sum(r[3] for r in data), 5
+    small, extra = divmod(total, tiles)
+    want = []
+    for t in range(1, tiles):
+        rank, before = small * t + min(t, extra), 0
+        for r in order:
+            if rank <= before + r[3]:
+                want.append((t, (r[0], r[1], r[2], r[4]), rank - before))
+                break
+            before += r[3]
+    got = select_bounds(df, ["a", "b", "c", "tie"], tiles, "n", enough, buckets).collect()
+    assert sorted((r.tile, tuple(r.bound), r.cut) for r in got) == want
+
+
 def test_counted_tiles_of_few_or_no_rows(spark):
     empty = spark.createDataFrame([], "v long, n long")
     assert with_counted_ntile(empty, 4, ["v"], "t", "n").count() == 0
