@@ -10,9 +10,9 @@ Two documents at a similarity of 0.85 miss each other in all bands with a chance
 
 Skew. Documents with the same shingle set count as one class, so exact copies never pair up. A bucket
 of up to ``SMALL`` classes gives all its pairs, at most ``SMALL`` / 2 per class. A larger one links
-its members to one leader first; after those links are confirmed, members of the bucket that still
-lie in different components are compared, so a tight group of any size costs one comparison a member
-and no link between components is lost.
+its members to one leader first, then to more leaders round by round; after those links are confirmed, members of
+the bucket that still lie in different components are compared, so a tight group of any size costs some
+comparisons a member and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ REGISTERS, BAND, MANTISSA = 252, 6, 10
 BANDS = REGISTERS // BAND
 SMALL = 12
 SIGNS = 2048
+# Members of a bucket's main component that others meet, round by round.
+LEADERS = (4, 16, 64)
 # Documents whose sets leave a task at a time.
 SETS_BATCH = 500
 
@@ -194,31 +196,68 @@ class _Confirm:
         return materialise(met.where(100 * both >= self.percent * union).select("a", "b").distinct())
 
 
+def _merged(where: DataFrame, links: DataFrame) -> DataFrame:
+    """``(id, c)`` after ``links`` have joined components."""
+    side = lambda x: where.select(F.col("id").alias(x), F.col("c").alias(f"c_{x}"))
+    joined = links.join(lookup_side(side("a")), "a").join(lookup_side(side("b")), "b")
+    named = components(joined, "c_a", "c_b").select(F.col("id").alias("c"), "component")
+    return materialise(where.join(lookup_side(named), "c", "left").select("id", F.coalesce("component", "c").alias("c")))
+
+
 def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> DataFrame:
     """Links between large-bucket members that lie in different components so far.
 
-    Members outside the main component of their bucket are compared with the rest of the bucket, a pair
-    in the first bucket it shares. What is compared in the join are ``SIGNS`` one-bit minima: at the
-    threshold ``(1 - t) / 2`` of them differ, and a pair goes on with up to 4.5 deviations more.
+    What is compared in the joins are ``SIGNS`` one-bit minima: at the threshold ``(1 - t) / 2`` of them differ, and
+    a pair goes on with up to 4.5 deviations more. First come rounds of leaders: members outside the main
+    component of their bucket meet some ``LEADERS`` members of that, drawn by hash, and what links is joined. In a tight
+    group most members find a link after as many comparisons as links are rare, whatever the size of the group. Members that are still
+    outside are then compared with the rest of their bucket. A pair is compared in the first bucket it shares.
     """
     expected = SIGNS * (1 - confirm.percent / 100) / 2
     limit = int(expected + 4.5 * np.sqrt(expected * (1 - expected / SIGNS))) + 1
-    placed = members.join(labels.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    held = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    main = held.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count(F.lit(1)).alias("kinds"))
-    mixed = materialise(placed.join(lookup_side(main.where("kinds > 1")), "key"))
+    signs = [f"s{i}" for i in range(SIGNS // 64)]
+    apart = reduce(add, (F.bit_count(F.col(s).bitwiseXOR(F.col(f"o_{s}"))) for s in signs))
+
+    def placed(rows: DataFrame, where: DataFrame) -> DataFrame:
+        """Members of buckets with several components, with their own and the main one."""
+        own = rows.join(lookup_side(where), "id")
+        held = own.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+        main = held.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count(F.lit(1)).alias("kinds"))
+        return own.join(lookup_side(main.where("kinds > 1").drop("kinds")), "key")
+
+    where = members.select("id").distinct().join(labels.withColumnRenamed("component", "c"), "id", "left")
+    where = materialise(where.withColumn("c", F.coalesce("c", "id")))
+    mixed = materialise(placed(members, where).select("key", "id"))
     own = mixed.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     sets = confirm.sets(own)
-    signs = [f"s{i}" for i in range(SIGNS // 64)]
     signed = sets.mapInPandas(_signatures, "id long, " + ", ".join(f"{s} long" for s in signs)).join(own, "id")
-    signed = mixed.join(materialise(signed), "id")
-    few = signed.where("c != main").select("key", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", "keys", *signs)))
-    apart = reduce(add, (F.bit_count(F.col(s).bitwiseXOR(F.col(f"o_{s}"))) for s in signs))
-    first = F.array_intersect("keys", "o_keys")[0] == F.col("key")
+    signed = materialise(signed)
+    where = materialise(where.join(own.select("id"), "id", "left_semi"))
+
+    def confirmed(met: DataFrame, keys: str) -> DataFrame:
+        first = F.array_intersect("keys", keys)[0] == F.col("key")
+        near = met.where((F.col("c") != F.col("o_c")) & (apart <= limit) & first)
+        return confirm(near.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), sets)
+
+    found: list[DataFrame] = []
+    for most in LEADERS:
+        now = materialise(placed(mixed, where))
+        sizes = where.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
+        drawn = F.pmod(F.xxhash64("id", F.lit(most)), F.ceil(F.col("size") / most)) == 0
+        lead = now.where("c = main").join(lookup_side(sizes), "c").where(drawn)
+        main_keys = lead.groupBy("id").agg(F.collect_set("key").alias("o_keys"))
+        lead = lead.select("key", "id", "c").join(signed.drop("keys"), "id").join(main_keys, "id")
+        lead = lead.select("key", "o_keys", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", *signs)))
+        rest = now.where("c != main").select("key", "id", "c").join(signed, "id")
+        links = confirmed(rest.join(lookup_side(lead), "key"), "o_keys")
+        if not links.isEmpty():
+            found.append(links)
+            where = _merged(where, links)
+    now = placed(mixed, where).join(signed, "id")
+    few = now.where("c != main").select("key", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", "keys", *signs)))
     once = (F.col("c") == F.col("main")) | (F.col("id") < F.col("o_id"))
-    met = signed.join(few, "key").where((F.col("c") != F.col("o_c")) & once & (apart <= limit) & first)
-    pairs = met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
-    return confirm(pairs, sets)
+    found.append(confirmed(now.join(few, "key").where(once), "o_keys"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:

@@ -92,3 +92,33 @@ def test_long_chains_become_one_component(spark):
     found = {r.id: r.component for r in components(links, "a", "b").collect()}
     assert found == {**{i: 0 for i in range(1, 201)}, 501: 500}
     assert components(links.where("a = 7 AND b = 7"), "a", "b").collect() == []
+
+
+def test_candidates_grow_with_a_group_not_with_its_square(documents, monkeypatch):
+    """Copies of a text of 300 words with three words changed: most pairs are just too far apart, all hang together."""
+    counted = []
+    likely = hm._Confirm.__call__
+
+    def watched(self, pairs, sets=None):
+        counted.append(pairs.count())
+        return likely(self, pairs, sets)
+
+    monkeypatch.setattr(hm._Confirm, "__call__", watched)
+    made = {}
+    for size in (250, 500, 1000):
+        r = random.Random(size)
+        word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+        base = [word() for _ in range(300)]
+        rows = []
+        for i in range(size):
+            w = list(base)
+            for at in r.sample(range(300), 3):
+                w[at] = word()
+            rows.append((i, " ".join(w)))
+        counted.clear()
+        found = got(hm.near_duplicates(documents(rows)))
+        made[size] = sum(counted)
+        if size < 500:
+            want, sizes = plain.components(rows, 85)
+            assert found == {d: (sizes[d], want[d], want[d] == d) for d, _ in rows}
+    assert made[1000] <= 2.2 * made[500] <= 2.2**2 * made[250]
