@@ -196,12 +196,10 @@ class _Confirm:
         return materialise(met.where(100 * both >= self.percent * union).select("a", "b").distinct())
 
 
-def _merged(where: DataFrame, links: DataFrame) -> DataFrame:
-    """``(id, c)`` after ``links`` have joined components."""
-    side = lambda x: where.select(F.col("id").alias(x), F.col("c").alias(f"c_{x}"))
-    joined = links.join(lookup_side(side("a")), "a").join(lookup_side(side("b")), "b")
-    named = components(joined, "c_a", "c_b").select(F.col("id").alias("c"), "component")
-    return materialise(where.join(lookup_side(named), "c", "left").select("id", F.coalesce("component", "c").alias("c")))
+def _merged(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``(key, id, c)`` after ``links`` between components ``(c, o_c)`` have joined these."""
+    named = components(links, "c", "o_c").select(F.col("id").alias("c"), "component")
+    return rows.join(lookup_side(named), "c", "left").select("key", "id", F.coalesce("component", "c").alias("c"))
 
 
 def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> DataFrame:
@@ -218,46 +216,47 @@ def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> Data
     signs = [f"s{i}" for i in range(SIGNS // 64)]
     apart = reduce(add, (F.bit_count(F.col(s).bitwiseXOR(F.col(f"o_{s}"))) for s in signs))
 
-    def placed(rows: DataFrame, where: DataFrame) -> DataFrame:
-        """Members of buckets with several components, with their own and the main one."""
-        own = rows.join(lookup_side(where), "id")
-        held = own.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    def placed(rows: DataFrame) -> DataFrame:
+        """Members of buckets that have several components, with the main one."""
+        held = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
         main = held.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count(F.lit(1)).alias("kinds"))
-        return own.join(lookup_side(main.where("kinds > 1").drop("kinds")), "key")
+        return materialise(rows.join(lookup_side(main.where("kinds > 1").drop("kinds")), "key"))
 
-    where = members.select("id").distinct().join(labels.withColumnRenamed("component", "c"), "id", "left")
-    where = materialise(where.withColumn("c", F.coalesce("c", "id")))
-    mixed = materialise(placed(members, where).select("key", "id"))
-    own = mixed.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    known = members.join(lookup_side(labels.withColumnRenamed("component", "c")), "id", "left")
+    now = placed(known.select("key", "id", F.coalesce("c", "id").alias("c")))
+    own = now.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     sets = confirm.sets(own)
     signed = sets.mapInPandas(_signatures, "id long, " + ", ".join(f"{s} long" for s in signs)).join(own, "id")
     signed = materialise(signed)
-    where = materialise(where.join(own.select("id"), "id", "left_semi"))
 
     def confirmed(met: DataFrame, keys: str) -> DataFrame:
+        """Links among the pairs that meet, with the components they join."""
         first = F.array_intersect("keys", keys)[0] == F.col("key")
         near = met.where((F.col("c") != F.col("o_c")) & (apart <= limit) & first)
-        return confirm(near.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), sets)
+        swap = F.col("id") > F.col("o_id")
+        pair = {"a": F.least("id", "o_id"), "b": F.greatest("id", "o_id"), "c_a": F.when(swap, F.col("o_c")).otherwise(F.col("c")), "c_b": F.when(swap, F.col("c")).otherwise(F.col("o_c"))}
+        near = materialise(near.select(*(column.alias(name) for name, column in pair.items())).distinct())
+        links = confirm(near.select("a", "b"), sets)
+        return links.join(near, ["a", "b"]).select("a", "b", F.col("c_a").alias("c"), F.col("c_b").alias("o_c"))
 
     found: list[DataFrame] = []
     for most in LEADERS:
-        now = materialise(placed(mixed, where))
-        sizes = where.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
+        sizes = now.select("id", "c").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("size"))
         drawn = F.pmod(F.xxhash64("id", F.lit(most)), F.ceil(F.col("size") / most)) == 0
         lead = now.where("c = main").join(lookup_side(sizes), "c").where(drawn)
-        main_keys = lead.groupBy("id").agg(F.collect_set("key").alias("o_keys"))
-        lead = lead.select("key", "id", "c").join(signed.drop("keys"), "id").join(main_keys, "id")
+        main_keys = lead.groupBy("id").agg(F.min("c").alias("c"), F.collect_set("key").alias("o_keys"))
+        lead = main_keys.join(signed.drop("keys"), "id").withColumn("key", F.explode("o_keys"))
         lead = lead.select("key", "o_keys", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", *signs)))
         rest = now.where("c != main").select("key", "id", "c").join(signed, "id")
-        links = confirmed(rest.join(lookup_side(lead), "key"), "o_keys")
+        links = materialise(confirmed(rest.join(lookup_side(lead), "key"), "o_keys"))
         if not links.isEmpty():
             found.append(links)
-            where = _merged(where, links)
-    now = placed(mixed, where).join(signed, "id")
-    few = now.where("c != main").select("key", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", "keys", *signs)))
+            now = placed(_merged(now, links))
+    full = now.join(signed, "id")
+    few = full.where("c != main").select("key", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", "keys", *signs)))
     once = (F.col("c") == F.col("main")) | (F.col("id") < F.col("o_id"))
-    found.append(confirmed(now.join(few, "key").where(once), "o_keys"))
-    return reduce(DataFrame.unionByName, found)
+    found.append(confirmed(full.join(few, "key").where(once), "o_keys"))
+    return reduce(DataFrame.unionByName, found).select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
