@@ -36,8 +36,8 @@ REGISTERS, BAND, MANTISSA = 252, 6, 10
 BANDS = REGISTERS // BAND
 SMALL = 12
 SIGNS = 2048
-# Members of a bucket's main component that others meet, round by round.
-LEADERS = (4, 16, 64)
+# Members of a bucket's main component that others meet, round by round. A further round costs more than it saves on the tables tried.
+LEADERS = (24,)
 # Documents whose sets leave a task at a time.
 SETS_BATCH = 500
 
@@ -199,7 +199,7 @@ class _Confirm:
 def _merged(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``(key, id, c)`` after ``links`` between components ``(c, o_c)`` have joined these."""
     named = components(links, "c", "o_c").select(F.col("id").alias("c"), "component")
-    return rows.join(lookup_side(named), "c", "left").select("key", "id", F.coalesce("component", "c").alias("c"))
+    return materialise(rows.join(lookup_side(named), "c", "left").select("key", "id", F.coalesce("component", "c").alias("c")))
 
 
 def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> DataFrame:
@@ -223,7 +223,7 @@ def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> Data
         return materialise(rows.join(lookup_side(main.where("kinds > 1").drop("kinds")), "key"))
 
     known = members.join(lookup_side(labels.withColumnRenamed("component", "c")), "id", "left")
-    now = placed(known.select("key", "id", F.coalesce("c", "id").alias("c")))
+    now = placed(materialise(known.select("key", "id", F.coalesce("c", "id").alias("c"))))
     own = now.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     sets = confirm.sets(own)
     signed = sets.mapInPandas(_signatures, "id long, " + ", ".join(f"{s} long" for s in signs)).join(own, "id")
