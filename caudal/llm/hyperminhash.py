@@ -36,8 +36,10 @@ REGISTERS, BAND, MANTISSA = 252, 6, 10
 BANDS = REGISTERS // BAND
 SMALL = 12
 SIGNS = 2048
-# Members of a bucket's main component that others meet, round by round. A further round costs more than it saves on the tables tried.
-LEADERS = (24,)
+# Members of a bucket's main component that others meet in the first round; four times as many in each further one.
+LEADERS = 24
+# A further round follows when one has joined at least this share of the members outside.
+WORTHWHILE = 1 / 8
 # Documents whose sets leave a task at a time.
 SETS_BATCH = 500
 
@@ -207,8 +209,8 @@ def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> Data
 
     What is compared in the joins are ``SIGNS`` one-bit minima: at the threshold ``(1 - t) / 2`` of them differ, and
     a pair goes on with up to 4.5 deviations more. First come rounds of leaders: members outside the main
-    component of their bucket meet some ``LEADERS`` members of that, drawn by hash, and what links is joined. In a tight
-    group most members find a link after as many comparisons as links are rare, whatever the size of the group. Members that are still
+    component of their bucket meet some members of that, drawn by hash, and what links is joined; rounds go on with more
+    leaders while they join many. In a tight group most members find a link after as many comparisons as links are rare, whatever the size of the group. Members that are still
     outside are then compared with the rest of their bucket. A pair is compared in the first bucket it shares.
     """
     expected = SIGNS * (1 - confirm.percent / 100) / 2
@@ -240,7 +242,9 @@ def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> Data
         return links.join(near, ["a", "b"]).select("a", "b", F.col("c_a").alias("c"), F.col("c_b").alias("o_c"))
 
     found: list[DataFrame] = []
-    for most in LEADERS:
+    most, worthwhile = LEADERS, True
+    while worthwhile:
+        outside = now.where("c != main").select("id").distinct().count()
         sizes = now.select("id", "c").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("size"))
         drawn = F.pmod(F.xxhash64("id", F.lit(most)), F.ceil(F.col("size") / most)) == 0
         lead = now.where("c = main").join(lookup_side(sizes), "c").where(drawn)
@@ -249,7 +253,9 @@ def _left_over(members: DataFrame, labels: DataFrame, confirm: _Confirm) -> Data
         lead = lead.select("key", "o_keys", *(F.col(n).alias(f"o_{n}") for n in ("id", "c", *signs)))
         rest = now.where("c != main").select("key", "id", "c").join(signed, "id")
         links = materialise(confirmed(rest.join(lookup_side(lead), "key"), "o_keys"))
-        if not links.isEmpty():
+        joined, most = links.count(), most * 4
+        worthwhile = joined > 0 and joined >= WORTHWHILE * outside
+        if joined:
             found.append(links)
             now = placed(_merged(now, links))
     full = now.join(signed, "id")
