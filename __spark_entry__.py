@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from caudal.operators import accounts, credit, deletion, extracts, gold, ledger, quality, silver  # noqa: E402
+from caudal.operators import accounts, changes, credit, deletion, extracts, gold, ledger, quality, silver  # noqa: E402
 from caudal.plans.audit import run_sql  # noqa: E402
 from caudal.plans.extracts import bundle, extract_tiles, extract_wide  # noqa: E402
 from caudal.plans.lakehouse import Lake  # noqa: E402
 from caudal.plans.scoring import score  # noqa: E402
 from caudal.schemas import TABLES  # noqa: E402
-from caudal.session import CHECKPOINT_KEY, work_dir  # noqa: E402
+from caudal.session import CHECKPOINT_KEY, materialise, work_dir  # noqa: E402
 from caudal.sources.files import (  # noqa: E402
     join_path, preview, read_csv, read_parquet, snapshot, write_bundle, write_csv, write_facts, write_parquet,
 )
@@ -211,8 +211,32 @@ def _bronze_roundtrip(t: SampleTables) -> DataFrame:
     return t.spark.read.schema(TABLES["transaccion"].schema).parquet(path)
 
 
+def _later_accounts(t: SampleTables) -> DataFrame:
+    """The accounts some time on: some closed, some with another balance, and some new."""
+    cuenta = t["cuenta"]
+    moved = F.when(F.col("id_cliente") % 5 == 0, F.col("saldo") + 1).otherwise(F.col("saldo")).cast("decimal(12,2)")
+    kept = cuenta.where(F.col("id_cliente") % 17 != 0).withColumn("saldo", moved)
+    fresh = cuenta.where(F.col("id_cliente") % 13 == 0).withColumn("no_cuenta", F.concat(F.lit("9"), F.substring("no_cuenta", 2, 11)))
+    return kept.unionByName(fresh)
+
+
+def _bronze_apply(t: SampleTables) -> DataFrame:
+    """Bronze brought up to the later accounts, read back."""
+    lake = _bronze(t)
+    lake.sync(lambda name: _later_accounts(t), ["cuenta"])
+    return lake.bronze()["cuenta"]
+
+
+def _auc_exact(t: SampleTables) -> DataFrame:
+    """How well the mean balance ranks clients by the label, over stored scores."""
+    scores = materialise(credit.with_label(_features(t)).select(F.col(credit.MEAN_BALANCE).alias("puntaje"), "label"))
+    return credit.auc_by_ranks(scores, "puntaje", "label")
+
+
 QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "bronze_roundtrip": _bronze_roundtrip,
+    "bronze_changes": lambda t: changes.compare(t["cuenta"], _later_accounts(t), "no_cuenta").keys,
+    "bronze_apply": _bronze_apply,
     "bronze_counts": lambda t: _bronze(t).bronze_counts(),
     "csv_roundtrip": _csv_roundtrip,
     "silver_layer": lambda t: _refined(t).silver()["dim_fact_transacciones"],
@@ -280,6 +304,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "credit_line_rule": _lines,
     "score_preview": _score_preview,
     "credit_score_check": _score_check,
+    "ml_auc_exact": _auc_exact,
     "ml_metrics": lambda t: credit.train(_features(t)).metrics(),
     "credit_score": lambda t: credit.train(_features(t)).credit_lines(),
 }

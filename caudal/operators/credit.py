@@ -10,10 +10,12 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caudal.functions.money import mean
 from caudal.schemas import DEPOSIT
+from caudal.operators.ranking import SLICE, range_slices
 from caudal.session import materialise
 
 # The scoring rule and the model settings.
@@ -166,3 +168,29 @@ def train(
     auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(judged)
     weights = dict(zip(inputs, model.stages[-1].featureImportances.toArray()))
     return CreditModel(model, scored, auc, weights)
+
+
+def auc_by_ranks(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """``(positivos, negativos, auc)``: the share of pairs of a positive and a negative row in which the positive scores
+    higher, ties counting half, as exact counts up to the last division.
+
+    Equal scores become one row before any sort; distinct ones are cut into ranges, and a row a range carries what lies below.
+    Rows without a score or a label are left out; without both labels the AUC is NULL.
+    """
+    rows = scored.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
+    positive = F.count_if(F.col(label) == 1)
+    ties = rows.groupBy(F.col(score).alias("score")).agg(positive.alias("pos"), (F.count(F.lit(1)) - positive).alias("neg"))
+    sliced = range_slices(ties, ["score"])
+    slices = sliced.groupBy(SLICE).agg(F.sum("neg").alias("slice_neg"))
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    below = slices.select(SLICE, F.coalesce(F.sum("slice_neg").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy(SLICE).orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sliced.withColumn("up_to", F.sum("neg").over(inside)).join(F.broadcast(below), SLICE)  # a row a range
+    twice = 2 * (F.col("before") + F.col("up_to") - F.col("neg")) + F.col("neg")
+    sums = ranked.agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("positivos"),
+        F.coalesce(F.sum("neg"), F.lit(0)).alias("negativos"),
+        F.sum(F.col("pos").cast("decimal(19,0)") * twice.cast("decimal(19,0)")).alias("wins"),
+    )
+    pairs = F.col("positivos").cast("double") * F.col("negativos")
+    return sums.select("positivos", "negativos", F.when(pairs > 0, F.col("wins").cast("double") / (2 * pairs)).alias("auc"))

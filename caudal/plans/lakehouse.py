@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caudal.operators.changes import apply_changes, compare
 from caudal.operators.gold import gold_tables
 from caudal.operators.silver import SILVER_TABLES, silver_tables
 from caudal.schemas import TABLES
+from caudal.session import materialise
 from caudal.sources.files import conform, join_path, read_bundle, read_parquet, write_bundle, write_parquet
 
 PERIOD = "periodo"
@@ -53,6 +55,20 @@ class Lake:
         frames = {f"{name}.parquet": conform(read_table(name), name) for name in TABLES}
         write_bundle(frames, self.bronze_root)
 
+    def sync(self, read_table: Callable[[str], DataFrame], tables: Iterable[str] = tuple(TABLES)) -> dict[str, DataFrame]:
+        """Bring Bronze tables up to the source's state: ``{table: keys with their operation}`` of those that had changes.
+        A table without any is not written."""
+        done = {}
+        for name in tables:
+            path, key = join_path(self.bronze_root, f"{name}.parquet"), TABLES[name].key
+            old = read_parquet(self.spark, path, TABLES[name].schema)
+            changes = compare(old, conform(read_table(name), name), key)
+            if not changes.keys.isEmpty():
+                done[name] = changes.keys
+                # Written aside first: a table cannot be overwritten while it is read.
+                write_parquet(materialise(apply_changes(old, changes, key)), path)
+        return done
+
     def refine(self, mask_cards: bool = False, partition_fact: bool = False) -> None:
         """Bronze to Silver. ``partition_fact`` lays the transactions out by month for readers that ask
         for some months only."""

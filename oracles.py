@@ -48,6 +48,11 @@ FEATURES = """rasgos AS (SELECT coalesce(id_cliente, 0) AS id_cliente,
   FROM (SELECT *, fecha_transaccion >= (SELECT max(fecha_transaccion) FROM transaccion) - INTERVAL 90 DAY AS reciente
         FROM hecho) h
   GROUP BY id_cliente)"""
+LATER = """cuentas_despues AS (
+  SELECT no_cuenta, tipo_cuenta, CAST(CASE WHEN id_cliente % 5 = 0 THEN saldo + 1 ELSE saldo END AS DECIMAL(12,2)) AS saldo, id_cliente
+  FROM cuenta WHERE id_cliente % 17 <> 0
+  UNION ALL SELECT '9' || substring(no_cuenta, 2, 11), tipo_cuenta, saldo, id_cliente FROM cuenta WHERE id_cliente % 13 = 0)"""
+
 LABELS = """etiquetas AS (SELECT *, CASE WHEN volumen_total_ingresos_vs_egresos > 0 THEN 1 ELSE 0 END AS label
   FROM rasgos)"""
 LINES = """lineas AS (SELECT id_cliente AS cliente_id, label AS credit_aprobado,
@@ -397,6 +402,19 @@ def oracle_sql() -> dict[str, str]:
           FROM transaccion t LEFT JOIN tarjeta k ON k.no_tarjeta = t.no_tarjeta""",
         "max_tx_date": head() + "SELECT max(fecha_transaccion) AS fecha_max FROM transaccion",
         "ml_features": head(FACT, FEATURES) + "SELECT * FROM rasgos",
+        "bronze_changes": head(LATER) + """SELECT coalesce(n.no_cuenta, o.no_cuenta) AS no_cuenta,
+          CASE WHEN o.no_cuenta IS NULL THEN 'alta' WHEN n.no_cuenta IS NULL THEN 'baja' ELSE 'cambio' END AS operacion
+          FROM cuenta o FULL JOIN cuentas_despues n ON o.no_cuenta = n.no_cuenta
+          WHERE o.no_cuenta IS NULL OR n.no_cuenta IS NULL OR o.saldo <> n.saldo""",
+        "bronze_apply": head(LATER) + "SELECT * FROM cuentas_despues",
+        "ml_auc_exact": head(FACT, FEATURES, LABELS)
+        + """, p AS (SELECT saldo_promedio_ultimos_90_dias AS s FROM etiquetas WHERE label = 1 AND saldo_promedio_ultimos_90_dias IS NOT NULL),
+          n AS (SELECT saldo_promedio_ultimos_90_dias AS s FROM etiquetas WHERE label = 0 AND saldo_promedio_ultimos_90_dias IS NOT NULL),
+          r AS (SELECT s, c, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS mid
+                FROM (SELECT s, 1 AS c FROM p UNION ALL SELECT s, 0 FROM n) u)
+          SELECT CAST(count(*) FILTER (c = 1) AS BIGINT) AS positivos, CAST(count(*) FILTER (c = 0) AS BIGINT) AS negativos,
+                 (CAST(sum(CAST(2 * mid AS BIGINT)) FILTER (c = 1) AS BIGINT) - count(*) FILTER (c = 1) * (count(*) FILTER (c = 1) + 1))
+                 / (2.0::DOUBLE * count(*) FILTER (c = 1) * count(*) FILTER (c = 0)) AS auc FROM r""",
         "ml_label": head(FACT, FEATURES, LABELS) + "SELECT id_cliente, label FROM etiquetas",
         "credit_line_rule": head(FACT, FEATURES, LABELS, LINES) + "SELECT * FROM lineas",
         "credit_score_check": head(FACT, FEATURES)
