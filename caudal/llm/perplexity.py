@@ -1,24 +1,31 @@
 """Text quality by counts and by the perplexity of an n-gram model.
 
-The model counts words: trigrams, bigrams and single words of every text, as 64-bit hashes, one model for each
-language. It grows with the corpus, so no task and not the driver holds it. Texts are cut into blocks; a
-block sends its distinct n-grams with their counts, as sorted arrays, to the part of the hash range that they
-fall in, and gets back how often the whole corpus has each. A letter of a script without blanks is a word.
-
-The probability of a word is smoothed by a Dirichlet prior (MacKay and Peto) of one order less, down to how the
-word is spelled: a modified Kneser-Ney 4-gram model over characters folded to 64 symbols (white space, 26
-letters, digits, marks, and hashed places for all others). That one has at most 2^24 n-grams a language.
-
-A text is scored as if the model had not seen it: its own counts are taken off.
-
-A document is rejected when its log perplexity lies outside the band of its language,
-``BAND_WIDTH`` interquartile ranges below the first and above the third quartile.
+The model is an interpolated modified Kneser-Ney model of pairs of words, one for each language, counted by Spark.
+Words, marks and digits are tokens in lower case; a mark of its own goes before a capital, so that the model
+knows where sentences start. A letter of a script without blanks is a word. The ``VOCABULARY`` most frequent
+words of a language have numbers; any other is one token times how it is spelled, by a modified Kneser-Ney
+4-gram model over characters folded to 64 symbols.
+
+Texts are kept as blocks of token numbers. A block sends its distinct pairs, sorted and delta-coded, to parts of the
+hash range, which add them up and answer how often the corpus has each. Pairs grow with the corpus and are never in
+one place; what a word needs (how often it leads, by how many followers, after how many leaders) is bounded by the
+vocabulary and broadcast. Equal texts of a block are counted once.
+
+A text is scored as if the model had not seen it: its own pairs are taken off counts, totals and kinds of leaders.
+
+A document is rejected when its log perplexity lies outside the band of its language: ``HIGH_WIDTH`` times the span
+from the median to the third quartile above that, ``LOW_WIDTH`` times the span from the first to the median below
+the first, over distinct texts. The lower bound only meets text whose next word is all but certain. The upper bound
+of a document is no higher than its log perplexity by words alone less the gain that word order brings at least:
+``GAIN_WIDTH`` spans below the first quartile of that gain. So words in random order are rejected, rare or not.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -26,7 +33,8 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.llm.text import WordHashes, in_small_batches, mix, window_hashes
@@ -36,16 +44,21 @@ ORDER, BITS = 4, 6
 SYMBOLS = 1 << BITS
 LANGUAGES = 32
 OTHER = "*"
-BAND_WIDTH = 4.0
+HIGH_WIDTH, LOW_WIDTH, GAIN_WIDTH = 3.0, 8.0, 2.25
 # Bands are never narrower than this to either side of the quartiles.
 BAND_LEAST = 0.35
 FLUSH = 8_000_000
-# Code points of a block of texts, and those whose n-grams a part of the hash range holds on average.
-BLOCK, PART = 4_000_000, 4_000_000
-# Strength of the prior of longer n-grams, and the share of single words that is left to spelling.
-PRIOR, NOVEL = 2.0, 0.05
+# Distinct words that a task holds before it hands its counts on.
+WORDS_FLUSH = 400_000
+# Token numbers: begin, end, mark of a capital, a word without a number; then words by falling count.
+BEGIN, END, CAPITAL, UNKNOWN, FIRST = range(5)
+VOCABULARY = (1 << 16) - FIRST
+# Code points of a block of texts, and those whose pairs a part of the hash range holds on average.
+BLOCK, PART = 12_000_000, 32_000_000
 # Scripts that set no blanks between words: every letter and mark is a word.
 _UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3000, 0x3100), (0x3400, 0xA000), (0xF900, 0xFB00), (0xFF00, 0xFFF0), (0x20000, 0x40000))
+_ALONE = "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in _UNSPACED)
+TOKEN = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+|[^\w\s]")
 
 
 @lru_cache(maxsize=1)
@@ -71,8 +84,12 @@ def grams(text: str | None) -> np.ndarray:
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts for counts of one, two and more, from counts of counts."""
-    n = [max(int((counts == k).sum()), 0) for k in (1, 2, 3, 4)]
+    """Discounts for counts of one, two and more."""
+    return _discounts_of([int((counts == k).sum()) for k in (1, 2, 3, 4)])
+
+
+def _discounts_of(n: list[int]) -> np.ndarray:
+    """Discounts from how many counts are one, two, three and four."""
     if min(n[:3]) == 0:
         return np.array([0.5, 0.75, 0.9])
     y = n[0] / (n[0] + 2 * n[1])
@@ -100,7 +117,10 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class Model:
     """Modified Kneser-Ney from sorted distinct 4-grams and their counts."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, words: np.ndarray = np.empty(0, np.uint64)):
+        """``words`` are the hashes of the words with numbers, in the order of these."""
+        rank = np.argsort(words)
+        self.words, self.numbers = words[rank], rank + FIRST
         tables = [(keys.astype(np.uint32), counts.astype(np.int64))]
         for order in range(ORDER - 1, 0, -1):  # a lower order counts what it follows
             tail = tables[0][0] & np.uint32((1 << (BITS * order)) - 1)
@@ -159,23 +179,39 @@ def _model_of(lang, known: frozenset) -> str:
     return name if name in known else OTHER
 
 
+def _word_hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
 def _counter(known: frozenset):
     def added(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(np.concatenate(parts), return_counts=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, tuple] = {}
-        size = 0
+        words: dict[str, Counter] = {}
 
         def flush() -> Iterator[pd.DataFrame]:
             for model, (k, c) in sums.items():
-                yield pd.DataFrame({"model": model, "gram": k.astype(np.int64), "n": c})
+                yield pd.DataFrame({"model": model, "word": False, "gram": k.astype(np.int64), "n": c})
             sums.clear()
 
+        def flush_words() -> Iterator[pd.DataFrame]:
+            for model, held in words.items():
+                h = np.fromiter(map(_word_hash, held), np.uint64, len(held)).view(np.int64)
+                yield pd.DataFrame({"model": model, "word": True, "gram": h, "n": np.fromiter(held.values(), np.int64, len(held))})
+            words.clear()
+
         for batch in batches:
             by: dict[str, list] = {}
             for lang, text in zip(batch["lang"], batch["text"]):
-                by.setdefault(_model_of(lang, known), []).append(grams(text))
+                if not text:
+                    continue
+                model = _model_of(lang, known)
+                by.setdefault(model, []).append(grams(text))
+                words.setdefault(model, Counter()).update(TOKEN.findall(text.lower()))
+                if sum(map(len, words.values())) >= WORDS_FLUSH:
+                    yield from flush_words()
             for model, parts in by.items():
                 k, c = added(parts)
                 if model in sums:
@@ -183,35 +219,50 @@ def _counter(known: frozenset):
                     both, at = np.unique(np.concatenate([old_k, k]), return_inverse=True)
                     k, c = both, np.bincount(at, np.concatenate([old_c, c]), len(both)).astype(np.int64)
                 sums[model] = k, c
-            size = sum(len(k) for k, _ in sums.values())
-            if size >= FLUSH:
+            if sum(len(k) for k, _ in sums.values()) >= FLUSH:
                 yield from flush()
         yield from flush()
+        yield from flush_words()
 
     return run
 
 
+def _vocabulary(counted: DataFrame) -> DataFrame:
+    """The words with numbers: all of the highest counts, two at least, that ``VOCABULARY`` of a model reach."""
+    n = F.least("n", F.lit(1 << 20))
+    words = counted.where("word AND n >= 2")
+    reach = F.sum("c").over(Window.partitionBy("model").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
+    least = (
+        words.groupBy("model", n.alias("n")).agg(F.count(F.lit(1)).alias("c")).withColumn("reach", reach)
+        .where(F.col("reach") <= VOCABULARY).groupBy("model").agg(F.min("n").alias("least"))
+    )
+    # One row for each model, LANGUAGES + 1 at most.
+    return words.join(F.broadcast(least), "model").where("n >= least")
+
+
 def fit(documents: DataFrame) -> dict[str, Model]:
     """A model for each of the ``LANGUAGES`` most frequent languages, null as ``und``; one for the rest.
 
-    ``documents`` has ``lang`` and ``text``; every text is counted.
+    ``documents`` has ``lang`` and ``text``; every text is counted. A model holds the spelling and the numbers of words.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     top = documents.groupBy(lang.alias("l")).count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()
     known = frozenset(r[0] for r in top)
     counted = (
         documents.select("lang", "text")
-        .mapInPandas(_counter(known), "model string, gram long, n long")
-        .groupBy("model", "gram")
+        .mapInPandas(_counter(known), "model string, word boolean, gram long, n long")
+        .groupBy("model", "word", "gram")
         .agg(F.sum("n").alias("n"))
     )
     table = materialise(counted)
+    vocabulary = _vocabulary(table).select("model", "gram", "n").toPandas().sort_values(["n", "gram"], ascending=[False, True])
     models = {}
     for (name,) in table.select("model").distinct().orderBy("model").collect():
-        rows = table.where(F.col("model") == name).select("gram", "n").toArrow()
+        rows = table.where((F.col("model") == name) & ~F.col("word")).select("gram", "n").toArrow()
         keys, n = rows["gram"].to_numpy().astype(np.uint32), rows["n"].to_numpy()
         order = np.argsort(keys)
-        models[name] = Model(keys[order], n[order])
+        words = vocabulary.loc[vocabulary["model"] == name, "gram"].to_numpy(np.int64).view(np.uint64)
+        models[name] = Model(keys[order], n[order], words)
     return models
 
 
@@ -236,169 +287,249 @@ def base_figures(text: str | None, hashes: WordHashes) -> tuple[int, int, int, i
     return len(parts), chars, symbols, len(lines) - len(set(lines)), repeated
 
 
-@lru_cache(maxsize=1)
-def _kinds() -> np.ndarray:
-    """Of every code point: 1 white space, 2 a word by itself, else 0."""
-    out = np.zeros(sys.maxunicode + 1, np.uint8)
-    for low, high in _UNSPACED:
-        out[low:high] = 2
-    out[[9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x2028, 0x2029, 0x3000]] = 1
-    return out
-
+class TokenNumbers(dict):
+    """Numbers of tokens as written; a capital adds ``1 << 16``. Emptied when full, so its memory stays bounded."""
 
-def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of the lower-cased ``text`` start, and their 64-bit hashes."""
-    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    kind = _kinds()[code]
-    white = kind == 1
-    start = ~white
-    start[1:] &= white[:-1] | (kind[1:] == 2) | (kind[:-1] == 2)
-    at = np.flatnonzero(start)
-    if not len(at):
-        return at, np.empty(0, np.uint64)
-    place = np.arange(len(code)) - at[np.maximum(np.cumsum(start) - 1, 0)]
-    term = mix((code.astype(np.uint64) + np.uint64(1)) | (place.astype(np.uint64) << np.uint64(32)))
-    term[white] = 0
-    return at, mix(np.add.reduceat(term, at) + np.uint64(len("words")))
+    def __init__(self, model: Model, limit: int = 100_000):
+        self.model, self.limit = model, limit
 
+    def __missing__(self, token: str) -> int:
+        at, found = _find(self.model.words, np.array([_word_hash(token.lower())], np.uint64))
+        value = int(self.model.numbers[at[0]]) if found[0] else UNKNOWN
+        value |= token[0].isupper() << 16
+        if len(token) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[token] = value
+        return value
 
-@dataclass
-class WordGrams:
-    """Keys of the n-grams of a text: sorted, with counts, and by position."""
 
-    keys: np.ndarray
-    counts: np.ndarray
-    single: np.ndarray
-    double: np.ndarray
-    triple: np.ndarray
-    total: int
-    starts: np.ndarray
-
-
-def word_grams(text: str, model: str) -> WordGrams:
-    """N-grams of the words of ``text`` after two marks of its beginning and up to one of its end.
-
-    Each but the end is followed by a word as often as it is counted. One more key counts all words.
-    """
-    seed = np.uint64(xxhash.xxh3_64_intdigest(model.encode("utf-8", "replace")))
-    starts, h = word_hashes(text)
-    s = np.concatenate([np.array([1, 2], np.uint64), h, np.array([3], np.uint64)]) ^ seed
-    runs = [window_hashes(s[1:], 1), window_hashes(s, 2), window_hashes(s, 3), mix(seed[None])]
-    keys, at, counts = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
-    single, double, triple, total = np.split(at, np.cumsum([len(r) for r in runs])[:-1])
-    counts[total[0]] = len(h) + 1
-    return WordGrams(keys, counts, single, double, triple, int(total[0]), starts)
+def encoded(text: str, numbers: TokenNumbers) -> tuple[np.ndarray, float]:
+    """Token numbers of a text from begin to end, and the log probability of how unknown words are spelled."""
+    parts = TOKEN.findall(text)
+    raw = np.fromiter(map(numbers.__getitem__, parts), np.int32, len(parts))
+    capital = raw >> 16
+    out = np.full(len(raw) + int(capital.sum()) + 2, CAPITAL, np.uint16)
+    out[0], out[-1] = BEGIN, END
+    out[np.arange(1, len(raw) + 1) + np.cumsum(capital)] = raw & 0xFFFF
+    unknown = np.flatnonzero((raw & 0xFFFF) == UNKNOWN)
+    spelled = numbers.model.logs(grams(" ".join(parts[i] for i in unknown))).sum() if len(unknown) else 0.0
+    return out, float(spelled)
 
 
-def log_word_perplexity(text: str, g: WordGrams, others: np.ndarray, spelling: Model | None) -> float:
-    """Mean negative log probability of a word or the end; ``others`` counts ``g.keys`` in all other texts."""
-    char = spelling.logs(grams(text)) if spelling else np.full(len(text.lower()), -np.log(SYMBOLS))
-    base = np.exp(np.append(np.add.reduceat(char, g.starts), 0.0)) if len(g.starts) else np.ones(1)
-    c1, c2, c3 = (others[x] for x in (g.single, g.double, g.triple))
-    n = others[g.total]
-    p = (c1[1:] + NOVEL * n * base) / (n * (1 + NOVEL)) if n else base
-    p = (c2[1:] + PRIOR * p) / (c1[:-1] + PRIOR)
-    p = (c3 + PRIOR * p) / (c2[:-1] + PRIOR)
-    return float(-np.log(np.maximum(p, 1e-300)).mean())
+def _pack(values: np.ndarray) -> bytes:
+    """64-bit values by planes of bytes, compressed: high planes of small values vanish."""
+    return zstandard.compress(np.ascontiguousarray(values.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
 
 
-_SENT = "block long, part int, keys binary, counts binary, doc_id long, model string, text string"
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
 
 
-def _summed(grams_of: list[WordGrams]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([g.keys for g in grams_of]), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([g.counts for g in grams_of]), len(keys)).astype(np.int64)
+_META = ["doc_id", "no_id", "model", "digest", "spelled", "tokens", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _sender(known: frozenset, parts: int):
-    edges = np.array([((i << 64) + parts - 1) // parts for i in range(1, parts)], np.uint64)
+def _encoder(shared, names: list[str]):
+    known, index = frozenset(names), {n: i for i, n in enumerate(names)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in _SENT.split(", ")]
-        held: list[WordGrams] = []
-        block, size = uuid.uuid4().int >> 65, 0
+        hashes = WordHashes()
+        numbers = {n: TokenNumbers(m) for n, m in shared.value.items()}
+        meta, tokens, size = [], [], 0
 
-        def flush() -> Iterator[pd.DataFrame]:
-            keys, counts = _summed(held)
-            at = [0, *np.searchsorted(keys, edges), len(keys)]
-            rows = [(block, i, keys[a:b].tobytes(), counts[a:b].tobytes(), None, None, None) for i, (a, b) in enumerate(zip(at, at[1:])) if a < b]
-            for i in range(0, len(rows), 64):
-                yield pd.DataFrame(rows[i : i + 64], columns=names).astype({"doc_id": "Int64"})
+        def flush() -> pd.DataFrame:
+            row = uuid.uuid4().int >> 65, _pack(np.array(meta, np.int64).ravel()), _pack(np.concatenate([np.empty(0, np.uint16), *tokens]))
+            meta.clear()
+            tokens.clear()
+            return pd.DataFrame([row], columns=["block", "meta", "tokens"])
 
         for batch in batches:
-            out = []
             for doc_id, lang, text in zip(batch["doc_id"], batch["lang"], batch["text"]):
-                model = _model_of(lang, known)
-                out.append((block, -1, None, None, doc_id, model, text))
+                model, ids, spelled, digest = _model_of(lang, known), (), 0.0, 0
                 if text:
-                    held.append(word_grams(text, model))
-                    size += len(text)
+                    ids, spelled = encoded(text, numbers[model])
+                    tokens.append(ids)
+                    digest = np.uint64(_word_hash(text)).view(np.int64)
+                lacking = bool(pd.isna(doc_id))
+                meta.append([
+                    0 if lacking else int(doc_id), lacking, index.get(model, -1), digest, np.float64(spelled).view(np.int64), len(ids),
+                    *base_figures(text, hashes),
+                ])
+                size += len(text or "") + 64
                 if size >= BLOCK:
-                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-                    yield from flush()
-                    out, held[:] = [], []
-                    block, size = uuid.uuid4().int >> 65, 0
-            if out:
-                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-        if held:
-            yield from flush()
+                    yield flush()
+                    size = 0
+        if meta:
+            yield flush()
 
     return run
 
 
-def _corpus_counts(group: pd.DataFrame) -> pd.DataFrame:
-    """For the n-grams that blocks sent to one part, how often all blocks have them."""
-    keys = [np.frombuffer(x, np.uint64) for x in group["keys"]]
-    _, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.bincount(at, np.concatenate([np.frombuffer(x, np.int64) for x in group["counts"]])).astype(np.int64)[at]
-    each = np.split(sums, np.cumsum([len(k) for k in keys])[:-1])
-    return pd.DataFrame({"block": group["block"], "part": group["part"], "counts": [x.tobytes() for x in each]})
+@dataclass
+class Pairs:
+    """The pairs of tokens of a block: distinct keys in the order of parts, and by document."""
+
+    meta: pd.DataFrame
+    keys: np.ndarray  # model, leader and follower in 16 bits each
+    parts: np.ndarray
+    doc: np.ndarray  # each document's distinct pairs: the document, the place of the key, how often
+    at: np.ndarray
+    n: np.ndarray
+
+
+def pairs_of(meta: bytes, tokens: bytes, parts: int) -> Pairs:
+    docs = pd.DataFrame(_unpack(meta).reshape(-1, len(_META)), columns=_META)
+    ids, length = _unpack(tokens), docs["tokens"].to_numpy()
+    of = np.repeat(np.arange(len(docs)), length)
+    inside = of[1:] == of[:-1]
+    key = (docs["model"].to_numpy()[of[1:]] << 32 | ids[:-1] << 16 | ids[1:])[inside]
+    keys, at = np.unique(key, return_inverse=True)
+    part = (mix(keys.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.arange(len(keys))
+    width = max(len(keys), 1)
+    own, n = np.unique(of[1:][inside] * width + place[at], return_counts=True)
+    return Pairs(docs, keys[order], part[order], own // width, own % width, n)
+
+
+def _sender(parts: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block, meta, tokens in zip(batch["block"], batch["meta"], batch["tokens"]):
+                p = pairs_of(meta, tokens, parts)
+                first = (~p.meta.duplicated(["model", "digest"])).to_numpy()[p.doc]
+                counts = np.bincount(p.at[first], p.n[first], len(p.keys)).astype(np.int64)
+                edge = [0, *(np.flatnonzero(np.diff(p.parts)) + 1), len(p.keys)]
+                rows = [
+                    (block, int(p.parts[a]), _pack(np.diff(p.keys[a:b], prepend=0)), _pack(counts[a:b])) for a, b in zip(edge, edge[1:]) if a < b
+                ]
+                for i in range(0, len(rows), 64):
+                    yield pd.DataFrame(rows[i : i + 64], columns=["block", "part", "keys", "counts"])
 
+    return run
 
-def score_words(documents: DataFrame, models: dict[str, Model]) -> DataFrame:
-    """Base figures and ``log_ppl`` of words under the model of the row's language, a row for each document.
 
-    ``models`` are those of spelling; the counts of words are of ``documents``.
+_SUMS = ["total", "one", "two", "more", "leaders"]
+
+
+def _corpus_counts(group: pd.DataFrame) -> pd.DataFrame:
+    """How often all blocks have the pairs that each sent, and what this part adds to the sums of words.
+
+    A word's number is below ``1 << 16`` after its model. Under ``-1 - model`` stand how many pairs occur once to four times.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(models)
-    size = documents.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    rows = documents.select("doc_id", "lang", "text")
-    # Blocks have random names: they are written once, and read by both sides.
-    sent = materialise(rows.mapInPandas(_sender(frozenset(models), -(-size // PART) or 1), _SENT))
-    counted = (
-        sent.where("part >= 0").select("block", "part", "keys", "counts")
-        .groupBy("part").applyInPandas(_corpus_counts, "block long, part int, counts binary")
-    )
+    keys = [np.cumsum(_unpack(x)) for x in group["keys"]]
+    every, at = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(at, np.concatenate([_unpack(x) for x in group["counts"]])).astype(np.int64)
+    each = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
+    answers = pd.DataFrame({"block": group["block"], "part": group["part"], "counts": [_pack(x) for x in each]})
+    model, leader, follower = every >> 32, every >> 16, (every >> 32) << 16 | every & 0xFFFF
+    kinds = {f: (total == k).astype(np.int64) for k, f in enumerate(_SUMS[1:], 1)}
+    led = pd.DataFrame({"word": leader, "total": total, "one": kinds["one"], "two": kinds["two"], "more": (total >= 3).astype(np.int64)})
+    of_count = pd.DataFrame({"word": -1 - model, **kinds})
+    words = pd.concat([led, pd.DataFrame({"word": follower, "leaders": 1}), of_count]).groupby("word").sum().reset_index()
+    # Whole numbers with gaps: as floats, the names of blocks would lose digits.
+    whole = {c: "Int64" for c in ("block", "part", "word", *_SUMS)}
+    columns = ["block", "part", "counts", "word", *_SUMS]
+    return pd.concat([x.reindex(columns=columns).astype(whole) for x in (answers, words)])
+
+
+class WordSums:
+    """What Kneser-Ney needs of words, as arrays by model and number: bounded by the vocabulary."""
+
+    def __init__(self, sums: pd.DataFrame, sizes: list[int]):
+        """``sums`` has ``word`` and ``_SUMS``; ``sizes`` are those of the vocabularies of the models."""
+        words = sums[sums["word"] >= 0]
+        self.total, one, two, more, self.leaders = (np.zeros(len(sizes) << 16, np.int64) for _ in _SUMS)
+        for array, name in zip((self.total, one, two, more, self.leaders), _SUMS):
+            array[words["word"]] = words[name]
+        counts = sums[sums["word"] < 0].set_index("word")
+        self.pairs, self.pair, self.single, self.left = (np.zeros((len(sizes), k)) for k in (1, 4, 4, 1))
+        # One event for each token that can follow: all but the begin.
+        self.uniform = 1 / (np.array(sizes, float) + FIRST - 1)
+        self.weight = np.zeros(len(sizes) << 16)
+        for m in range(len(sizes)):
+            own = slice(m << 16, (m + 1) << 16)
+            leaders = self.leaders[own]
+            n = [int(counts.at[-1 - m, k]) for k in _SUMS[1:]] if -1 - m in counts.index else [0] * 4
+            self.pair[m, 1:], self.single[m, 1:] = _discounts_of(n), _discounts(leaders)
+            self.pairs[m] = leaders.sum()
+            d = self.pair[m]
+            lost = d[1] * one[own] + d[2] * two[own] + d[3] * more[own]
+            self.weight[own] = np.minimum(lost / np.maximum(self.total[own], 1), 1)
+            self.left[m] = min(self.single[m][np.minimum(leaders, 3)].sum() / max(leaders.sum(), 1), 1)
+
+
+def log_probabilities(p: Pairs, counts: np.ndarray, sums: WordSums) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the log probabilities of each document's tokens, after their leaders and alone.
+
+    ``counts`` are the corpus's of ``p.keys``.
+    """
+    docs, key = len(p.meta), p.keys[p.at]
+    model, leader, follower = key >> 32, key >> 16, (key >> 32) << 16 | key & 0xFFFF
+    c = np.maximum(counts[p.at] - p.n, 0)
 
-    def judged(group: pd.DataFrame) -> pd.DataFrame:
-        hashes, by_name, out = WordHashes(), shared.value, []
-        back = group[group["part"] >= 0].sort_values("part")
-        own = group[group["part"] < 0]
-        each = [word_grams(t, m) if t else None for t, m in zip(own["text"], own["model"])]
-        if len(back):
-            keys, _ = _summed([g for g in each if g])
-            counts = np.concatenate([np.frombuffer(x, np.int64) for x in back["counts"]])
-            if len(keys) != len(counts):
-                raise ValueError("a block got back other n-grams than it sent")
-        for doc_id, model, text, g in zip(own["doc_id"], own["model"], own["text"], each):
-            ppl = log_word_perplexity(text, g, counts[np.searchsorted(keys, g.keys)] - g.counts, by_name.get(model)) if g else None
-            out.append((doc_id, model, ppl, *base_figures(text, hashes)))
-        return pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": "Int64", "log_ppl": float})
+    def by_word(word: np.ndarray, value: np.ndarray) -> np.ndarray:
+        _, at = np.unique(p.doc << 22 | word, return_inverse=True)
+        return np.bincount(at, value)[at] if len(at) else value
 
-    texts = sent.where("part < 0").select("block", "part", F.lit(None).cast("binary").alias("counts"), "doc_id", "model", "text")
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("model", "string"), ("text", "string"))]
-    return texts.union(counted.select("block", "part", "counts", *none)).groupBy("block").applyInPandas(judged, _FIGURES)
+    alone = (c == 0).astype(float)
+    total = sums.total[leader] - by_word(leader, p.n)
+    leaders = np.maximum(sums.leaders[follower] - by_word(follower, alone), 0)
+    pairs = sums.pairs[model, 0] - np.bincount(p.doc, alone, docs)[p.doc]
+    low = np.maximum(leaders - sums.single[model, np.minimum(leaders, 3).astype(int)], 0) / np.maximum(pairs, 1)
+    low = np.where(pairs > 0, low + sums.left[model, 0] * sums.uniform[model], sums.uniform[model])
+    high = np.maximum(c - sums.pair[model, np.minimum(c, 3)], 0) / np.maximum(total, 1) + sums.weight[leader] * low
+    led = np.log(np.minimum(np.where(total > 0, high, low), 1))
+    return np.bincount(p.doc, p.n * led, docs), np.bincount(p.doc, p.n * np.log(np.minimum(low, 1)), docs)
 
 
-_FIGURES = "doc_id long, model string, log_ppl double, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-_COLUMNS = ["doc_id", "model", "log_ppl", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+def score_words(documents: DataFrame, models: dict[str, Model]) -> DataFrame:
+    """Base figures, ``digest`` and ``log_ppl`` of a token under the model of the row's language, a row for each document.
+
+    ``models`` are those of spelling and vocabulary; pairs are counted over ``documents``.
+    """
+    spark = documents.sparkSession
+    shared, names = spark.sparkContext.broadcast(models), sorted(models)
+    size = documents.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    parts = -(-size // PART) or 1
+    # Blocks have random names: they are written once, and read by both sides.
+    blocks = materialise(documents.select("doc_id", "lang", "text").mapInPandas(_encoder(shared, names), "block long, meta binary, tokens binary"))
+    schema = "block long, part int, counts binary, word long, " + ", ".join(f"{c} long" for c in _SUMS)
+    sent = blocks.mapInPandas(_sender(parts), "block long, part int, keys binary, counts binary")
+    answered = materialise(sent.groupBy("part").applyInPandas(_corpus_counts, schema))
+    sums = answered.where("word IS NOT NULL").groupBy("word").agg(*(F.sum(c).alias(c) for c in _SUMS)).toPandas().fillna(0).astype(np.int64)
+    ready = spark.sparkContext.broadcast(WordSums(sums, [len(models[n].words) for n in names]))
+
+    def judged(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        p = pairs_of(left["meta"].iloc[0], left["tokens"].iloc[0], parts)
+        back = right.sort_values("part")["counts"]
+        counts = np.concatenate([np.empty(0, np.int64), *map(_unpack, back)])
+        if len(counts) != len(p.keys):
+            raise ValueError("a block got back other pairs than it sent")
+        out = p.meta
+        spelled = out["spelled"].to_numpy().view(np.float64)
+        steps = np.maximum(out["tokens"] - 1, 1)
+        led, alone = log_probabilities(p, counts, ready.value)
+        out["log_ppl"] = (-(led + spelled) / steps).where(out["tokens"] > 0)
+        out["order_gain"] = ((led - alone) / steps).where(out["tokens"] > 0)
+        out["doc_id"] = out["doc_id"].astype("Int64").mask(out["no_id"] == 1)
+        out["model"] = [names[i] if i >= 0 else OTHER for i in out["model"]]
+        return out[_COLUMNS]
+
+    answers = answered.where("block IS NOT NULL").select("block", "part", "counts")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(judged, _FIGURES)
+
+
+_FIGURES = "doc_id long, model string, digest long, log_ppl double, order_gain double, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+_COLUMNS = ["doc_id", "model", "digest", "log_ppl", "order_gain", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def judge(documents: DataFrame) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_ppl,
     band_low, band_high)``, one row for each row of ``documents``.
 
-    Null and empty texts have no words and fail the base. Bands are quartiles over the documents of a language
+    Null and empty texts have no words and fail the base. Bands are quartiles over the distinct texts of a language
     that pass the base; without any, nothing more is rejected. A row without a doc_id is judged like any other.
     """
     documents = in_small_batches(documents).select(
@@ -407,12 +538,24 @@ def judge(documents: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     ppl = F.when(F.isnan("log_ppl"), None).otherwise(F.col("log_ppl"))
     scored = materialise(score_words(documents, fit(documents)).withColumn("log_ppl", ppl).withColumn("base_failed", failed))
-    q = scored.where("NOT base_failed").groupBy("model").agg(F.percentile_approx("log_ppl", [0.25, 0.75], 10000).alias("q"))
-    wide = F.greatest(BAND_WIDTH * (F.col("q")[1] - F.col("q")[0]), F.lit(BAND_LEAST))
-    bands = q.select("model", (F.col("q")[0] - wide).alias("band_low"), (F.col("q")[1] + wide).alias("band_high"))
+    figures = ("log_ppl", "order_gain")
+    distinct = scored.where("NOT base_failed").groupBy("model", "digest").agg(*(F.max(c).alias(c) for c in figures))
+    q = distinct.groupBy("model").agg(*(F.percentile_approx(c, [0.25, 0.5, 0.75], 10000).alias(c) for c in figures))
+
+    def span(figure: str, width: float, upper: bool = False):
+        a, b = (F.col(figure)[i + upper] for i in (0, 1))
+        return F.greatest(width * (b - a), F.lit(BAND_LEAST))
+
+    bands = q.select(
+        "model",
+        (F.col("log_ppl")[0] - span("log_ppl", LOW_WIDTH)).alias("band_low"),
+        (F.col("log_ppl")[2] + span("log_ppl", HIGH_WIDTH, True)).alias("_high"),
+        (F.col("order_gain")[0] - span("order_gain", GAIN_WIDTH)).alias("_gain"),
+    )
+    high = F.when(F.col("log_ppl").isNull(), F.col("_high")).otherwise(F.least("_high", F.col("log_ppl") + F.col("order_gain") - F.col("_gain")))
     inside = F.coalesce(F.col("log_ppl").between(F.col("band_low"), F.col("band_high")), F.lit(True))
     # One row for each model, LANGUAGES + 1 at most.
-    return scored.join(F.broadcast(bands), "model", "left").select(
+    return scored.join(F.broadcast(bands), "model", "left").withColumn("band_high", high).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & inside).alias("kept"), "log_ppl", "band_low", "band_high",
+        (~F.col("base_failed") & inside).alias("kept"), "log_ppl", "band_low", "band_high", "order_gain",
     )

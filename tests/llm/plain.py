@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -74,3 +76,47 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
         if not over:
             return fixed | out
         fixed |= {s: cap * sizes[s] for s in over}
+
+
+def tokens(text):
+    """Words, marks and single letters of scripts without blanks, in lower case, with a mark before each capital."""
+    out, word = [], ""
+    for c in text + " ":
+        alone = "\u3000" <= c < "\u3100" or "\u3400" <= c < "\ua000"
+        if (c.isalnum() or c == "_") and not alone:
+            word += c
+            continue
+        for w in (word, "" if c.isspace() else c):
+            if w:
+                out += ["<cap>", w.lower()] if w[0].isupper() else [w.lower()]
+        word = ""
+    return out
+
+
+def kneser_ney(pairs, vocabulary, discounts):
+    """Scores a list of tokens by modified Kneser-Ney of ``pairs``, its own pairs taken off; ``vocabulary`` tokens can follow."""
+    total, kinds, leaders = Counter(), defaultdict(Counter), Counter()
+    for (a, b), n in pairs.items():
+        total[a] += n
+        kinds[a][min(n, 3)] += 1
+        leaders[b] += 1
+    high, low = discounts(np.array(list(pairs.values()))), discounts(np.array(list(leaders.values())))
+    rest = min(sum(low[min(n, 3) - 1] for n in leaders.values()) / len(pairs), 1)
+
+    def score(row):
+        own = Counter(zip(row, row[1:]))
+        left = {p: max(pairs[p] - n, 0) for p, n in own.items()}
+        gone = [p for p, n in left.items() if n == 0]
+        out = []
+        for a, b in zip(row, row[1:]):
+            k, types = leaders[b] - sum(p[1] == b for p in gone), len(pairs) - len(gone)
+            p = ((k - low[min(k, 3) - 1] if k else 0) / types + rest / vocabulary) if types else 1 / vocabulary
+            t = total[a] - sum(n for q, n in own.items() if q[0] == a)
+            if t > 0:
+                c = left[a, b]
+                weight = min(sum(high[i - 1] * n for i, n in kinds[a].items()) / total[a], 1)
+                p = (c - high[min(c, 3) - 1] if c else 0) / t + weight * p
+            out.append(np.log(min(p, 1)))
+        return out
+
+    return score

@@ -107,25 +107,35 @@ def test_word_salad_is_rejected_and_prose_kept(documents):
     assert not any(kept[i] for i, *_ in salad) and all(kept[i] for i, *_ in rows)
 
 
-def test_word_counts_equal_a_loop(documents):
-    texts = {1: ("the cat sat. the cat ran", "en"), 2: ("the dog sat", "en"), 3: ("the cat", "fr"), 4: ("\u6f22\u5b57 \u6f22\u5b57\u3002", "en")}
-    words = {k: t.lower().split() if k != 4 else list("\u6f22\u5b57\u6f22\u5b57\u3002") for k, (t, _) in texts.items()}
-    models = px.fit(documents([(k, *v) for k, v in texts.items()]))
-    found = {x.doc_id: x.log_ppl for x in px.score_words(documents([(k, *v) for k, v in texts.items()]), models).collect()}
-    for k, (t, lang) in texts.items():
-        c, n = Counter(), 0
-        for o, (_, other) in texts.items():
-            if o != k and other == lang:
-                s = ["<1>", "<2>", *words[o], "<e>"]
-                n += len(words[o]) + 1
-                c.update(tuple(s[i : i + m]) for m in (1, 2, 3) for i in range(len(s) - m + 1))
-        char = models[lang].logs(px.grams(t))
-        starts = [*px.word_hashes(t)[0], len(t)]
-        s, logs = ["<1>", "<2>", *words[k], "<e>"], []
-        for i in range(2, len(s)):
-            base = np.exp(char[starts[i - 2] : starts[i - 1]].sum()) if i < len(s) - 1 else 1.0
-            p = (c[(s[i],)] + px.NOVEL * n * base) / (n * (1 + px.NOVEL)) if n else base
-            p = (c[tuple(s[i - 1 : i + 1])] + px.PRIOR * p) / (c[(s[i - 1],)] + px.PRIOR)
-            p = (c[tuple(s[i - 2 : i + 1])] + px.PRIOR * p) / (c[tuple(s[i - 2 : i])] + px.PRIOR)
-            logs.append(np.log(p))
-        assert np.isclose(found[k], -np.mean(logs))
+def test_pairs_equal_a_loop(documents):
+    texts = {
+        1: ("The cat sat. The cat ran", "en"), 2: ("the dog sat, the dog sat", "en"), 3: ("the cat", "fr"), 4: ("\u6f22\u5b57 \u6f22\u5b57\u3002", "en"),
+        5: ("The cat sat. The cat ran", "en"), 6: ("a zebra ran. A cat sat on the dog", "en"), 7: ("", "en"), 8: (None, None),
+    }
+    table = documents([(k, *v) for k, v in texts.items()]).coalesce(1)
+    models = px.fit(table)
+    found = {x.doc_id: x.log_ppl for x in px.score_words(table, models).collect()}
+    assert found[7] is None and found[8] is None
+    cut = {k: plain.tokens(t) for k, (t, _) in texts.items() if t}
+    for lang in ("en", "fr"):
+        own = [k for k in cut if texts[k][1] == lang]
+        words = Counter(w for k in own for w in cut[k] if w != "<cap>")
+        known = {w for w, n in words.items() if n >= 2}
+        assert len(known) == len(models[lang].words)
+        rows = {k: ["<s>", *(w if w in known or w == "<cap>" else "<unk>" for w in cut[k]), "</s>"] for k in own}
+        every = Counter(p for t in {texts[k][0]: k for k in own}.values() for p in zip(rows[t], rows[t][1:]))
+        want = plain.kneser_ney(every, len(known) + 3, px._discounts)
+        for k in own:
+            unknown = [w for w in px.TOKEN.findall(texts[k][0]) if w.lower() not in known]
+            spelled = models[lang].logs(px.grams(" ".join(unknown))).sum() if unknown else 0.0
+            assert np.isclose(found[k], -(sum(want(rows[k])) + spelled) / (len(rows[k]) - 1)), (k, lang)
+
+
+def test_shuffled_documents_of_the_table_are_rejected(spark, documents):
+    r = np.random.default_rng(11)
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang", "source")
+    whole = [x.text for x in rows.where("doc_id % 32 = 0").collect() if x.text and len(x.text.split()) >= 60]
+    shuffled = documents([(-1 - i, " ".join(r.permutation(t.split())), "en") for i, t in enumerate(whole)])
+    out = px.judge(rows.withColumn("n_chars", rows.doc_id * 0).unionByName(shuffled)).where("NOT base_failed").select("doc_id", "kept").collect()
+    salad, prose = ([x.kept for x in out if (x.doc_id < 0) == wanted] for wanted in (True, False))
+    assert len(salad) > 150 and np.mean(salad) <= 0.15 and np.mean(prose) >= 0.98
