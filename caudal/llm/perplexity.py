@@ -292,11 +292,12 @@ class TokenNumbers(dict):
 
     def __init__(self, model: Model, limit: int = 100_000):
         self.model, self.limit = model, limit
+        self.of_hash: dict[int, int] = {}
 
     def __missing__(self, token: str) -> int:
-        at, found = _find(self.model.words, np.array([_word_hash(token.lower())], np.uint64))
-        value = int(self.model.numbers[at[0]]) if found[0] else UNKNOWN
-        value |= token[0].isupper() << 16
+        if not self.of_hash:  # at the first word of the language, VOCABULARY at most
+            self.of_hash = dict(zip(self.model.words.tolist(), self.model.numbers.tolist()))
+        value = self.of_hash.get(_word_hash(token.lower()), UNKNOWN) | token[0].isupper() << 16
         if len(token) <= 64:
             if len(self) >= self.limit:
                 self.clear()
