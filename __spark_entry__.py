@@ -124,6 +124,14 @@ def _kpi_sql(t: SampleTables) -> DataFrame:
     return run_sql(t.spark, text, {"cliente": t["cliente"], "transaccion": t["transaccion"]})
 
 
+def _kpi_sql_money(t: SampleTables) -> DataFrame:
+    """The two reports on money as SQL text, in whole cents; a mean is rounded half up."""
+    text = """SELECT 'capital' AS reporte, CAST(sum(saldo * 100) AS BIGINT) AS centavos FROM cuenta
+      UNION ALL SELECT 'promedio', (2 * s + n) DIV (2 * nullif(n, 0))
+      FROM (SELECT CAST(sum(monto * 100) AS BIGINT) AS s, count(monto) AS n FROM transaccion)"""
+    return run_sql(t.spark, text, {"cuenta": t["cuenta"], "transaccion": t["transaccion"]})
+
+
 def _score_check(t: SampleTables) -> DataFrame:
     """The stored scores: every client once, and the line that follows from its own prediction."""
     lake = _silver_lake(t)
@@ -246,6 +254,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "etl_wide_files": _etl_wide_files,
     "tiles_csv_roundtrip": _tiles_csv_roundtrip,
     "kpi_sql": _kpi_sql,
+    "kpi_sql_money": _kpi_sql_money,
     "dim_clientes": lambda t: silver.dim_clientes(t["cliente"], t["cliente_tel"]),
     "dim_beneficiarios": lambda t: silver.dim_beneficiarios(t["beneficiario"], t["beneficiario_tel"]),
     "dim_cuentas": lambda t: silver.dim_cuentas(t["cuenta"]),

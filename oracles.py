@@ -280,6 +280,10 @@ def oracle_sql() -> dict[str, str]:
         "kpi_sql": head()
         + """SELECT 'delegacion' AS reporte, delegacion AS grupo, count(*) AS total FROM cliente GROUP BY 2
           UNION ALL SELECT 'movimiento', tipo_movimiento, count(*) FROM transaccion GROUP BY 2""",
+        "kpi_sql_money": head()
+        + """SELECT 'capital' AS reporte, CAST(sum(saldo * 100) AS BIGINT) AS centavos FROM cuenta
+          UNION ALL SELECT 'promedio', CAST((2 * s + n) // (2 * nullif(n, 0)) AS BIGINT)
+          FROM (SELECT CAST(sum(monto * 100) AS BIGINT) AS s, count(monto) AS n FROM transaccion)""",
         "dim_tarjetas_masked": head()
         + f"""SELECT repeat('X', greatest(length(no_tarjeta) - 4, 0)) || right(no_tarjeta, 4) AS no_tarjeta,
             {MASK.format('cvv')} AS cvv, emisor, estado, no_cuenta FROM tarjeta""",
