@@ -79,6 +79,11 @@ def _refined(t: SampleTables) -> Lake:
     return lake
 
 
+def _layer_table(name: str) -> Callable[[SampleTables], DataFrame]:
+    """A table of Silver or Gold as it is read back once both layers are written."""
+    return lambda t: _refined(t).gold(name) if name.startswith("kpi_") else _refined(t).silver()[name]
+
+
 def _silver_lake(t: SampleTables) -> Lake:
     lake = Lake(t.spark, work_dir(t.spark))
     write_bundle(silver.silver_tables(t), lake.silver_root)
@@ -249,6 +254,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "csv_roundtrip": _csv_roundtrip,
     "silver_layer": lambda t: _refined(t).silver()["dim_fact_transacciones"],
     "gold_layer": lambda t: _refined(t).gold("kpi_movimientos"),
+    **{f"layer_{name}": _layer_table(name) for name in oracles.LAYER_TABLES},
     "facts_roundtrip": _facts_roundtrip,
     "snapshot_roundtrip": _snapshot_roundtrip,
     "etl_wide_files": _etl_wide_files,

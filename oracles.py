@@ -252,6 +252,10 @@ def _phones(table: str, key: str, separator: str) -> str:
     FROM {table} WHERE tel IS NOT NULL GROUP BY {key})"""
 
 
+# Tables of Silver and Gold that are read back under a name of their own; the facts and movements are layer queries themselves.
+LAYER_TABLES = ("dim_clientes", "dim_beneficiarios", "dim_cuentas", "dim_tarjetas", "kpi_capital", "kpi_prestamos")
+
+
 def oracle_sql() -> dict[str, str]:
     head = duckdb_ctes
     sql = {
@@ -427,4 +431,5 @@ def oracle_sql() -> dict[str, str]:
         "score_preview": head(FACT, FEATURES, LABELS, LINES)
         + "SELECT *, (SELECT count(*) FROM lineas) AS total FROM lineas ORDER BY cliente_id LIMIT 20",
     }
-    return sql
+    # A layer read back holds what its tables are made of.
+    return {**sql, **{f"layer_{name}": sql[name] for name in LAYER_TABLES}}
