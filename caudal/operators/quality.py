@@ -1,7 +1,8 @@
 """Data-quality rules. Every rule yields ``(regla, fallas)``; zero failures passes.
 
-Row rules of a table share one scan. Keys and references are counted by value on the map side before
-anything is shuffled, so a value that fills a third of a table costs one row per task.
+Row rules of a table share one scan. Keys and references of all tables share another and one shuffle; they are counted by
+value on the map side before it, so a value that fills a third of a table costs one row per task. What was counted adds
+up: a report over what has arrived so far needs the tallies of the batches, not their rows.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.schemas import ACCOUNT_TYPES, BIOMETRIC_TYPES, REFERENCES, TABLES, Reference
@@ -130,15 +131,128 @@ def duplicate_values(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Tally:
+    """What the rules need to know of a set of rows. Tallies of two sets add up to that of both.
+
+    ``rules`` is ``(regla, fallas)``, the row rules. ``keys`` has a row for each value of a unique column, or of a column
+    that refers to one: ``dominio`` (the unique column), ``valor`` (as text; null only for rows whose own key is null),
+    ``llaves`` (rows that have it as their own), ``hijos_0`` … (rows of each reference that point at it) and ``total`` (the
+    percentages of its beneficiaries).
+    """
+
+    rules: DataFrame
+    keys: DataFrame
+
+
+TOTAL = "decimal(20,2)"
+
+
+def _referring(parent: str) -> list[Reference]:
+    """The references to a table; a reference's place here is that of its column in a tally."""
+    return [r for r in REFERENCES if r.parent == parent]
+
+
+CHILDREN = [f"hijos_{i}" for i in range(max(len(_referring(p)) for p in TABLES))]
+_OWN_KEY = "llaves"
+_SUMS = (_OWN_KEY, *CHILDREN, "total")
+
+
+def _domain(table: str, column: str) -> str:
+    return f"{table}.{column}"
+
+
+def _entry(domain: str, column: str, counter: str, total: Column) -> Column:
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    counts = [(one if name == counter else none).alias(name) for name in (_OWN_KEY, *CHILDREN)]
+    return F.struct(
+        F.lit(domain).alias("dominio"), F.col(column).cast("string").alias("valor"), *counts, total.cast("decimal(5,2)").alias("total")
+    )
+
+
+def _key_entries(df: DataFrame, table: str, references: bool) -> DataFrame:
+    """Up to one entry a row for each of its unique columns and references, in one scan."""
+    nothing = F.lit(0)
+    entries = [_entry(_domain(table, c), c, _OWN_KEY, nothing) for c in TABLES[table].unique_columns]
+    for ref in REFERENCES if references else ():
+        if ref.child == table:
+            share = F.coalesce("porcentaje_saldo", nothing) if table == "beneficiario" else nothing
+            slot = CHILDREN[_referring(ref.parent).index(ref)]
+            entries.append(_entry(_domain(ref.parent, TABLES[ref.parent].key), ref.column, slot, share))
+    return df.select(F.inline(F.array(*entries))).where(F.col("valor").isNotNull() | (F.col(_OWN_KEY) > 0))
+
+
+def _added_up(keys: DataFrame) -> DataFrame:
+    sums = [F.sum(c).cast(TOTAL if c == "total" else "long").alias(c) for c in _SUMS]
+    return keys.groupBy("dominio", "valor").agg(*sums)
+
+
+def key_tally(tables: Mapping[str, DataFrame], references: bool = True) -> DataFrame:
+    """The ``keys`` of a tally: each table is read once and all of them meet in one shuffle, added up by value before it."""
+    return _added_up(_union([_key_entries(tables[name], name, references) for name in TABLES]))
+
+
+def tally(tables: Mapping[str, DataFrame], rules: Sequence[RowRule] | None = None) -> Tally:
+    """The tally of all rows: two scans a table, one for its row rules and one for its keys and references."""
+    return Tally(row_rule_failures(tables, every_row_rule() if rules is None else rules), key_tally(tables))
+
+
+def taken_off(t: Tally) -> Tally:
+    """The tally that, added, takes the rows of ``t`` away again."""
+    keys = t.keys.select("dominio", "valor", *((-F.col(c)).cast(TOTAL if c == "total" else "long").alias(c) for c in _SUMS))
+    return Tally(t.rules.select("regla", (-F.col("fallas")).alias("fallas")), keys)
+
+
+def added(tallies: Sequence[Tally]) -> Tally:
+    """One tally for the rows of all of them."""
+    rules = _union([t.rules for t in tallies]).groupBy("regla").agg(F.sum("fallas").alias("fallas"))
+    return Tally(rules, _added_up(_union([t.keys for t in tallies])))
+
+
+def _unique_rules() -> list[tuple[str, str, str]]:
+    """``(dominio, medida, regla)``; so in the other lists."""
+    return [
+        (_domain(t.name, c), "repetidos", f"{t.name}.{c} repetido") for t in TABLES.values() for c in t.unique_columns
+    ]
+
+
+def _reference_rules() -> list[tuple[str, str, str]]:
+    return [
+        (_domain(r.parent, TABLES[r.parent].key), f"sin_padre_{_referring(r.parent).index(r)}", f"{r.child}.{r.column} sin {r.parent}")
+        for r in REFERENCES
+    ]
+
+
+def _joined_rules() -> list[tuple[str, str, str]]:
+    return [("cliente.id_cliente", "sin_cuenta", ORPHAN_CLIENTS), ("cuenta.no_cuenta", "no_suma", BENEFICIARY_TOTAL)]
+
+
+def _key_failures(keys: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Count the named rules over added-up ``keys``; a rule without entries has no failure."""
+    own = F.col(_OWN_KEY)
+    accounts_of_client = CHILDREN[_referring("cliente").index(next(r for r in _referring("cliente") if r.child == "cuenta"))]
+
+    def rows_where(met: Column, counted: Column) -> Column:
+        return F.coalesce(F.sum(F.when(met, counted)), F.lit(0)).cast("long")
+
+    measures = {
+        "repetidos": F.count_if((own > 1) & F.col("valor").isNotNull()),
+        "sin_cuenta": rows_where((own > 0) & (F.col(accounts_of_client) == 0), own),
+        "no_suma": rows_where((own > 0) & (F.col("total") != 100), own),
+        **{f"sin_padre_{i}": rows_where(own == 0, F.col(c)) for i, c in enumerate(CHILDREN)},
+    }
+    used = sorted({m for _, m, _ in rules})
+    pairs = [F.struct(F.lit(m).alias("medida"), F.col(m).alias("fallas")) for m in used]
+    # A row for each unique column and measure: some dozens, whatever the tables hold.
+    measured = keys.groupBy("dominio").agg(*(measures[m].alias(m) for m in used)).select("dominio", F.inline(F.array(*pairs)))
+    listed = [F.struct(*(F.lit(v).alias(n) for n, v in zip(("dominio", "medida", "regla"), rule, strict=True))) for rule in rules]
+    named = keys.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*listed)))
+    return named.join(F.broadcast(measured), ["dominio", "medida"], "left").select("regla", F.coalesce("fallas", F.lit(0).cast("long")).alias("fallas"))
+
+
 def unique_failures(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Repeated values of every primary key and unique column."""
-    return _union(
-        [
-            _tally(duplicate_values(tables[t.name], column), f"{t.name}.{column} repetido")
-            for t in TABLES.values()
-            for column in t.unique_columns
-        ]
-    )
+    return _key_failures(key_tally(tables, references=False), _unique_rules())
 
 
 def orphan_values(tables: Mapping[str, DataFrame], ref: Reference) -> DataFrame:
@@ -155,35 +269,24 @@ def orphan_values(tables: Mapping[str, DataFrame], ref: Reference) -> DataFrame:
 
 def reference_failures(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Child rows whose parent is missing, per reference."""
-    return _union(
-        [
-            orphan_values(tables, ref)
-            .agg(F.coalesce(F.sum("filas"), F.lit(0).cast("long")).alias("fallas"))
-            .select(F.lit(f"{ref.child}.{ref.column} sin {ref.parent}").alias("regla"), "fallas")
-            for ref in REFERENCES
-        ]
-    )
+    return _key_failures(key_tally(tables), _reference_rules())
 
 
-def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[RowRule] | None = None) -> DataFrame:
-    """Every rule as ``(regla, fallas, aprobada)``."""
-    row_rules = (
-        [NEGATIVE_BALANCE, NONPOSITIVE_AMOUNT, *domain_rules(), *not_null_rules(), *length_rules()]
-        if rules is None
-        else list(rules)
-    )
-    every = _union(
-        [
-            row_rule_failures(tables, row_rules),
-            orphan_clients(tables),
-            beneficiary_total(tables),
-            unique_failures(tables),
-            reference_failures(tables),
-        ]
-    )
+def every_row_rule() -> list[RowRule]:
+    return [NEGATIVE_BALANCE, NONPOSITIVE_AMOUNT, *domain_rules(), *not_null_rules(), *length_rules()]
+
+
+def report_of(t: Tally) -> DataFrame:
+    """Every rule as ``(regla, fallas, aprobada)``, from a tally."""
+    every = t.rules.unionByName(_key_failures(t.keys, [*_joined_rules(), *_unique_rules(), *_reference_rules()]))
     return every.withColumn("aprobada", F.col("fallas") == 0)
 
 
+def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[RowRule] | None = None) -> DataFrame:
+    """Every rule as ``(regla, fallas, aprobada)``; two scans a table."""
+    return report_of(tally(tables, rules))
+
+
 def core_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The four headline rules as ``(regla, fallas, aprobada)``."""
     every = _union(

@@ -350,6 +350,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_unique": head() + UNIQUE,
         "dq_foreign_keys": head() + FOREIGN,
         "dq_report": head() + f"SELECT regla, fallas, fallas = 0 AS aprobada FROM ({EVERY_RULE}) r",
+        "dq_incremental": head() + f"SELECT regla, fallas, fallas = 0 AS aprobada FROM ({EVERY_RULE}) r",
         "dq_core": head()
         + "SELECT regla, fallas, fallas = 0 AS aprobada FROM ("
         + "\nUNION ALL ".join([_counts(NEGATIVE + NONPOSITIVE), ORPHANS, PERCENT])

@@ -93,6 +93,18 @@ def test_wide_extract_reads_every_table_once(spark, no_broadcast):
     assert not moved
 
 
+def test_the_full_report_reads_a_table_twice(spark, sample, no_broadcast):
+    from caudal.operators import quality
+    from caudal.schemas import TABLES
+    from caudal.session import materialise
+
+    tables = {n: materialise(sample[n]) for n in TABLES}
+    assert scans(quality.quality_report(tables)) <= 2 * len(TABLES)
+    assert scans(quality.reference_failures(tables)) <= len(TABLES)
+    text = plan(quality.reference_failures(tables))
+    assert sum("Exchange hashpartitioning(dominio" in line and "valor" in line for line in text.splitlines()) == 1
+
+
 def silver_tables_small(spark):
     from caudal.operators.silver import silver_tables
     from caudal.plans.extracts import bundle

@@ -1,5 +1,5 @@
 from caudal.operators import quality
-from caudal.plans.audit import audit, run_sql
+from caudal.plans.audit import QualityStore, audit, run_sql
 from caudal.schemas import TABLES
 
 
@@ -88,3 +88,51 @@ def test_audit_warns_but_does_not_stop(sample, caplog):
 def test_sql_text(spark, sample):
     got = run_sql(spark, "SELECT count(*) AS n FROM cuenta WHERE saldo < 0", {"cuenta": sample["cuenta"]})
     assert got.first()["n"] == failures(quality.negative_balance(sample))["cuenta.saldo negativo"]
+
+
+def split(tables, parts):
+    """Each table's rows dealt to ``parts`` sets by their place in the whole row's hash."""
+    from pyspark.sql import functions as F
+
+    turn = [F.pmod(F.hash(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in tables[n].columns))), F.lit(parts)) for n in TABLES]
+    return [{n: tables[n].where(t == i) for n, t in zip(TABLES, turn)} for i in range(parts)]
+
+
+def test_tallies_of_batches_add_up_to_the_whole(spark, sample, frame, tmp_path):
+    whole = broken(sample, frame)
+    store = QualityStore(spark, str(tmp_path / "a"))
+    batches = split(whole, 3)
+    for i, batch in enumerate(batches):
+        store.add(i, batch)
+    want = failures(quality.quality_report(whole))
+    assert failures(store.report(range(3))) == want
+    # A batch that is retried counts once; rows that come and go leave nothing.
+    store.add(1, batches[1])
+    nothing = {n: sample[n].limit(0) for n in TABLES}
+    store.add(3, batches[0])
+    store.add(4, nothing, gone=batches[0])
+    assert failures(store.report(range(5))) == want
+    store.add(5, nothing, gone=whole)
+    assert set(failures(store.report(range(6))).values()) == {0}
+    folded = QualityStore(spark, str(tmp_path / "b"))
+    store.fold(range(6), folded)
+    assert folded.total(range(1)).keys.count() == 0
+    store.fold(range(5), folded)
+    assert failures(folded.report(range(1))) == want
+
+
+def test_empty_tables_and_null_keys(spark, sample, frame):
+    nothing = {n: sample[n].limit(0) for n in TABLES}
+    assert set(failures(quality.quality_report(nothing)).values()) == {0}
+    row = frame([(None, "Ahorro", "1", None), (None, "Ahorro", "1", 1)], "no_cuenta string; tipo_cuenta string; saldo decimal(12,2); id_cliente long")
+    got = failures(quality.quality_report({**nothing, "cuenta": row}))
+    assert got[quality.BENEFICIARY_TOTAL] == 2 and got["cuenta.id_cliente sin cliente"] == 1
+    assert got["cuenta.no_cuenta repetido"] == 0 and got["cuenta.no_cuenta nulo"] == 2
+
+
+def test_a_total_without_shares(sample, frame):
+    shares = frame([(1, "p", "n", "a", None, "x")], "id_beneficiario long; parentesco string; nombre string; apellido string; porcentaje_saldo decimal(5,2); no_cuenta string")
+    cuenta = frame([("x", "Ahorro", "1", 1)], "no_cuenta string; tipo_cuenta string; saldo decimal(12,2); id_cliente long")
+    got = failures(quality.quality_report({**{n: sample[n].limit(0) for n in TABLES}, "cuenta": cuenta, "beneficiario": shares}))
+    assert got[quality.BENEFICIARY_TOTAL] == 1
+    assert quality.accounts_off_total(cuenta, shares).count() == 1
