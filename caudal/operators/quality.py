@@ -170,11 +170,11 @@ def _entry(domain: str, column: str, counter: str, total: Column) -> Column:
     )
 
 
-def _key_entries(df: DataFrame, table: str, references: bool) -> DataFrame:
-    """Up to one entry a row for each of its unique columns and references, in one scan."""
+def _key_entries(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Up to one entry a row for each of these unique columns and of its references, in one scan."""
     nothing = F.lit(0)
-    entries = [_entry(_domain(table, c), c, _OWN_KEY, nothing) for c in TABLES[table].unique_columns]
-    for ref in REFERENCES if references else ():
+    entries = [_entry(_domain(table, c), c, _OWN_KEY, nothing) for c in columns]
+    for ref in REFERENCES:
         if ref.child == table:
             share = F.coalesce("porcentaje_saldo", nothing) if table == "beneficiario" else nothing
             slot = CHILDREN[_referring(ref.parent).index(ref)]
@@ -187,9 +187,13 @@ def _added_up(keys: DataFrame) -> DataFrame:
     return keys.groupBy("dominio", "valor").agg(*sums)
 
 
-def key_tally(tables: Mapping[str, DataFrame], references: bool = True) -> DataFrame:
-    """The ``keys`` of a tally: each table is read once and all of them meet in one shuffle, added up by value before it."""
-    return _added_up(_union([_key_entries(tables[name], name, references) for name in TABLES]))
+def key_tally(tables: Mapping[str, DataFrame], only_referred: bool = False) -> DataFrame:
+    """The ``keys`` of a tally: each table is read once and all of them meet in one shuffle, added up by value before it.
+
+    ``only_referred`` leaves out unique columns that nothing refers to.
+    """
+    columns = {t.name: ([t.key] if _referring(t.name) else []) if only_referred else t.unique_columns for t in TABLES.values()}
+    return _added_up(_union([_key_entries(tables[name], name, own) for name, own in columns.items()]))
 
 
 def tally(tables: Mapping[str, DataFrame], rules: Sequence[RowRule] | None = None) -> Tally:
@@ -252,7 +256,13 @@ def _key_failures(keys: DataFrame, rules: Sequence[tuple[str, str, str]]) -> Dat
 
 def unique_failures(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Repeated values of every primary key and unique column."""
-    return _key_failures(key_tally(tables, references=False), _unique_rules())
+    return _union(
+        [
+            _tally(duplicate_values(tables[t.name], column), f"{t.name}.{column} repetido")
+            for t in TABLES.values()
+            for column in t.unique_columns
+        ]
+    )
 
 
 def orphan_values(tables: Mapping[str, DataFrame], ref: Reference) -> DataFrame:
@@ -269,7 +279,7 @@ def orphan_values(tables: Mapping[str, DataFrame], ref: Reference) -> DataFrame:
 
 def reference_failures(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Child rows whose parent is missing, per reference."""
-    return _key_failures(key_tally(tables), _reference_rules())
+    return _key_failures(key_tally(tables, only_referred=True), _reference_rules())
 
 
 def every_row_rule() -> list[RowRule]:
