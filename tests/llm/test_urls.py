@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from itertools import combinations
 
 from llm_fixtures import MIDDLE, entry  # noqa: F401
@@ -106,3 +107,44 @@ def test_long_urls_are_mined_whole(spark):
     for c, x in by.items():
         held = [b for t, b in rows if set(c) <= set(t)]
         assert abs(x.confidence - sum(held) / len(held)) < 1e-9 and abs(x.support - sum(held) / len(rows)) < 1e-9
+
+
+def test_equal_tokens_are_one_item(spark):
+    """Thirty tokens that the same forty URLs share double nothing, and give the rules that counting gives."""
+    r = random.Random(5)
+    shared = [f"p:s{i:02d}" for i in range(30)]
+    rows = [(["h:a"] + shared + (["p:x"] if i % 2 else ["p:y"]), i % 2 == 1) for i in range(40)]
+    rows += [([r.choice(["h:a", "h:b"]), r.choice(["p:x", "p:y", "p:z"])], r.random() < 0.2) for _ in range(400)]
+    df = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    ur.mine(df, 0.01, 0.9).count()
+    start = time.time()
+    mined = {tuple(x.tokens): (x.confidence, x.support) for x in ur.mine(df, 0.01, 0.9).collect()}
+    assert time.time() - start < 30
+    want = {}
+    tokens = sorted({t for own, _ in rows for t in own})
+    for size in (1, 2):
+        for c in combinations(tokens, size):
+            held = [b for own, b in rows if set(c) <= set(own)]
+            if sum(held) >= 5 and sum(held) / len(held) >= 0.9 and not any(set(o) < set(c) for o in want):
+                want[c] = (sum(held) / len(held), sum(held) / len(rows))
+    assert {tuple(sorted(("p:x", s))) for s in shared} <= set(want)
+    assert set(mined) == set(want) and all(abs(mined[c][0] - want[c][0]) < 1e-9 and abs(mined[c][1] - want[c][1]) < 1e-9 for c in want)
+    rules, items = ur.mine_items(df, 0.01, 0.9)
+    assert rules.count() == 1
+    urls = spark.createDataFrame([("u", ["p:x", "p:s07"]), ("v", ["p:s07", "p:y"]), ("w", ["p:x"])], "url string, tokens array<string>")
+    assert [x.url for x in ur.blocked_urls(ur.held_items(urls, items), rules).collect()] == ["u"]
+
+
+def test_chance_makes_no_rule(spark):
+    """A few bad URLs, or what is right no oftener than chance, make no rule."""
+    few = [(["h:a", "p:x"], True)] * 4 + [(["h:b"], False)] * 400
+    schema = "tokens array<string>, bad boolean"
+    assert ur.mine(spark.createDataFrame(few, schema)).collect() == []
+    often = [(["h:a"], True)] * 90 + [(["h:a"], False)] * 10
+    assert ur.mine(spark.createDataFrame(often, schema)).collect() == []
+    assert ur.mine(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_words_between_hyphens(spark):
+    row = spark.createDataFrame([("Casino-win.example", "/Best-casino_win/12")], "host string, path string").select(ur.tokens_of().alias("t")).first()
+    assert set(row.t) == {"h:Casino", "h:win", "h:example", "p:best", "p:casino", "p:win"}
