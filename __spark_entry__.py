@@ -17,11 +17,11 @@ from caudal.operators import accounts, changes, credit, deletion, extracts, gold
 from caudal.plans.audit import QualityStore, run_sql  # noqa: E402
 from caudal.plans.extracts import bundle, extract_tiles, extract_wide  # noqa: E402
 from caudal.plans.lakehouse import Lake  # noqa: E402
-from caudal.plans.scoring import score  # noqa: E402
+from caudal.plans.scoring import read_scores, score  # noqa: E402
 from caudal.schemas import TABLES  # noqa: E402
 from caudal.session import CHECKPOINT_KEY, materialise, work_dir  # noqa: E402
 from caudal.sources.files import (  # noqa: E402
-    join_path, preview, read_csv, read_parquet, snapshot, write_bundle, write_csv, write_facts, write_parquet,
+    join_path, read_csv, read_parquet, snapshot, write_bundle, write_csv, write_facts, write_parquet,
 )
 from caudal.sources.sample import SampleTables  # noqa: E402
 from caudal.streaming.posting import LedgerState, stream_postings  # noqa: E402
@@ -183,9 +183,10 @@ def _post_stream(t: SampleTables) -> DataFrame:
     step = last // ARRIVALS + 1
     for i in range(ARRIVALS):
         part = tx.where((F.col("id_transaccion") >= i * step) & (F.col("id_transaccion") < (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(arrivals)
-    query = stream_postings(spark, arrivals, state, files_per_batch=1)
-    query.awaitTermination()
+        part.write.mode("append").parquet(arrivals)
+        # Each start goes on from the checkpoint of the one before and takes what has arrived as one batch.
+        query = stream_postings(spark, arrivals, state)
+        query.awaitTermination()
     return state.balances_after(query.lastProgress["batchId"])
 
 
@@ -223,9 +224,11 @@ def _lines(t: SampleTables) -> DataFrame:
 
 
 def _score_preview(t: SampleTables) -> DataFrame:
-    lines = _lines(t)
-    total = lines.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return preview(lines, ["cliente_id"]).withColumn("total", total)
+    """The head of the stored credit lines, and how many are stored."""
+    lake = Lake(t.spark, work_dir(t.spark))
+    write_parquet(_lines(t), join_path(lake.gold_root, "ml_credit_score"))
+    first, total = read_scores(lake)
+    return first.withColumn("total", F.lit(total).cast("long"))
 
 
 def _bronze_roundtrip(t: SampleTables) -> DataFrame:
@@ -337,11 +340,14 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
 
 
 def _with_work_folder(query: Query) -> Query:
-    """Intermediate tables go to the folder the cluster names; where it names none, to one of our own."""
+    """Intermediate tables go to the folder the cluster names; where it names none, to one of our own: a temporary one
+    where all runs on one machine, else one in the warehouse, which the executors share."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if not spark.conf.get(CHECKPOINT_KEY, None) and not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="caudal-"))
+            local = spark.sparkContext.master.split("[")[0] == "local"
+            own = tempfile.mkdtemp(prefix="caudal-") if local else join_path(spark.conf.get("spark.sql.warehouse.dir"), "caudal-work")
+            spark.sparkContext.setCheckpointDir(own)
         return query(spark, sf_dir)
 
     return run

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +16,16 @@ FETCH_ROWS = 10_000
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """Where the operational tables live, and how many concurrent reads each may take."""
+    """Where the operational tables live, and how many concurrent reads each may take: a number only the caller can know."""
 
     url: str
     user: str = ""
     password: str = ""
     driver: str = DRIVER
-    partitions: int = 1
+    partitions: int = field(kw_only=True)
 
     @classmethod
-    def from_database_url(cls, database_url: str, partitions: int = 1) -> JdbcSource:
+    def from_database_url(cls, database_url: str, *, partitions: int) -> JdbcSource:
         parts = urlsplit(database_url or "")
         if not parts.scheme or not parts.hostname or parts.hostname == "None":
             raise ValueError("database URL needs a scheme and a host")
@@ -40,8 +40,8 @@ class JdbcSource:
         )
 
     @classmethod
-    def from_environment(cls, default: str = "", partitions: int = 1) -> JdbcSource:
-        return cls.from_database_url(os.environ.get("DATABASE_URL", default), partitions)
+    def from_environment(cls, default: str = "", *, partitions: int) -> JdbcSource:
+        return cls.from_database_url(os.environ.get("DATABASE_URL", default), partitions=partitions)
 
     def options(self) -> dict[str, str]:
         return {

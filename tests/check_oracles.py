@@ -12,6 +12,7 @@ import duckdb  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as e  # noqa: E402
+from caudal.session import clean_work  # noqa: E402
 
 TABLE_NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
@@ -62,6 +63,7 @@ def main(sf: str, keys: list[str]) -> int:
             said = f"(no SQL) {df.count()} rows" if df.columns else "no columns"
         bad += bool(said) and key in sql
         print(f"{time.time() - start:6.1f}s {key:24s} {said or 'ok'}", flush=True)
+    clean_work(spark)
     print("differences:", bad)
     return bad
 

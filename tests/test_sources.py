@@ -23,20 +23,20 @@ def test_url_becomes_options():
         "driver": "org.postgresql.Driver",
         "fetchsize": "10000",
     }
-    assert JdbcSource.from_database_url("postgresql://h/b").options()["url"] == "jdbc:postgresql://h/b"
+    assert JdbcSource.from_database_url("postgresql://h/b", partitions=1).options()["url"] == "jdbc:postgresql://h/b"
 
 
 @pytest.mark.parametrize("url", ["", None, "banco", "postgresql:///banco", "postgresql://None:None@None/None", "postgresql://u@h/None"])
 def test_bad_urls(url):
     with pytest.raises(ValueError):
-        JdbcSource.from_database_url(url)
+        JdbcSource.from_database_url(url, partitions=1)
 
 
 def test_environment_overrides(monkeypatch):
     monkeypatch.setenv("DATABASE_URL", "postgresql://other/b")
-    assert JdbcSource.from_environment(URL).url == "jdbc:postgresql://other/b"
+    assert JdbcSource.from_environment(URL, partitions=1).url == "jdbc:postgresql://other/b"
     monkeypatch.delenv("DATABASE_URL")
-    assert JdbcSource.from_environment(URL).url == "jdbc:postgresql://db.host:5433/banco"
+    assert JdbcSource.from_environment(URL, partitions=1).url == "jdbc:postgresql://db.host:5433/banco"
 
 
 def test_splits_cover_the_table():
@@ -140,3 +140,8 @@ def test_materialise_keeps_rows_and_types(sample):
     df = sample["transaccion"].withColumn("x", F.lit(None).cast("boolean"))
     stored = materialise(df)
     assert stored.dtypes == df.dtypes and stored.exceptAll(df).isEmpty()
+
+
+def test_the_number_of_reads_must_be_given():
+    with pytest.raises(TypeError):
+        JdbcSource.from_database_url(URL)
