@@ -180,10 +180,9 @@ def vectors(found: list[Block]) -> np.ndarray:
     for i, b in enumerate(found):
         for t in b.path:
             x[i, _PATHS[t]] = 1
-        split = b.text.split(" ")
-        words = split[:400]  # a measure of style: the text itself is never cut
-        np.add.at(x[i], [PATH_DIMS + _WORDS[w] for w in words], 1 / len(words))
-        n, chars = len(split), len(b.text)
+        words = b.text.split(" ")
+        n, chars = len(words), len(b.text)
+        x[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = np.bincount([_WORDS[w] for w in words], minlength=WORD_DIMS) / n
         stops = sum(b.text.count(c) for c in ".,;!?")
         x[i, PATH_DIMS + WORD_DIMS :] = (
             np.log1p(n) / 4, min(b.linked / chars, 1.0), min(stops / n, 1.0), b.text[-1] in ".!?…\"”", b.text[0].isupper(),

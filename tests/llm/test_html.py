@@ -82,6 +82,13 @@ def test_blocks():
     assert path.path == ("body", "nav", "main", "menu", "top", "a") and path.linked == 2
 
 
+def test_every_word_of_a_block_counts():
+    spread = lambda words: hb.vectors([hb.Block(" ".join(words), ("p",), 0)])[0, hb.PATH_DIMS : hb.PATH_DIMS + hb.WORD_DIMS]
+    first, late = ["same"] * 400, [f"word{i}" for i in range(1200)]
+    want = (400 * spread(["same"]) + 1200 * spread(late)) / 1600
+    assert np.allclose(spread(first + late), want, atol=1e-6) and np.allclose(spread(late + first), want, atol=1e-6)
+
+
 def test_gradients():
     r = np.random.default_rng(0)
     lab = hb.Labeller()
