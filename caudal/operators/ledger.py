@@ -23,11 +23,12 @@ an even share of a task: then it is cut by id into several pieces, which start f
 the earlier ones. Fewer accounts than tasks can be that large.
 
 Accounts that keep paying each other with little money leave the bounds apart, and a round then decides
-few. So after its first round ``serial`` looks at what ties the undecided legs together: accounts are linked by the undecided
+few. So ``serial`` looks at what ties the undecided legs together: accounts are linked by the undecided
 transactions between them, and what happens in one connected group does not depend on any other. Groups are dealt to tasks
 and each is taken one by one, exactly. A group larger than a task's even share, of which there are fewer than tasks,
+is left to the rounds; after one, which may have cut it apart, links are looked for anew. What is still too large
 is not handed over whole: its earliest legs are, as many as a task may have, and the rest gets its bounds and
-its links anew, as it may have fallen apart. ``running`` has no such links, and nothing but rounds of bounds.
+its links anew. ``running`` has no such links, and nothing but rounds of bounds.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -82,7 +84,8 @@ LEG_COLUMNS = {
 LEG_SCHEMA = ", ".join(f"{name} {dtype}" for name, dtype in LEG_COLUMNS.items())
 
 
-def _movements(transactions: DataFrame) -> DataFrame:
+def movements(transactions: DataFrame) -> DataFrame:
+    """What decisions are made from."""
     return transactions.select("id_transaccion", "cuenta_origen", "cuenta_destino", "monto")
 
 
@@ -103,7 +106,7 @@ def authorize_opening(transactions: DataFrame, cuenta: DataFrame) -> DataFrame:
         .when(F.col("saldo").isNull(), UNKNOWN_ORIGIN)
         .when(F.col("saldo") < F.col("monto"), INSUFFICIENT)
     )
-    return _decided(_movements(transactions).join(opening, "cuenta_origen", "left"), reason)
+    return _decided(movements(transactions).join(opening, "cuenta_origen", "left"), reason)
 
 
 def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial") -> DataFrame:
@@ -112,11 +115,12 @@ def authorize(transactions: DataFrame, cuenta: DataFrame, mode: str = "serial")
         return authorize_opening(transactions, cuenta)
     if mode not in ("running", "serial"):
         raise ValueError(f"unknown mode {mode!r}")
-    tx = _movements(transactions)
+    tx = movements(transactions)
     debits = (
         tx.where(~_bad_amount()).groupBy(F.col("cuenta_origen").alias("no_cuenta")).agg(F.sum("monto").alias("debits"))
     )
-    state = cuenta.select("no_cuenta", "saldo").join(debits, "no_cuenta", "left")
+    # Only the origins of good amounts can matter to what is decided.
+    state = cuenta.select("no_cuenta", "saldo").join(debits, "no_cuenta")
     short = F.coalesce(F.col("debits") > F.col("saldo"), F.lit(False))
     origin = state.select(
         F.col("no_cuenta").alias("cuenta_origen"), cents(F.col("saldo")).alias("opening"), short.alias("short")
@@ -207,8 +211,10 @@ def settle(
         F.count_if(~decided).alias("legs"),
         F.count_if(is_debit & F.col("accepted").isNull()).alias("undecided"),
     )
-    seen = legs.agg(*measures).first().asDict()
-    open_legs, cut = _place(materialise(legs), seen["legs"], n, whole_account_legs)
+    watch = Observation()
+    legs = materialise(legs.observe(watch, *measures))
+    seen = watch.get
+    open_legs, cut = _place(legs, seen["legs"], n, whole_account_legs)
     nothing = open_legs.where(decided)
     rounds: list[str] = []
 
@@ -216,6 +222,14 @@ def settle(
         rounds.append(store(legs_now))
         return spark.read.schema(LEG_SCHEMA).parquet(rounds[-1])
 
+    if seen["undecided"] and group_legs and not _ids_repeat(open_legs):
+        grouped, reach = _grouped(open_legs, seen["legs"], n, group_legs, stretches=False)
+        stored(_fold(grouped, n))
+        if not reach:
+            seen["undecided"] = 0
+        else:
+            open_legs = materialise(grouped.where(F.col(REACH).isNotNull()).select(*LEG_COLUMNS))
+            seen = open_legs.agg(*measures).first().asDict()
     while seen["undecided"]:
         watch = Observation()
         scanned = stored(
@@ -248,26 +262,39 @@ def settle(
     return spark.read.schema(LEG_SCHEMA).parquet(*rounds).where(decided) if rounds else nothing
 
 
-def _grouped(legs: DataFrame, total: int, slices: int, group_legs: int) -> tuple[DataFrame, bool]:
+def _ids_repeat(legs: DataFrame) -> bool:
+    """Whether an id is null or has several debits, so that a credit can't tell which of them pays it."""
+    debits = legs.where(F.col("kind") == DEBIT).groupBy("id").agg(F.count(F.lit(1)).alias("debits"))
+    return not debits.where("id IS NULL OR debits > 1").isEmpty()
+
+
+def _grouped(legs: DataFrame, total: int, slices: int, group_legs: int, stretches: bool = True) -> tuple[DataFrame, bool]:
     """The legs with their group of linked accounts and how far, by id, the group is taken now: null for the whole of
     it. Also tells whether any group is too large to be.
 
     A group is when it has more legs than ``group_legs`` and than the even share of a task: fewer than ``slices`` are.
+    Nothing of it is taken now without ``stretches``.
     """
     whole = F.lit(None).cast("long").alias(REACH)
     if total <= min(group_legs, ONE_GROUP_LEGS):
         return legs.select("*", F.lit("").alias(GROUP), whole), False
     open_ids = legs.where(F.col("accepted").isNull() & F.col("kind").isin(DEBIT, CREDIT))
     links = open_ids.groupBy("id").agg(F.min("cuenta").alias("a"), F.max("cuenta").alias("b")).where("a < b")
-    groups = linked_groups(links, "a", "b").withColumnRenamed(MEMBER, "cuenta")
-    grouped = legs.join(lookup_side(groups), "cuenta", "left").withColumn(GROUP, F.coalesce(GROUP, "cuenta"))
-    grouped = materialise(grouped)
-    sizes = grouped.groupBy(GROUP).agg(F.count(F.lit(1)).alias("legs"), F.min("id").alias("first"), F.max("id").alias("last"))
+    groups = lookup_side(materialise(linked_groups(links, "a", "b").withColumnRenamed(MEMBER, "cuenta")))
+    own = F.coalesce(GROUP, "cuenta")
+    of_account = legs.groupBy("cuenta").agg(F.count(F.lit(1)).alias("legs"), F.min("id").alias("first"), F.max("id").alias("last"))
+    sizes = (
+        of_account.join(groups, "cuenta", "left")
+        .groupBy(own.alias(GROUP))
+        .agg(F.sum("legs").alias("legs"), F.min("first").alias("first"), F.max("last").alias("last"))
+    )
+    grouped = legs.join(groups, "cuenta", "left").withColumn(GROUP, own)
     most = max(group_legs, total // slices)
     large = {r[GROUP]: [r.first, r.last, r.legs] for r in sizes.where(F.col("legs") > most).collect()}
     if not large:
         return grouped.select("*", whole), False
-    reach = _reaches(grouped, large, most)
+    grouped = materialise(grouped)
+    reach = _reaches(grouped, large, most) if stretches else {g: first - 1 for g, (first, *_) in large.items()}
     table = legs.sparkSession.createDataFrame(list(reach.items()), f"{GROUP} string, {REACH} long")
     return grouped.join(F.broadcast(table), GROUP, "left"), True  # fewer rows than tasks
 
@@ -290,7 +317,7 @@ def _fold(grouped: DataFrame, slices: int) -> DataFrame:
     """Every group's legs up to its reach one by one, groups side by side."""
     now = grouped.where(F.col(REACH).isNull() | (F.col("id") <= F.col(REACH)))
     dealt = now.repartition(slices, GROUP).sortWithinPartitions(GROUP, "id", "kind")
-    return dealt.mapInPandas(_one_by_one(), LEG_SCHEMA)
+    return dealt.mapInArrow(_one_by_one(), LEG_SCHEMA)
 
 
 def _as_legs(df: DataFrame, split: bool) -> DataFrame:
@@ -305,6 +332,8 @@ def _place(legs: DataFrame, total: int, slices: int, whole_account_legs: int) ->
     Whole accounts are spread by hash. An account is cut when it has more legs than ``whole_account_legs``
     and than the even share of a piece; fewer than ``slices`` accounts can be that large.
     """
+    if total <= whole_account_legs:
+        return _as_legs(legs.withColumn(SLICE, F.pmod(F.hash("cuenta"), F.lit(slices))), False), False
     sizes = legs.groupBy("cuenta").agg(F.count(F.lit(1)).alias("legs"))
     large = sizes.where((F.col("legs") > whole_account_legs) & (F.col("legs") * slices > total)).select("cuenta")
     large = materialise(large)
@@ -426,13 +455,13 @@ def _scanner() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     return scan
 
 
-def _one_by_one() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _one_by_one() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Groups in turn, each one's legs in id order and decided from the exact balance. Emits decided debits and, of a
     group that is not taken whole, what its accounts' later legs start from. A local function for the same reason as above."""
 
-    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(LEG_COLUMNS)
-        group = reach = None
+        schema = group = reach = None
         balance: dict[str, int] = {}
         last_leg: dict[str, tuple] = {}
         verdicts: dict[int, bool] = {}
@@ -445,28 +474,38 @@ def _one_by_one() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
                 for cuenta, (piece, opening, split) in last_leg.items()
             ]
 
+        def as_batch(legs: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*legs), schema)], schema=schema)
+
         for batch in batches:
-            out = []
-            until = batch[REACH].astype(object).where(batch[REACH].notna(), None).tolist()
-            for cuenta, piece, key, kind, amount, other, pre, opening, split, known, own, limit in zip(
-                *(batch[c].tolist() for c in columns), batch[GROUP].tolist(), until
-            ):
+            schema = schema or pa.schema([batch.schema.field(c) for c in columns])
+            values = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, GROUP, REACH) if c != "other"}
+            until = [None if x is None else int(x) for x in batch.column(REACH).to_pylist()] if batch.column(REACH).null_count < len(batch) else None
+            fields = (values[c].tolist() for c in ("cuenta", "id", "kind", "amount", "pre", "opening", "accepted", GROUP))
+            carried: list[tuple] = []
+            decided: list[bool] = []
+            for at, (cuenta, key, kind, amount, pre, opening, known, own) in enumerate(zip(*fields)):
                 if own != group:
-                    out += rest()
-                    group, reach = own, None if limit is None else int(limit)
+                    carried += rest()
+                    group, reach = own, until and until[at]
                     balance, last_leg, verdicts = {}, {}, {}
                 money = balance.get(cuenta, opening) + pre
                 if kind == DEBIT:
                     verdict = verdicts[key] = money >= amount
                     if verdict:
                         money -= amount
-                    out.append((cuenta, piece, key, kind, amount, other, 0, opening, split, verdict))
+                    decided.append(verdict)
                 elif kind == CREDIT and (verdicts[key] if known is None else known):
                     money += amount
                 balance[cuenta] = money
                 if reach is not None:
-                    last_leg[cuenta] = (piece, opening, split)
-            yield pd.DataFrame(out, columns=columns)
-        yield pd.DataFrame(rest(), columns=columns)
+                    last_leg[cuenta] = (int(values[SLICE][at]), opening, bool(values["split"][at]))
+            debits = batch.filter(pa.array(values["kind"] == DEBIT))
+            new = {"pre": pa.array([0] * len(decided), pa.int64()), "accepted": pa.array(decided, pa.bool_())}
+            yield pa.RecordBatch.from_arrays([new.get(c, debits.column(c)) for c in columns], schema=schema)
+            if carried:
+                yield as_batch(carried)
+        if carried := rest():
+            yield as_batch(carried)
 
     return take

@@ -6,7 +6,7 @@ Folders under the state root, each overwritten whole when a batch is retried:
 * ``changes/batch=<b>``: what batch ``b`` changed, by account;
 * ``decisions/batch=<b>``: the batch's transactions, accepted or refused with the reason.
 
-A batch reads the latest full version and the changes since, keeps the accounts it names, and writes only
+A batch reads the latest full version and the changes since, and writes only
 what it changes; a full version is written every ``compact_every`` batches. Versions follow from the batch number alone: a retry reads
 exactly what the first try read.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from caudal.operators.ledger import accepted, apply_change, authorize, net_change
+from caudal.operators.ledger import accepted, apply_change, authorize, movements, net_change
 from caudal.schemas import TABLES
 from caudal.session import materialise
 from caudal.sources.files import join_path, write_parquet
@@ -65,13 +65,9 @@ class LedgerState:
         return self._balances(base, range(base + 1, batch + 1))
 
     def apply(self, arrived: DataFrame, batch: int, mode: str) -> None:
-        arrived = materialise(arrived)
-        before = self.balances_before(batch)
-        # Only the accounts the batch names can matter to its decisions.
-        named = arrived.select(F.explode(F.array("cuenta_origen", "cuenta_destino")).alias("no_cuenta"))
-        accounts = before.join(named.distinct(), "no_cuenta", "left_semi")
+        arrived = materialise(movements(arrived))
         decisions = join_path(self.root, "decisions", f"batch={batch}")
-        write_parquet(authorize(arrived, accounts, mode), decisions)
+        write_parquet(authorize(arrived, self.balances_before(batch), mode), decisions)
         passed = accepted(self.spark.read.parquet(decisions))
         change = net_change(passed).select("no_cuenta", F.col("cambio").cast("decimal(38,2)").alias("cambio"))
         write_parquet(change, self._changes(batch))

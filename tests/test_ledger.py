@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from caudal.operators import ledger
+from caudal.operators import components, ledger
 from caudal.operators.components import linked_groups
 from caudal.operators.ledger import BAD_AMOUNT, INSUFFICIENT, UNKNOWN_ORIGIN, accepted, authorize, post_balances, rejected
 from conftest import rows
@@ -202,3 +202,41 @@ def test_posting_conserves_money_between_known_accounts(sample):
 def test_unknown_mode_and_repeated_ids(frame, sample):
     with pytest.raises(ValueError):
         authorize(sample["transaccion_escalada"], sample["cuenta"], "hopeful")
+
+
+def test_groups_that_fit_a_task_need_no_round(frame, monkeypatch):
+    def scanner():
+        raise AssertionError("a round of bounds")
+
+    monkeypatch.setattr(ledger, "_scanner", scanner)
+    monkeypatch.setattr(ledger, "ONE_GROUP_LEGS", 0)
+    tx, accounts = [], []
+    for part in "pq":
+        own, balances = random_case(11, 150, 8, 0.4)
+        tx += [(2 * k + (part == "q"), part + o, part + d, m) for k, o, d, m in own]
+        accounts += [(part + n, b) for n, b in balances]
+    decisions = authorize(*frames(frame, tx, accounts), "serial")
+    assert {r[0] for r in accepted(decisions).select("id_transaccion").collect()} == one_by_one(tx, accounts, "serial")[0]
+
+
+def test_a_group_too_large_goes_to_the_rounds_beside_small_ones(frame, monkeypatch):
+    monkeypatch.setattr(ledger, "ONE_GROUP_LEGS", 0)
+    monkeypatch.setattr(ledger, "GROUP_LEGS", 60)
+    monkeypatch.setattr(ledger, "slice_count", lambda _: 8)
+    tx, accounts = [], []
+    for i, (part, count) in enumerate({"p": 20, "q": 250, "r": 20}.items()):
+        own, balances = random_case(5 + i, count, 8, 0.4)
+        tx += [(3 * k + i, part + o, part + d, m) for k, o, d, m in own]
+        accounts += [(part + n, b / 10) for n, b in balances]
+    accounts = [(n, round(b, 2)) for n, b in accounts]
+    decisions = authorize(*frames(frame, tx, accounts), "serial")
+    assert {r[0] for r in accepted(decisions).select("id_transaccion").collect()} == one_by_one(tx, accounts, "serial")[0]
+
+
+@pytest.mark.parametrize("few", [0, 60, 1000])
+def test_groups_by_rounds_and_by_one_task(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_LINKS", few)
+    links = [(f"c{i // 40}n{i:04d}", f"c{i // 40}n{i + 1:04d}") for i in range(400) if i % 40 < 39]
+    got = {r.miembro: r.grupo for r in linked_groups(spark.createDataFrame(links, "a string, b string"), "a", "b").collect()}
+    assert len(got) == 400 and len(set(got.values())) == 10
+    assert all(name.split("n")[0] == group.split("n")[0] and group in got for name, group in got.items())
