@@ -25,7 +25,6 @@ from __future__ import annotations
 import re
 import sys
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -72,11 +71,86 @@ def _symbols() -> np.ndarray:
     return out
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every code point: 1 if a token of its own, 2 if part of a longer one, else 0; a hash of it in lower case; is it a capital."""
+    n = sys.maxunicode + 1
+    word, space, capital = (np.fromiter(map(f, map(chr, range(n))), bool, n) for f in (str.isalnum, str.isspace, str.isupper))
+    word[ord("_")] = True
+    kind = np.where(space, 0, np.where(word, 2, 1)).astype(np.uint8)
+    for a, b in _UNSPACED:
+        kind[a:b] = 1
+    lower = np.arange(n, dtype=np.uint64)
+    lower[:_CASED] = [ord(x) if len(x) == 1 else ord(c) for c, x in ((chr(c), chr(c).lower()) for c in range(_CASED))]
+    return kind, mix(lower + np.uint64(1)), capital
+
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+# No code point from here on has a lower case.
+_CASED = 0x20000
+# Letters whose lower case depends on their neighbours or is longer.
+_ODD_CAPITALS = (0x0130, 0x03A3)
+
+
+# Values that are hashed at once.
+_STRETCH = 1 << 18
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(_STRETCH, b, np.uint64)]) for b in (_BASE, _INVERSE))
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of ``values``, which are hashes themselves: equal runs have equal hashes wherever they stand."""
+    power, inverse = _powers()
+    if len(values) <= _STRETCH:
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * power[: len(values)], out=total[1:])
+        sums = (total[ends] - total[starts]) * inverse[starts]
+    elif len(starts) > 1:
+        half = len(starts) // 2
+        cut = starts[half]
+        return np.concatenate([run_hashes(values[:cut], starts[:half], ends[:half]), run_hashes(values[cut:], starts[half:] - cut, ends[half:] - cut)])
+    else:
+        sums = np.zeros(len(starts), np.uint64)
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            parts = ((values[k : min(k + _STRETCH, b)], pow(_BASE, k - a, 1 << 64)) for k in range(a, b, _STRETCH))
+            sums[:] = sum(int((v * power[: len(v)]).sum()) * by for v, by in parts) % (1 << 64)
+    return mix(sums + (ends - starts).astype(np.uint64))
+
+
+def token_runs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the tokens of a text begin and end, and their hashes in lower case."""
+    kind, folded, _ = _tables()
+    own = kind[code]
+    inside = np.zeros(len(code) + 2, bool)
+    inside[1:-1] = own == 2
+    single = own == 1
+    starts = np.flatnonzero(single | (inside[1:-1] & ~inside[:-2]))
+    ends = np.flatnonzero(single | (inside[1:-1] & ~inside[2:])) + 1
+    hashes = run_hashes(folded[code], starts, ends)
+    odd = np.flatnonzero((code == _ODD_CAPITALS[0]) | (code == _ODD_CAPITALS[1]))
+    if len(odd):
+        for k in np.unique(np.searchsorted(starts, odd, "right") - 1).tolist():
+            token = _codes(code[starts[k] : ends[k]].tobytes().decode("utf-32-le", "surrogatepass").lower())
+            hashes[k] = run_hashes(folded[token], np.array([0]), np.array([len(token)]))[0]
+    return starts, ends, hashes
+
+
 def grams(text: str | None) -> np.ndarray:
     """The packed 4-gram that ends at each character, after three leading blanks."""
     if not text:
         return np.empty(0, np.uint32)
-    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    return _grams_of(_codes(text.lower()))
+
+
+def _grams_of(code: np.ndarray) -> np.ndarray:
     s = np.zeros(len(code) + ORDER - 1, np.uint32)
     s[ORDER - 1 :] = _symbols()[code]
     n = len(code)
@@ -184,45 +258,41 @@ def _word_hash(word: str) -> int:
 
 
 def _counter(known: frozenset):
-    def added(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(np.concatenate(parts), return_counts=True)
+    def added(held: tuple | None, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        k, c = np.unique(np.concatenate(parts), return_counts=True)
+        if held is None:
+            return k, c
+        both, at = np.unique(np.concatenate([held[0], k]), return_inverse=True)
+        return both, np.bincount(at, np.concatenate([held[1], c]), len(both)).astype(np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[str, tuple] = {}
-        words: dict[str, Counter] = {}
+        sums: dict[bool, dict[str, tuple]] = {False: {}, True: {}}  # by whether words
 
-        def flush() -> Iterator[pd.DataFrame]:
-            for model, (k, c) in sums.items():
-                yield pd.DataFrame({"model": model, "word": False, "gram": k.astype(np.int64), "n": c})
-            sums.clear()
-
-        def flush_words() -> Iterator[pd.DataFrame]:
-            for model, held in words.items():
-                h = np.fromiter(map(_word_hash, held), np.uint64, len(held)).view(np.int64)
-                yield pd.DataFrame({"model": model, "word": True, "gram": h, "n": np.fromiter(held.values(), np.int64, len(held))})
-            words.clear()
+        def flush(word: bool) -> Iterator[pd.DataFrame]:
+            for model, (k, c) in sums[word].items():
+                yield pd.DataFrame({"model": model, "word": word, "gram": k.astype(np.uint64).view(np.int64), "n": c})
+            sums[word].clear()
 
         for batch in batches:
-            by: dict[str, list] = {}
-            for lang, text in zip(batch["lang"], batch["text"]):
-                if not text:
-                    continue
-                model = _model_of(lang, known)
-                by.setdefault(model, []).append(grams(text))
-                words.setdefault(model, Counter()).update(TOKEN.findall(text.lower()))
-                if sum(map(len, words.values())) >= WORDS_FLUSH:
-                    yield from flush_words()
-            for model, parts in by.items():
-                k, c = added(parts)
-                if model in sums:
-                    old_k, old_c = sums[model]
-                    both, at = np.unique(np.concatenate([old_k, k]), return_inverse=True)
-                    k, c = both, np.bincount(at, np.concatenate([old_c, c]), len(both)).astype(np.int64)
-                sums[model] = k, c
-            if sum(len(k) for k, _ in sums.values()) >= FLUSH:
-                yield from flush()
-        yield from flush()
-        yield from flush_words()
+            by: dict[str, tuple[list, list]] = {}
+            size = 0
+            for last, (lang, text) in enumerate(zip(batch["lang"], batch["text"]), 1 - len(batch)):
+                if text:
+                    code = _codes(text.lower())
+                    parts = by.setdefault(_model_of(lang, known), ([], []))
+                    parts[0].append(_grams_of(code))
+                    parts[1].append(token_runs(code)[2])
+                    size += len(code)
+                if size >= 1 << 20 or last == 0:
+                    for model, parts in by.items():
+                        for word in (False, True):
+                            sums[word][model] = added(sums[word].get(model), parts[word])
+                    by, size = {}, 0
+            for word, most in ((False, FLUSH), (True, WORDS_FLUSH)):
+                if sum(len(k) for k, _ in sums[word].values()) >= most:
+                    yield from flush(word)
+        for word in (False, True):
+            yield from flush(word)
 
     return run
 
@@ -266,55 +336,46 @@ def fit(documents: DataFrame) -> dict[str, Model]:
     return models
 
 
-def base_figures(text: str | None, hashes: WordHashes) -> tuple[int, int, int, int, int]:
-    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of a whole text; zeros for null."""
+def _runs_of_words(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    inside = np.zeros(len(code) + 2, bool)
+    inside[1:-1] = (code != 32) & ((code < 9) | (code > 13))
+    return np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+
+
+def base_figures(text: str | None, _: WordHashes | None = None, code: np.ndarray | None = None) -> tuple[int, int, int, int, int]:
+    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of a whole text; zeros for null. ``code`` are its code points."""
     if not text:
         return 0, 0, 0, 0, 0
-    raw = text.encode("utf-8", "surrogatepass")
-    parts = raw.split()
-    chars = len(text) - sum(text.count(c) for c in " \t\n\x0b\x0c\r")
+    code = _codes(text) if code is None else code
+    starts, ends = _runs_of_words(code)
     symbols = sum(text.count(c) for c in "#*$%&|<>")
-    lines = [x for x in raw.split(b"\n") if x.strip()]
+    lines = [x for x in text.split("\n") if x.strip(" \t\x0b\x0c\r")]
     repeated = 0
-    if len(parts) > 8:
-        h = window_hashes(hashes.of(parts), 8)
-        _, at, n = np.unique(h, return_inverse=True, return_counts=True)
-        twice = np.flatnonzero(n[at] > 1)
-        edge = np.zeros(len(parts) + 1, np.int32)
-        np.add.at(edge, twice, 1)
-        np.add.at(edge, twice + 8, -1)
-        repeated = int((np.cumsum(edge[:-1]) > 0).sum())
-    return len(parts), chars, symbols, len(lines) - len(set(lines)), repeated
-
-
-class TokenNumbers(dict):
-    """Numbers of tokens as written; a capital adds ``1 << 16``. Emptied when full, so its memory stays bounded."""
-
-    def __init__(self, model: Model, limit: int = 100_000):
-        self.model, self.limit = model, limit
-        self.of_hash: dict[int, int] = {}
-
-    def __missing__(self, token: str) -> int:
-        if not self.of_hash:  # at the first word of the language, VOCABULARY at most
-            self.of_hash = dict(zip(self.model.words.tolist(), self.model.numbers.tolist()))
-        value = self.of_hash.get(_word_hash(token.lower()), UNKNOWN) | token[0].isupper() << 16
-        if len(token) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[token] = value
-        return value
-
-
-def encoded(text: str, numbers: TokenNumbers) -> tuple[np.ndarray, float]:
+    if len(starts) > 8:
+        h = window_hashes(run_hashes(code + np.uint64(1), starts, ends), 8)
+        rank = np.sort(h)
+        again = rank[1:][rank[1:] == rank[:-1]]
+        if len(again):
+            twice = np.flatnonzero(again[np.minimum(np.searchsorted(again, h), len(again) - 1)] == h)
+            edge = np.zeros(len(starts) + 1, np.int32)
+            np.add.at(edge, twice, 1)
+            np.add.at(edge, twice + 8, -1)
+            repeated = int((np.cumsum(edge[:-1]) > 0).sum())
+    return len(starts), int((ends - starts).sum()), symbols, len(lines) - len(set(lines)), repeated
+
+
+def encoded(text: str, model: Model, code: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Token numbers of a text from begin to end, and the log probability of how unknown words are spelled."""
-    parts = TOKEN.findall(text)
-    raw = np.fromiter(map(numbers.__getitem__, parts), np.int32, len(parts))
-    capital = raw >> 16
-    out = np.full(len(raw) + int(capital.sum()) + 2, CAPITAL, np.uint16)
+    code = _codes(text) if code is None else code
+    starts, ends, hashes = token_runs(code)
+    at, known = _find(model.words, hashes)
+    number = np.where(known, model.numbers[at], UNKNOWN) if len(model.words) else np.full(len(starts), UNKNOWN)
+    capital = _tables()[2][code[starts]]
+    out = np.full(len(starts) + int(capital.sum()) + 2, CAPITAL, np.uint16)
     out[0], out[-1] = BEGIN, END
-    out[np.arange(1, len(raw) + 1) + np.cumsum(capital)] = raw & 0xFFFF
-    unknown = np.flatnonzero((raw & 0xFFFF) == UNKNOWN)
-    spelled = numbers.model.logs(grams(" ".join(parts[i] for i in unknown))).sum() if len(unknown) else 0.0
+    out[np.arange(1, len(starts) + 1) + np.cumsum(capital)] = number
+    unknown = np.flatnonzero(number == UNKNOWN)
+    spelled = model.logs(grams(" ".join([text[a:b] for a, b in zip(starts[unknown].tolist(), ends[unknown].tolist())]))).sum() if len(unknown) else 0.0
     return out, float(spelled)
 
 
@@ -334,8 +395,7 @@ def _encoder(shared, names: list[str]):
     known, index = frozenset(names), {n: i for i, n in enumerate(names)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        numbers = {n: TokenNumbers(m) for n, m in shared.value.items()}
+        models = shared.value
         meta, tokens, size = [], [], 0
 
         def flush() -> pd.DataFrame:
@@ -346,15 +406,16 @@ def _encoder(shared, names: list[str]):
 
         for batch in batches:
             for doc_id, lang, text in zip(batch["doc_id"], batch["lang"], batch["text"]):
-                model, ids, spelled, digest = _model_of(lang, known), (), 0.0, 0
+                model, ids, spelled, digest, code = _model_of(lang, known), (), 0.0, 0, None
                 if text:
-                    ids, spelled = encoded(text, numbers[model])
+                    code = _codes(text)
+                    ids, spelled = encoded(text, models[model], code)
                     tokens.append(ids)
                     digest = np.uint64(_word_hash(text)).view(np.int64)
                 lacking = bool(pd.isna(doc_id))
                 meta.append([
                     0 if lacking else int(doc_id), lacking, index.get(model, -1), digest, np.float64(spelled).view(np.int64), len(ids),
-                    *base_figures(text, hashes),
+                    *base_figures(text, code=code),
                 ])
                 size += len(text or "") + 64
                 if size >= BLOCK:
@@ -420,15 +481,26 @@ def _corpus_counts(group: pd.DataFrame) -> pd.DataFrame:
     A word's number is below ``1 << 16`` after its model. Under ``-1 - model`` stand how many pairs occur once to four times.
     """
     keys = [np.cumsum(_unpack(x)) for x in group["keys"]]
+    ends = np.cumsum([len(k) for k in keys])
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
+    del keys
     total = np.bincount(at, np.concatenate([_unpack(x) for x in group["counts"]])).astype(np.int64)
-    each = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
-    answers = pd.DataFrame({"block": group["block"], "part": group["part"], "counts": [_pack(x) for x in each]})
-    model, leader, follower = every >> 32, every >> 16, (every >> 32) << 16 | every & 0xFFFF
-    kinds = {f: (total == k).astype(np.int64) for k, f in enumerate(_SUMS[1:], 1)}
-    led = pd.DataFrame({"word": leader, "total": total, "one": kinds["one"], "two": kinds["two"], "more": (total >= 3).astype(np.int64)})
-    of_count = pd.DataFrame({"word": -1 - model, **kinds})
-    words = pd.concat([led, pd.DataFrame({"word": follower, "leaders": 1}), of_count]).groupby("word").sum().reset_index()
+    answers = pd.DataFrame({"block": group["block"], "part": group["part"], "counts": [_pack(total[x]) for x in np.split(at, ends[:-1])]})
+    del at
+    # Pairs are sorted by model and leader: sums of both are those of runs.
+    leader, model = every >> 16, every >> 32
+    first, first_of_model = (np.flatnonzero(np.diff(x, prepend=-1)) for x in (leader, model))
+    follower, leaders = np.unique(model << 16 | every & 0xFFFF, return_counts=True)
+    lead = leader[first]
+    word = np.union1d(lead, follower)
+    sums = {f: np.zeros(len(word), np.int64) for f in _SUMS}
+    at_lead = np.searchsorted(word, lead)
+    for f, x in (("total", total), ("one", total == 1), ("two", total == 2), ("more", total >= 3)):
+        sums[f][at_lead] = np.add.reduceat(x, first, dtype=np.int64)
+    sums["leaders"][np.searchsorted(word, follower)] = leaders
+    kinds = {f: np.add.reduceat(total == k, first_of_model, dtype=np.int64) for k, f in enumerate(_SUMS[1:], 1)}
+    of_count = pd.DataFrame({"word": -1 - model[first_of_model], "total": 0, **kinds})
+    words = pd.concat([pd.DataFrame({"word": word, **sums}), of_count])
     # Whole numbers with gaps: as floats, the names of blocks would lose digits.
     whole = {c: "Int64" for c in ("block", "part", "word", *_SUMS)}
     columns = ["block", "part", "counts", "word", *_SUMS]
